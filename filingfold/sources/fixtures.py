@@ -313,10 +313,21 @@ def fixture_root(spark: SparkSession, sf_dir: str) -> str:
     return f"{base.rstrip('/')}/filingfold-fixtures/{key}"
 
 
+FIXTURE_TABLES = (
+    "tls201_appln", "tls204_appln_prior", "tls205_tech_rel", "tls206_person", "tls207_pers_appln",
+    "tls211_pat_publn", "tls216_appln_contn", "addresses_coordinates_all", "admin_levels",
+    "person_location_id", "addresses_pct", "inventor_applicant_location_id",
+    "inventor_applicant_location_id_jp", "inventor_applicant_location_id_kr", "inventor_applicant_location_id_cn",
+)
+
+
 def materialize_fixtures(spark: SparkSession, sf_dir: str) -> str:
     """Write the derived register and location tables as parquet once; later calls
     reuse them.  Returns the folder, readable with ``read_register``/``read_locations``."""
     root = fixture_root(spark, sf_dir)
+    missing = [n for n in FIXTURE_TABLES if not _fs_exists(spark, f"{root}/{n}/_SUCCESS")]
+    if not missing:
+        return root
     reg = register_from_star(spark, sf_dir)
     loc = locations_from_star(spark, sf_dir)
     tables = {
@@ -336,16 +347,22 @@ def materialize_fixtures(spark: SparkSession, sf_dir: str) -> str:
         "inventor_applicant_location_id_kr": loc.appln_location_kr,
         "inventor_applicant_location_id_cn": loc.appln_location_cn,
     }
-    for name, df in tables.items():
-        path = f"{root}/{name}"
-        if not _fs_exists(spark, f"{path}/_SUCCESS"):
-            df.write.mode("overwrite").parquet(path)
+    for name in missing:
+        tables[name].write.mode("overwrite").parquet(f"{root}/{name}")
     return root
 
 
+# Scans of the materialised tables, per (Spark context, folder).  DataFrames are
+# immutable plans, so sharing them between queries of one session is safe.
+_INPUTS: dict[tuple[str, str], tuple[Register, LocationInputs]] = {}
+
+
 def fixture_inputs(spark: SparkSession, sf_dir: str) -> tuple[Register, LocationInputs]:
     """Register and location inputs derived from the star schema at ``sf_dir``."""
     from .register import read_locations, read_register
 
-    root = materialize_fixtures(spark, sf_dir)
-    return read_register(spark, root), read_locations(spark, root)
+    key = (spark.sparkContext.applicationId, f"{sf_dir}|{FIXTURE_VERSION}")
+    if key not in _INPUTS:
+        root = materialize_fixtures(spark, sf_dir)
+        _INPUTS[key] = (read_register(spark, root, exact=True), read_locations(spark, root, exact=True))
+    return _INPUTS[key]

@@ -40,16 +40,21 @@ class LocationInputs:
     appln_location_cn: DataFrame
 
 
-def _read(spark: SparkSession, base: str, name: str, schema) -> DataFrame:
-    df = spark.read.parquet(f"{base.rstrip('/')}/{name}")
-    # Cast to the declared types, keep any extra columns (tls211 is carried whole).
+def _read(spark: SparkSession, base: str, name: str, schema, exact: bool = False) -> DataFrame:
+    """Read one table.  ``exact``: the files have exactly ``schema`` (no footer
+    inference); otherwise the declared columns are cast and any extra column is
+    kept (the bridge carries every publication column)."""
+    path = f"{base.rstrip('/')}/{name}"
+    if exact:
+        return spark.read.schema(schema).parquet(path)
+    df = spark.read.parquet(path)
     cols = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]
     extra = [c for c in df.columns if c not in schema.fieldNames()]
     return df.select(*cols, *extra)
 
 
-def read_register(spark: SparkSession, base: str) -> Register:
-    r = {name: _read(spark, base, name, schema) for name, schema in S.REGISTER_TABLES.items()}
+def read_register(spark: SparkSession, base: str, exact: bool = False) -> Register:
+    r = {name: _read(spark, base, name, schema, exact) for name, schema in S.REGISTER_TABLES.items()}
     return Register(
         appln=r["tls201_appln"],
         prior=r["tls204_appln_prior"],
@@ -61,8 +66,8 @@ def read_register(spark: SparkSession, base: str) -> Register:
     )
 
 
-def read_locations(spark: SparkSession, base: str) -> LocationInputs:
-    r = {name: _read(spark, base, name, schema) for name, schema in S.LOCATION_TABLES.items()}
+def read_locations(spark: SparkSession, base: str, exact: bool = False) -> LocationInputs:
+    r = {name: _read(spark, base, name, schema, exact) for name, schema in S.LOCATION_TABLES.items()}
     return LocationInputs(
         addresses=r["addresses_coordinates_all"],
         admin_levels=r["admin_levels"],
