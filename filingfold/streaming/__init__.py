@@ -1,0 +1,8 @@
+"""Intentionally empty.
+
+The reference is a batch program: four SQL scripts that run top to bottom over a
+register snapshot.  It reads no stream, keeps no state across runs and has no
+notion of event time or late data, so there is no streaming operator to rebuild.
+A new register release is processed by re-running the batch plans
+(``filingfold.plans``) on the new snapshot.
+"""
