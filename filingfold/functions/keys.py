@@ -1,0 +1,52 @@
+"""Order-preserving packing of (tier, date, id) into one DECIMAL(38,0).
+
+``min(struct(...))`` would give the same answer, but a struct aggregation buffer
+is not mutable in place, so Spark plans a sort-based aggregate and sorts every
+candidate row.  A decimal minimum stays a hash aggregate with map-side combining.
+
+Layout (decimal digits): tier * 10^27 + (days since 1970 + 10^6) * 10^20 + (id + 2^63).
+Days cover roughly the years -770..26000 and ids the whole long range, so the
+packing is exact and its order is the lexicographic order of the triple.
+"""
+
+from __future__ import annotations
+
+from decimal import Decimal
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+_KEY = "decimal(38,0)"
+
+
+def _epoch() -> Column:
+    return F.lit("1970-01-01").cast("date")
+
+
+def _d(v: int) -> Column:
+    return F.lit(Decimal(v)).cast(_KEY)
+
+
+TIER_UNIT = 10**27
+DAY_UNIT = 10**20
+DAY_OFFSET = 10**6
+ID_OFFSET = 2**63
+
+
+def pack(tier: Column, date: Column, id_: Column) -> Column:
+    """Packed key; a NULL date or id packs as day 0 / id 0 (used for tiers that carry neither)."""
+    days = F.coalesce(F.datediff(date, _epoch()), F.lit(0)).cast(_KEY)
+    ident = F.coalesce(id_.cast("long"), F.lit(0).cast("long")).cast(_KEY)
+    return (tier.cast(_KEY) * _d(TIER_UNIT) + (days + _d(DAY_OFFSET)) * _d(DAY_UNIT) + (ident + _d(ID_OFFSET))).cast(_KEY)
+
+
+def tier_of(key: Column) -> Column:
+    return F.floor(key / _d(TIER_UNIT)).cast("int")
+
+
+def date_of(key: Column) -> Column:
+    return F.date_add(_epoch(), ((F.floor(key / _d(DAY_UNIT)) % _d(10**7)) - _d(DAY_OFFSET)).cast("int"))
+
+
+def id_of(key: Column) -> Column:
+    return ((key % _d(DAY_UNIT)) - _d(ID_OFFSET)).cast("long")

@@ -4,9 +4,10 @@ The reference joins the whole pool to the information table, takes the minimum
 date, joins back, takes the minimum subsequent id, and joins back again.  Here the
 winner is chosen at filing grain first — the lexicographic minimum of
 (subsequent_date, subsequent_id) over pool filings that have usable information —
-and only the winner is expanded to its information rows.  ``min(struct)`` is a
-combinable aggregate, so a first filing with millions of subsequent filings costs
-one partial row per task before the shuffle.
+and only the winner is expanded to its information rows.  The minimum is a
+hash aggregate over a packed key (``functions.keys``) that combines map-side, so
+a first filing with millions of subsequent filings costs one partial row per task
+before the shuffle.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import Config
+from ..functions.keys import date_of, id_of, pack
 from ..functions.predicates import nonempty
 from ..operators.info import country_codes
 from ..sources.register import Register
@@ -37,10 +39,11 @@ def earliest_winner(pool: DataFrame, kind: str, usable: DataFrame) -> DataFrame:
         .select("appln_id", "subsequent_id", "subsequent_date")
         .join(usable.select("subsequent_id"), "subsequent_id", "left_semi")
     )
+    w = F.col("w")
     return (
         cand.groupBy("appln_id")
-        .agg(F.min(F.struct("subsequent_date", "subsequent_id")).alias("w"))
-        .select("appln_id", F.col("w.subsequent_id").alias("subsequent_id"), F.col("w.subsequent_date").alias("min_date"))
+        .agg(F.min(pack(F.lit(0), F.col("subsequent_date"), F.col("subsequent_id"))).alias("w"))
+        .select("appln_id", id_of(w).alias("subsequent_id"), date_of(w).alias("min_date"))
     )
 
 
@@ -49,15 +52,21 @@ def earliest_winner(pool: DataFrame, kind: str, usable: DataFrame) -> DataFrame:
 
 def own_code_rows(reg: Register, cfg: Config) -> DataFrame:
     """Own-role rows of every filing usable for sources 2 and 3:
-    (subsequent_id, person_id, ctry_code), one per distinct person row with a code."""
-    rows = (
+    (subsequent_id, person_id, ctry_code), one per distinct person row with a code.
+
+    The reference joins the pool's person rows to the code table on (filing, person);
+    the code table is itself those person rows joined to the person table, so one
+    join on person_id gives the same multiset, and the DISTINCT reuses the join's
+    partitioning (no second shuffle)."""
+    return (
         reg.pers_appln.filter(F.col(cfg.own_seq) > 0)
         .select("appln_id", "person_id", "applt_seq_nr", "invt_seq_nr")
+        .join(
+            reg.person.select("person_id", F.col("person_ctry_code").alias("ctry_code")).filter(nonempty("ctry_code")),
+            "person_id",
+        )
         .distinct()
-    )
-    codes = country_codes(reg, cfg.role).filter(nonempty("ctry_code"))
-    return rows.join(codes, ["appln_id", "person_id"]).select(
-        F.col("appln_id").alias("subsequent_id"), "person_id", "ctry_code"
+        .select(F.col("appln_id").alias("subsequent_id"), "person_id", "ctry_code")
     )
 
 
