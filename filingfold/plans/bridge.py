@@ -1,4 +1,4 @@
-"""build_bridge: first_and_subsequent_filings with its ``lastupdate`` stamp."""
+"""build_bridge: the first-filing to family-publication bridge with its ``lastupdate`` stamp."""
 
 from __future__ import annotations
 
