@@ -656,4 +656,14 @@ def oracle_queries() -> dict[str, str]:
             f"SELECT {_GEOC_COLS} FROM geoc_la",
         ),
         "bridge": _with(_bridge_ctes(), "SELECT * FROM brs8"),
+        "pool_location": _with(
+            _first_filing_ctes(LOCATION_INV, "li") + _pool_t_ctes("li") + _filing_pool_ctes("li"),
+            "SELECT appln_id, subsequent_id, patent_office, appln_filing_year, subsequent_date, nb_priorities, type FROM sfl_li",
+        ),
+        "earliest_equivalent_other_role": _with(ci(), "SELECT appln_id, subsequent_id, ctry_code, type, min_date FROM eeq5_ci_"),
+        "earliest_other_other_role": _with(ci(), "SELECT appln_id, subsequent_id, ctry_code, type, min_date FROM eeq6_ci_"),
+        "earliest_equivalent_location": _with(
+            geo() + _location_union_ctes("inv") + _location_union_ctes("app") + _location_ctes(LOCATION_INV, "li"),
+            f"SELECT appln_id, subsequent_id, {_cols('', _GEOC_PAYLOAD)}, type, min_date FROM eleq2_li_",
+        ),
     }

@@ -18,18 +18,20 @@ from .functions.labels import country_label
 from .operators.bridge import bridge
 from .operators.classify import excluded_applications, first_filing_applications, first_filings
 from .operators.geocode import admin_of_points, attach_admin, with_geometry
-from .operators.info import country_codes
-from .operators.pool import person_pool, pool_continual, pool_pct, pool_priority, pool_tech_rel
+from .operators.info import country_codes, locations
+from .operators.pool import person_pool, pool_continual, pool_pct, pool_priority, pool_tech_rel, subsequent_pool
 from .operators.select import (
     EQUIVALENT,
     OTHER,
     direct_other_codes,
     direct_own_codes,
     earliest_winner,
+    locations_by_subsequent,
+    other_code_rows,
     own_code_rows,
 )
 from .plans.country import impute_country
-from .plans.location import GEOC_OUTPUT, flat_geometry, impute_location, location_table
+from .plans.location import GEOC_OUTPUT, enrich_locations, flat_geometry, impute_location, location_table
 from .sources.fixtures import fixture_inputs
 from .sources.schemas import ADMIN_NAME_COLUMNS
 
@@ -66,14 +68,8 @@ def _person_pool(build):
 def _earliest(kind: str) -> Query:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         reg, apps = _pf_apps(spark, sf_dir, COUNTRY_INV)
-        pool = (
-            pool_priority(reg, apps)
-            .unionByName(pool_continual(reg, apps))
-            .unionByName(pool_tech_rel(reg, apps))
-            .unionByName(pool_pct(reg, apps))
-        )
         rows = own_code_rows(reg, COUNTRY_INV)
-        win = earliest_winner(pool, kind, rows)
+        win = earliest_winner(subsequent_pool(reg, apps), kind, rows)
         return (
             win.join(rows, "subsequent_id")
             .join(apps.select("appln_id", "type"), "appln_id")
@@ -135,6 +131,45 @@ def _direct_other(spark: SparkSession, sf_dir: str) -> DataFrame:
     return direct_other_codes(apps, reg, COUNTRY_INV)
 
 
+def _earliest_other_role(kind: str) -> Query:
+    """Sources 5 / 6 candidates (EARLIEST_EQUIVALENT5_ / EARLIEST_SUBSEQUENT_FILING6_),
+    with the reference's person x code multiplicity."""
+
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        reg, apps = _pf_apps(spark, sf_dir, COUNTRY_INV)
+        rows = other_code_rows(reg, COUNTRY_INV)
+        win = earliest_winner(subsequent_pool(reg, apps), kind, rows)
+        return (
+            win.join(rows, "subsequent_id")
+            .join(apps.select("appln_id", "type"), "appln_id")
+            .select("appln_id", "subsequent_id", "ctry_code", "type", "min_date")
+        )
+
+    return q
+
+
+def _pool_location(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The location script's pool, at filing grain."""
+    reg, apps = _pf_apps(spark, sf_dir, LOCATION_INV)
+    return subsequent_pool(reg, apps).join(apps.select("appln_id", "patent_office", "appln_filing_year"), "appln_id").select(
+        "appln_id", "subsequent_id", "patent_office", "appln_filing_year", "subsequent_date", "nb_priorities", "type"
+    )
+
+
+def _earliest_equivalent_location(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Location source 2 candidates (EARLIEST_EQUIVALENT2_ of the location script)."""
+    reg, loc = fixture_inputs(spark, sf_dir)
+    apps = first_filing_applications(first_filings(reg, LOCATION_INV))
+    rows = locations_by_subsequent(locations(reg, loc, "inv"))
+    win = earliest_winner(subsequent_pool(reg, apps), EQUIVALENT, rows)
+    out = win.join(rows, "subsequent_id").join(apps.select("appln_id", "type"), "appln_id")
+    flat = flat_geometry(enrich_locations(out, loc))
+    return flat.select(
+        "appln_id", "subsequent_id", *ADMIN_NAME_COLUMNS, "lat", "lng", "lat_exact", "lng_exact",
+        "geom_x", "geom_y", "geom_m_x", "geom_m_y", "coord_source", "type", "min_date",
+    )
+
+
 QUERIES: dict[str, Query] = {
     "excluded_applications": lambda spark, sf_dir: excluded_applications(_reg(spark, sf_dir)),
     "first_filings_loc": lambda spark, sf_dir: first_filings(_reg(spark, sf_dir), LOCATION_INV),
@@ -161,4 +196,8 @@ QUERIES: dict[str, Query] = {
     "impute_location_inv": _location(LOCATION_INV),
     "impute_location_app": _location(LOCATION_APP),
     "bridge": lambda spark, sf_dir: bridge(_reg(spark, sf_dir)),
+    "pool_location": _pool_location,
+    "earliest_equivalent_other_role": _earliest_other_role(EQUIVALENT),
+    "earliest_other_other_role": _earliest_other_role(OTHER),
+    "earliest_equivalent_location": _earliest_equivalent_location,
 }
