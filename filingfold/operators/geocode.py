@@ -4,7 +4,8 @@
 even-odd test written in native array expressions:
 
 * every polygon lists the 1-degree cells its bounding box touches (explode of a
-  ``sequence``), and its edges are computed once;
+  ``sequence``), each with only the edges that can matter for a point in it
+  (its latitude band, from its column eastwards);
 * every *distinct* exact point has one cell;
 * the join on the cell is an ordinary shuffle join (AQE splits a hot cell), the
   test runs inside codegen, and the lowest polygon id wins where polygons overlap
@@ -36,11 +37,25 @@ def polygon_cells(admin_levels: DataFrame, cell: float = CELL_DEGREES) -> DataFr
         F.floor(F.array_min(ys) / cell).alias("y_lo"),
         F.floor(F.array_max(ys) / cell).alias("y_hi"),
     )
-    return (
+    cells = (
         boxed.withColumn("cx", F.explode(F.sequence("x_lo", "x_hi")))
         .withColumn("cy", F.explode(F.sequence("y_lo", "y_hi")))
         .drop("x_lo", "x_hi", "y_lo", "y_hi")
     )
+    # A point of cell (cx, cy) casts its ray towards +x at a latitude inside the
+    # cell's row band, and lies on an edge only if that edge reaches the band and
+    # the cell's column.  Keep only those edges per cell, so a test costs the edges
+    # near the point, not the whole outline (country outlines have 10^5 edges).
+    band_lo = F.col("cy") * cell
+    band_hi = (F.col("cy") + 1) * cell
+    col_lo = F.col("cx") * cell
+    near = F.filter(
+        "segments",
+        lambda e: (F.greatest(e["y1"], e["y2"]) >= band_lo)
+        & (F.least(e["y1"], e["y2"]) <= band_hi)
+        & (F.greatest(e["x1"], e["x2"]) >= col_lo),
+    )
+    return cells.withColumn("segments", near)
 
 
 def admin_of_points(points: DataFrame, admin_levels: DataFrame, cell: float = CELL_DEGREES) -> DataFrame:
