@@ -662,6 +662,14 @@ def oracle_queries() -> dict[str, str]:
         ),
         "earliest_equivalent_other_role": _with(ci(), "SELECT appln_id, subsequent_id, ctry_code, type, min_date FROM eeq5_ci_"),
         "earliest_other_other_role": _with(ci(), "SELECT appln_id, subsequent_id, ctry_code, type, min_date FROM eeq6_ci_"),
+        "direct_own_locations": _with(
+            geo() + _location_union_ctes("inv") + _location_union_ctes("app") + _location_ctes(LOCATION_INV, "li"),
+            "SELECT appln_id, lat, lng, lat_exact, lng_exact, coord_source FROM lpri1_li",
+        ),
+        "direct_other_locations": _with(
+            geo() + _location_union_ctes("inv") + _location_union_ctes("app") + _location_ctes(LOCATION_INV, "li"),
+            "SELECT appln_id, lat, lng, lat_exact, lng_exact, coord_source FROM lpri4_li",
+        ),
         "earliest_equivalent_location": _with(
             geo() + _location_union_ctes("inv") + _location_union_ctes("app") + _location_ctes(LOCATION_INV, "li"),
             f"SELECT appln_id, subsequent_id, {_cols('', _GEOC_PAYLOAD)}, type, min_date FROM eleq2_li_",

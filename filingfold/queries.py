@@ -24,7 +24,9 @@ from .operators.select import (
     EQUIVALENT,
     OTHER,
     direct_other_codes,
+    direct_other_locations,
     direct_own_codes,
+    direct_own_locations,
     earliest_winner,
     locations_by_subsequent,
     other_code_rows,
@@ -170,6 +172,20 @@ def _earliest_equivalent_location(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def _direct_locations(own: bool) -> Query:
+    """Location sources 1 and 4 (the location script's PRIORITY_FILINGS1 / 4),
+    as lean rows: (appln_id, lat, lng, lat_exact, lng_exact, coord_source)."""
+
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        reg, loc = fixture_inputs(spark, sf_dir)
+        pf = first_filings(reg, LOCATION_INV)
+        if own:
+            return direct_own_locations(pf, locations(reg, loc, "inv"))
+        return direct_other_locations(first_filing_applications(pf), locations(reg, loc, "app"))
+
+    return q
+
+
 QUERIES: dict[str, Query] = {
     "excluded_applications": lambda spark, sf_dir: excluded_applications(_reg(spark, sf_dir)),
     "first_filings_loc": lambda spark, sf_dir: first_filings(_reg(spark, sf_dir), LOCATION_INV),
@@ -200,4 +216,6 @@ QUERIES: dict[str, Query] = {
     "earliest_equivalent_other_role": _earliest_other_role(EQUIVALENT),
     "earliest_other_other_role": _earliest_other_role(OTHER),
     "earliest_equivalent_location": _earliest_equivalent_location,
+    "direct_own_locations": _direct_locations(own=True),
+    "direct_other_locations": _direct_locations(own=False),
 }
