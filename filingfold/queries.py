@@ -33,6 +33,7 @@ from .operators.select import (
     own_code_rows,
 )
 from .plans.country import impute_country
+from .session import cut_lineage
 from .plans.location import GEOC_OUTPUT, enrich_locations, flat_geometry, impute_location, location_table
 from .sources.fixtures import fixture_inputs
 from .sources.schemas import ADMIN_NAME_COLUMNS
@@ -55,8 +56,10 @@ def _reg(spark: SparkSession, sf_dir: str):
 
 
 def _pf_apps(spark, sf_dir, cfg):
+    """Register and first-filing applications, materialised once: the pools read
+    them four times (one per pool type)."""
     reg = _reg(spark, sf_dir)
-    return reg, first_filing_applications(first_filings(reg, cfg))
+    return reg, first_filing_applications(cut_lineage(first_filings(reg, cfg)))
 
 
 def _person_pool(build):
@@ -161,8 +164,8 @@ def _pool_location(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _earliest_equivalent_location(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Location source 2 candidates (EARLIEST_EQUIVALENT2_ of the location script)."""
     reg, loc = fixture_inputs(spark, sf_dir)
-    apps = first_filing_applications(first_filings(reg, LOCATION_INV))
-    rows = locations_by_subsequent(locations(reg, loc, "inv"))
+    apps = first_filing_applications(cut_lineage(first_filings(reg, LOCATION_INV)))
+    rows = locations_by_subsequent(cut_lineage(locations(reg, loc, "inv")))
     win = earliest_winner(subsequent_pool(reg, apps), EQUIVALENT, rows)
     out = win.join(rows, "subsequent_id").join(apps.select("appln_id", "type"), "appln_id")
     flat = flat_geometry(enrich_locations(out, loc))
@@ -178,7 +181,7 @@ def _direct_locations(own: bool) -> Query:
 
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         reg, loc = fixture_inputs(spark, sf_dir)
-        pf = first_filings(reg, LOCATION_INV)
+        pf = cut_lineage(first_filings(reg, LOCATION_INV))
         if own:
             return direct_own_locations(pf, locations(reg, loc, "inv"))
         return direct_other_locations(first_filing_applications(pf), locations(reg, loc, "app"))
