@@ -2,11 +2,11 @@
 
 The reference builds the first-filing table with nine inserts, each anti-joined
 against the rows inserted so far.  The eligibility conditions are the same in
-every insert, so the same table is obtained in one pass: compute eligibility
-once, find the best class of every application from the union of the class id
-sets (first match wins = lowest rank), and join the persons once.  All joins key
-on appln_id, so one hash partitioning serves the class join, the person join and
-the final DISTINCT.
+every insert, so the same table is obtained in one pass: filter the applications
+once (pushed into the scan), reduce every id set the classes and the publication
+tests need to one row per application with a single aggregation (first match wins
+= lowest rank), and join the persons once.  All joins key on appln_id, so one hash
+partitioning serves the facts join, the person join and the final DISTINCT.
 """
 
 from __future__ import annotations
@@ -61,12 +61,13 @@ def pct_first(appln_kind="appln_kind") -> F.Column:
 
 
 def eligible_applications(reg: Register, cfg: Config) -> DataFrame:
-    """Applications that pass every condition shared by the nine inserts (persons aside)."""
+    """Applications that pass the row-level conditions shared by the nine inserts
+    (office, kind, no PCT parent, year window); pushed into the parquet scan."""
     kind = F.col("appln_kind")
     national_kind = (kind == "A") if cfg.national_kind == "A" else (kind != "W")
     national = national_kind & browsed_office("appln_auth")
     international = (kind == "W") & browsed_office("receiving_office")
-    elig = reg.appln.filter(
+    return reg.appln.filter(
         (national | international)
         & (F.col("internat_appln_id") == 0)
         & in_year_range("appln_filing_year", cfg.year_range)
@@ -74,45 +75,60 @@ def eligible_applications(reg: Register, cfg: Config) -> DataFrame:
         "appln_id", "appln_kind", "appln_auth", "appln_filing_year", "appln_filing_date",
         "nat_phase", "reg_phase", "earliest_filing_id",
     )
-    if cfg.use_exclusions:
-        excluded = reg.publn.filter(excluded_publication()).select("appln_id")
-        elig = elig.join(excluded, "appln_id", "left_anti")
-    if cfg.require_publication:
-        published = reg.publn.filter(F.col("publn_nr").isNotNull() & (F.col("publn_kind") != "D2")).select("appln_id")
-        elig = elig.join(published, "appln_id", "left_semi")
-    return elig
-
-
-def class_ranks(reg: Register) -> DataFrame:
-    """Best id-set class per application: (appln_id, rank) with rank 1, 3, 4 or 5.
-    The pct class (rank 2) depends on the application row only and is tested later."""
-    ranked = (
-        reg.prior.select(F.col("prior_appln_id").alias("appln_id"), F.lit(RANK_PRIORITY).alias("rank"))
-        .unionByName(reg.contn.select(F.col("parent_appln_id").alias("appln_id"), F.lit(RANK_CONTINUAL).alias("rank")))
-        .unionByName(
-            reg.tech_rel.select(F.col("tech_rel_appln_id").alias("appln_id"), F.lit(RANK_TECH_REL).alias("rank"))
+
+
+def application_facts(reg: Register, cfg: Config) -> DataFrame:
+    """Everything the classifier needs from other tables, per application, in one
+    aggregation: the best id-set class (rank 1, 3, 4 or 5; pct = 2 is a row test),
+    whether a publication is excluded, and whether one is numbered and not D2.
+    All id sets are appended and reduced with combinable min/max, so there is one
+    shuffle for all of them and hot ids pre-aggregate map-side."""
+    null_int = F.lit(None).cast("int")
+
+    def ranked(df: DataFrame, col: str, rank: int) -> DataFrame:
+        return df.select(
+            F.col(col).alias("appln_id"), F.lit(rank).alias("rank"),
+            null_int.alias("excluded"), null_int.alias("published"),
+        )
+
+    facts = (
+        ranked(reg.prior, "prior_appln_id", RANK_PRIORITY)
+        .unionByName(ranked(reg.contn, "parent_appln_id", RANK_CONTINUAL))
+        .unionByName(ranked(reg.tech_rel, "tech_rel_appln_id", RANK_TECH_REL))
+        .unionByName(ranked(single_family_applications(reg.appln), "appln_id", RANK_SINGLE))
+    )
+    if cfg.use_exclusions or cfg.require_publication:
+        numbered = F.col("publn_nr").isNotNull() & (F.col("publn_kind") != "D2")
+        facts = facts.unionByName(
+            reg.publn.select(
+                "appln_id", null_int.alias("rank"),
+                excluded_publication().cast("int").alias("excluded"), numbered.cast("int").alias("published"),
+            )
         )
-        .unionByName(single_family_applications(reg.appln).withColumn("rank", F.lit(RANK_SINGLE)))
+    return (
+        facts.filter(F.col("appln_id").isNotNull())
+        .groupBy("appln_id")
+        .agg(F.min("rank").alias("rank"), F.max("excluded").alias("excluded"), F.max("published").alias("published"))
     )
-    return ranked.filter(F.col("appln_id").isNotNull()).groupBy("appln_id").agg(F.min("rank").alias("rank"))
 
 
 def first_filings(reg: Register, cfg: Config) -> DataFrame:
     """C1: the first-filing table (one row per application x person in own role)."""
-    elig = eligible_applications(reg, cfg)
     rank = F.col("rank")
-    typed = (
-        elig.join(class_ranks(reg), "appln_id", "left")
-        .withColumn(
-            "type",
-            F.when(rank == RANK_PRIORITY, F.lit(TYPE_PRIORITY))
-            .when(pct_first(), F.lit(TYPE_PCT))
-            .when(rank == RANK_CONTINUAL, F.lit(TYPE_CONTINUAL))
-            .when(rank == RANK_TECH_REL, F.lit(TYPE_TECH_REL))
-            .when(rank == RANK_SINGLE, F.lit(TYPE_SINGLE)),
-        )
-        .filter(F.col("type").isNotNull())
-    )
+    typed = eligible_applications(reg, cfg).join(application_facts(reg, cfg), "appln_id", "left")
+    if cfg.use_exclusions:
+        # LEFT JOIN toExclude ... IS NULL: one excluded publication drops the application.
+        typed = typed.filter(F.coalesce(F.col("excluded"), F.lit(0)) == 0)
+    if cfg.require_publication:
+        typed = typed.filter(F.col("published") == 1)
+    typed = typed.withColumn(
+        "type",
+        F.when(rank == RANK_PRIORITY, F.lit(TYPE_PRIORITY))
+        .when(pct_first(), F.lit(TYPE_PCT))
+        .when(rank == RANK_CONTINUAL, F.lit(TYPE_CONTINUAL))
+        .when(rank == RANK_TECH_REL, F.lit(TYPE_TECH_REL))
+        .when(rank == RANK_SINGLE, F.lit(TYPE_SINGLE)),
+    ).filter(F.col("type").isNotNull())
     persons = reg.pers_appln.filter(F.col(cfg.own_seq) > 0).select("appln_id", "person_id")
     person = F.col("person_id")
     if cfg.pct_person == "reference":

@@ -26,42 +26,74 @@ def _firsts(pf_apps: DataFrame, type_: str) -> DataFrame:
     return pf_apps.filter(F.col("type") == type_).select("appln_id")
 
 
-def _dated(reg: Register) -> DataFrame:
-    return reg.appln.select(F.col("appln_id").alias("subsequent_id"), F.col("appln_filing_date").alias("subsequent_date"))
+# Link tables that define a pool: (type, table, column holding the first filing).
+def _link_tables(reg: Register):
+    return (
+        (TYPE_PRIORITY, reg.prior, "prior_appln_id"),
+        (TYPE_CONTINUAL, reg.contn, "parent_appln_id"),
+        (TYPE_TECH_REL, reg.tech_rel, "tech_rel_appln_id"),
+    )
 
 
-def _linked_pool(firsts: DataFrame, links: DataFrame, first_col: str, nb: DataFrame, reg: Register, type_: str):
-    pairs = links.select(F.col(first_col).alias("appln_id"), F.col("appln_id").alias("subsequent_id")).join(
-        firsts, "appln_id", "left_semi"
+def linked_pool(reg: Register, pf_apps: DataFrame) -> DataFrame:
+    """Priority, continual and technical-relation pools in one plan.
+
+    The three link tables are appended once, tagged with their pool type.  That one
+    union feeds both the nb_priorities aggregate (highest claim number for
+    priorities, number of rows for continuations and relations; over *all* rows of
+    the subsequent filing) and the pairs (first filing, subsequent filing) kept for
+    first filings of the matching type; the subsequent filing's date and nb are
+    then joined on subsequent_id, so tls201 is scanned once for all three types."""
+    links = None
+    for type_, table, first_col in _link_tables(reg):
+        seq = F.col("prior_appln_seq_nr") if type_ == TYPE_PRIORITY else F.lit(None).cast("int")
+        part = table.select(
+            F.col(first_col).alias("appln_id"),
+            F.col("appln_id").alias("subsequent_id"),
+            F.lit(type_).alias("type"),
+            seq.alias("seq"),
+        )
+        links = part if links is None else links.unionByName(part)
+    t = F.col("type")
+    nb = links.groupBy("subsequent_id").agg(
+        F.max(F.when(t == TYPE_PRIORITY, F.col("seq"))).alias("nb_priority"),
+        F.count(F.when(t == TYPE_CONTINUAL, F.lit(1))).alias("nb_continual"),
+        F.count(F.when(t == TYPE_TECH_REL, F.lit(1))).alias("nb_tech_rel"),
+    )
+    pairs = links.select("appln_id", "subsequent_id", "type").join(
+        pf_apps.select("appln_id", "type"), ["appln_id", "type"], "left_semi"
+    )
+    nb_of_type = (
+        F.when(t == TYPE_PRIORITY, F.col("nb_priority"))
+        .when(t == TYPE_CONTINUAL, F.col("nb_continual"))
+        .otherwise(F.col("nb_tech_rel"))
+        .cast("int")
     )
     return (
         pairs.join(_dated(reg), "subsequent_id")
         .join(nb, "subsequent_id")
-        .select("appln_id", "subsequent_id", "subsequent_date", "nb_priorities", F.lit(type_).alias("type"))
+        .select("appln_id", "subsequent_id", "subsequent_date", nb_of_type.alias("nb_priorities"), "type")
         .distinct()
     )
 
 
+def _dated(reg: Register) -> DataFrame:
+    return reg.appln.select(F.col("appln_id").alias("subsequent_id"), F.col("appln_filing_date").alias("subsequent_date"))
+
+
 def pool_priority(reg: Register, pf_apps: DataFrame) -> DataFrame:
     """Filings claiming the first filing as priority; nb = highest claim sequence number."""
-    nb = reg.prior.groupBy(F.col("appln_id").alias("subsequent_id")).agg(
-        F.max("prior_appln_seq_nr").cast("int").alias("nb_priorities")
-    )
-    return _linked_pool(_firsts(pf_apps, TYPE_PRIORITY), reg.prior, "prior_appln_id", nb, reg, TYPE_PRIORITY)
+    return linked_pool(reg, pf_apps).filter(F.col("type") == TYPE_PRIORITY)
 
 
 def pool_continual(reg: Register, pf_apps: DataFrame) -> DataFrame:
     """Continuations of the first filing; nb = number of parents of the continuation."""
-    nb = reg.contn.groupBy(F.col("appln_id").alias("subsequent_id")).agg(F.count(F.lit(1)).cast("int").alias("nb_priorities"))
-    return _linked_pool(_firsts(pf_apps, TYPE_CONTINUAL), reg.contn, "parent_appln_id", nb, reg, TYPE_CONTINUAL)
+    return linked_pool(reg, pf_apps).filter(F.col("type") == TYPE_CONTINUAL)
 
 
 def pool_tech_rel(reg: Register, pf_apps: DataFrame) -> DataFrame:
     """Technically related filings; nb = number of relations of the related filing."""
-    nb = reg.tech_rel.groupBy(F.col("appln_id").alias("subsequent_id")).agg(
-        F.count(F.lit(1)).cast("int").alias("nb_priorities")
-    )
-    return _linked_pool(_firsts(pf_apps, TYPE_TECH_REL), reg.tech_rel, "tech_rel_appln_id", nb, reg, TYPE_TECH_REL)
+    return linked_pool(reg, pf_apps).filter(F.col("type") == TYPE_TECH_REL)
 
 
 def pool_pct(reg: Register, pf_apps: DataFrame) -> DataFrame:
@@ -94,13 +126,8 @@ def pool_pct(reg: Register, pf_apps: DataFrame) -> DataFrame:
 
 
 def subsequent_pool(reg: Register, pf_apps: DataFrame) -> DataFrame:
-    """All four pools appended (filing grain)."""
-    return (
-        pool_priority(reg, pf_apps)
-        .unionByName(pool_continual(reg, pf_apps))
-        .unionByName(pool_tech_rel(reg, pf_apps))
-        .unionByName(pool_pct(reg, pf_apps))
-    )
+    """All pools appended (filing grain)."""
+    return linked_pool(reg, pf_apps).unionByName(pool_pct(reg, pf_apps))
 
 
 def person_pool(reg: Register, pool: DataFrame, pf_apps: DataFrame) -> DataFrame:
