@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..config import ROLE_INV
+from ..config import ROLE_APP, ROLE_INV
 from ..constants import (
     DS_CN,
     DS_EU,
@@ -48,19 +48,27 @@ def country_codes(reg: Register, role: str) -> DataFrame:
     )
 
 
-def locations(reg: Register, loc: LocationInputs, role: str) -> DataFrame:
-    """C4: geocoded locations of persons in ``role``, five (inventors) or six
-    (applicants) branches appended; DISTINCT within each branch only."""
+def location_rows(reg: Register, loc: LocationInputs) -> DataFrame:
+    """C4 for both roles in one plan: the rows of the inventor and applicant location
+    tables, tagged with ``role`` ('inv' / 'app').  A source row that qualifies for
+    both roles is emitted once per role; DISTINCT is taken within each branch and
+    role, as the reference does per table.  Each input table is scanned and
+    shuffled once for both roles."""
     addr = loc.addresses
     person_id0 = F.lit(0).cast("long").alias("person_id")
 
+    def roles(inv: F.Column, app: F.Column) -> F.Column:
+        return F.explode(F.array_compact(F.array(F.when(inv, F.lit(ROLE_INV)), F.when(app, F.lit(ROLE_APP)))))
+
     # Register persons geocoded by location id (PATSTAT/REGPAT and USPTO addresses).
-    persons = reg.pers_appln.filter(F.col(_seq(role)) > 0).select("person_id", "appln_id")
+    persons = reg.pers_appln.filter((F.col("invt_seq_nr") > 0) | (F.col("applt_seq_nr") > 0)).select(
+        "person_id", "appln_id", roles(F.col("invt_seq_nr") > 0, F.col("applt_seq_nr") > 0).alias("role")
+    )
     by_person = (
         addr.filter(F.col("data_source").isin(DS_PATSTAT, DS_USPTO))
         .join(loc.person_location, "location_id")
         .join(persons, "person_id")
-        .select("unformattedaddress", "appln_id", "person_id", *_PAYLOAD)
+        .select("role", "unformattedaddress", "appln_id", "person_id", *_PAYLOAD)
         .distinct()
         .drop("unformattedaddress")
     )
@@ -68,40 +76,47 @@ def locations(reg: Register, loc: LocationInputs, role: str) -> DataFrame:
     # WIPO addresses matched on the free text.  The reference writes
     # ``ds IN (...) AND rel = a OR rel = b ...`` without parentheses, so the
     # data_source test only guards the first relation type (kept as written).
-    if role == ROLE_INV:
-        with_source, any_source = PCT_RELATIONS_INV_WITH_SOURCE, PCT_RELATIONS_INV_ANY_SOURCE
-    else:
-        with_source, any_source = PCT_RELATIONS_APP_WITH_SOURCE, PCT_RELATIONS_APP_ANY_SOURCE
     rel = F.col("relation_type_id")
-    pct_cond = (F.col("data_source").isin(DS_PCT, DS_PATSTAT, DS_USPTO) & (rel == with_source)) | rel.isin(
-        *any_source
-    )
+    listed = F.col("data_source").isin(DS_PCT, DS_PATSTAT, DS_USPTO)
+    inv_text = (listed & (rel == PCT_RELATIONS_INV_WITH_SOURCE)) | rel.isin(*PCT_RELATIONS_INV_ANY_SOURCE)
+    app_text = (listed & (rel == PCT_RELATIONS_APP_WITH_SOURCE)) | rel.isin(*PCT_RELATIONS_APP_ANY_SOURCE)
     by_text = (
         addr.join(loc.addresses_pct, addr.unformattedaddress == loc.addresses_pct.address_text)
-        .filter(pct_cond)
-        .select("unformattedaddress", "appln_id", person_id0, *_PAYLOAD)
+        .filter(inv_text | app_text)
+        .select(roles(inv_text, app_text).alias("role"), "unformattedaddress", "appln_id", person_id0, *_PAYLOAD)
         .distinct()
         .drop("unformattedaddress")
     )
 
-    tag = "INV" if role == ROLE_INV else "APP"
-
-    def by_office(mapping: DataFrame, source: str) -> DataFrame:
+    # Office mappings tag each row 'INV' or 'APP'.  The Chinese office is read for
+    # applicants only (a comment announces KR; the statement reads CN).
+    def by_office(mapping: DataFrame, source: str, tags: tuple[str, ...]) -> DataFrame:
         return (
             addr.filter(F.col("data_source") == source)
-            .join(mapping.filter(F.col("app_inv") == tag), "location_id")
-            .select("appln_id", person_id0, *_PAYLOAD)
+            .join(mapping.filter(F.col("app_inv").isin(*tags)), "location_id")
+            .select(F.lower(F.col("app_inv")).alias("role"), "appln_id", person_id0, *_PAYLOAD)
             .distinct()
         )
 
-    branches = [by_person, by_text, by_office(loc.appln_location_eu, DS_EU), by_office(loc.appln_location_jp, DS_JP)]
-    if role == ROLE_INV:
-        branches.append(by_office(loc.appln_location_kr, DS_KR))
-    else:
-        # The applicant side also reads the Chinese office (announced as KR in a comment).
-        branches.append(by_office(loc.appln_location_cn, DS_CN))
-        branches.append(by_office(loc.appln_location_kr, DS_KR))
+    branches = [
+        by_person,
+        by_text,
+        by_office(loc.appln_location_eu, DS_EU, ("INV", "APP")),
+        by_office(loc.appln_location_jp, DS_JP, ("INV", "APP")),
+        by_office(loc.appln_location_kr, DS_KR, ("INV", "APP")),
+        by_office(loc.appln_location_cn, DS_CN, ("APP",)),
+    ]
     out = branches[0]
     for b in branches[1:]:
         out = out.unionByName(b)
-    return out.select(*LOCATION_ROW_COLUMNS)
+    return out.select("role", *LOCATION_ROW_COLUMNS)
+
+
+def locations(reg: Register, loc: LocationInputs, role: str) -> DataFrame:
+    """C4: geocoded locations of persons in ``role`` (the reference's five inventor
+    or six applicant branches, appended)."""
+    return role_rows(location_rows(reg, loc), role)
+
+
+def role_rows(rows: DataFrame, role: str) -> DataFrame:
+    return rows.filter(F.col("role") == role).select(*LOCATION_ROW_COLUMNS)

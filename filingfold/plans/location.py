@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..config import LOCATION_APP, LOCATION_INV, Config
 from ..operators.classify import first_filing_applications, first_filings
 from ..operators.geocode import admin_of_points, attach_admin, with_geometry
-from ..operators.info import locations
+from ..operators.info import location_rows, locations, role_rows
 from ..operators.pool import subsequent_pool
 from ..operators.select import (
     LEAN,
@@ -42,8 +42,9 @@ def impute_location(reg: Register, loc: LocationInputs, cfg: Config) -> DataFram
     # Materialise the frames several branches read (see plans.country).
     pf = cut_lineage(first_filings(reg, cfg))
     pf_apps = first_filing_applications(pf)
-    own = cut_lineage(locations(reg, loc, cfg.role))
-    other = cut_lineage(locations(reg, loc, cfg.other_role))
+    rows = cut_lineage(location_rows(reg, loc))  # both roles, one pass over the inputs
+    own = role_rows(rows, cfg.role)
+    other = role_rows(rows, cfg.other_role)
     cands = Candidates(
         own_direct=direct_own_locations(pf, own),
         own_by_subsequent=locations_by_subsequent(own),
