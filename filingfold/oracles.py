@@ -608,6 +608,14 @@ _LOC_TABLE_COLS = ", ".join(("appln_id", "person_id", *_LOC_PAYLOAD, "data_sourc
 _GEOC_COLS = ", ".join(("appln_id", "patent_office", "priority_date", "priority_year", *_GEOC_PAYLOAD, "source", "type"))
 
 
+def _exact_as_double(cols: str) -> str:
+    """Select list with the exact coordinates as DOUBLE (see queries._exact_as_double)."""
+    out = []
+    for c in (x.strip() for x in cols.split(",")):
+        out.append(f"CAST({c} AS DOUBLE) AS {c}" if c in ("lat_exact", "lng_exact") else c)
+    return ", ".join(out)
+
+
 def _with(ctes: list[str], select: str) -> str:
     return "WITH " + ",\n".join(_adapter() + ctes) + "\n" + select
 
@@ -643,17 +651,17 @@ def oracle_queries() -> dict[str, str]:
         "impute_country_inv": _with(ci(), f"SELECT {_COUNTRY_COLS} FROM ctry_ci"),
         "impute_country_app": _with(_codes_ctes() + _country_ctes(COUNTRY_APP, "ca"), f"SELECT {_COUNTRY_COLS} FROM ctry_ca"),
         "country_label": _with([], f"SELECT DISTINCT person_ctry_code AS ctry_code, {_label_case('person_ctry_code')} AS country FROM tls206_person"),
-        "locations_inv": _with(geo() + _location_union_ctes("inv"), f"SELECT {_LOC_TABLE_COLS} FROM locs_inv"),
-        "locations_app": _with(geo() + _location_union_ctes("app"), f"SELECT {_LOC_TABLE_COLS} FROM locs_app"),
+        "locations_inv": _with(geo() + _location_union_ctes("inv"), f"SELECT {_exact_as_double(_LOC_TABLE_COLS)} FROM locs_inv"),
+        "locations_app": _with(geo() + _location_union_ctes("app"), f"SELECT {_exact_as_double(_LOC_TABLE_COLS)} FROM locs_app"),
         "geocode_admin": _with(geo(), f"SELECT location_id, {_NAMES} FROM addr_geo"),
         "project_metres": _with(geo(), "SELECT location_id, geom_x, geom_y, geom_m_x, geom_m_y FROM addr_geo"),
         "impute_location_inv": _with(
             geo() + _location_union_ctes("inv") + _location_union_ctes("app") + _location_ctes(LOCATION_INV, "li"),
-            f"SELECT {_GEOC_COLS} FROM geoc_li",
+            f"SELECT {_exact_as_double(_GEOC_COLS)} FROM geoc_li",
         ),
         "impute_location_app": _with(
             geo() + _location_union_ctes("inv") + _location_union_ctes("app") + _location_ctes(LOCATION_APP, "la"),
-            f"SELECT {_GEOC_COLS} FROM geoc_la",
+            f"SELECT {_exact_as_double(_GEOC_COLS)} FROM geoc_la",
         ),
         "bridge": _with(_bridge_ctes(), "SELECT * FROM brs8"),
         "pool_location": _with(
@@ -664,14 +672,14 @@ def oracle_queries() -> dict[str, str]:
         "earliest_other_other_role": _with(ci(), "SELECT appln_id, subsequent_id, ctry_code, type, min_date FROM eeq6_ci_"),
         "direct_own_locations": _with(
             geo() + _location_union_ctes("inv") + _location_union_ctes("app") + _location_ctes(LOCATION_INV, "li"),
-            "SELECT appln_id, lat, lng, lat_exact, lng_exact, coord_source FROM lpri1_li",
+            "SELECT appln_id, lat, lng, CAST(lat_exact AS DOUBLE) AS lat_exact, CAST(lng_exact AS DOUBLE) AS lng_exact, coord_source FROM lpri1_li",
         ),
         "direct_other_locations": _with(
             geo() + _location_union_ctes("inv") + _location_union_ctes("app") + _location_ctes(LOCATION_INV, "li"),
-            "SELECT appln_id, lat, lng, lat_exact, lng_exact, coord_source FROM lpri4_li",
+            "SELECT appln_id, lat, lng, CAST(lat_exact AS DOUBLE) AS lat_exact, CAST(lng_exact AS DOUBLE) AS lng_exact, coord_source FROM lpri4_li",
         ),
         "earliest_equivalent_location": _with(
             geo() + _location_union_ctes("inv") + _location_union_ctes("app") + _location_ctes(LOCATION_INV, "li"),
-            f"SELECT appln_id, subsequent_id, {_cols('', _GEOC_PAYLOAD)}, type, min_date FROM eleq2_li_",
+            f"SELECT appln_id, subsequent_id, {_exact_as_double(_cols('', _GEOC_PAYLOAD))}, type, min_date FROM eleq2_li_",
         ),
     }

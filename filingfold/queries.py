@@ -51,6 +51,12 @@ _LOC_TABLE = (
 )
 
 
+def _exact_as_double(df: DataFrame) -> DataFrame:
+    """Compared outputs carry the exact coordinates as DOUBLE (the fixture values are
+    quarter degrees, exact in binary); the library keeps DECIMAL(20,15)."""
+    return df.select(*[F.col(c).cast("double").alias(c) if c in ("lat_exact", "lng_exact") else F.col(c) for c in df.columns])
+
+
 def _reg(spark: SparkSession, sf_dir: str):
     return fixture_inputs(spark, sf_dir)[0]
 
@@ -91,7 +97,7 @@ def _country(cfg) -> Query:
 def _location(cfg) -> Query:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         reg, loc = fixture_inputs(spark, sf_dir)
-        return flat_geometry(impute_location(reg, loc, cfg)).select(*_FLAT_GEOC)
+        return _exact_as_double(flat_geometry(impute_location(reg, loc, cfg)).select(*_FLAT_GEOC))
 
     return q
 
@@ -99,7 +105,7 @@ def _location(cfg) -> Query:
 def _location_table(role: str) -> Query:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         reg, loc = fixture_inputs(spark, sf_dir)
-        return flat_geometry(location_table(reg, loc, role)).select(*_LOC_TABLE)
+        return _exact_as_double(flat_geometry(location_table(reg, loc, role)).select(*_LOC_TABLE))
 
     return q
 
@@ -168,7 +174,7 @@ def _earliest_equivalent_location(spark: SparkSession, sf_dir: str) -> DataFrame
     rows = locations_by_subsequent(cut_lineage(locations(reg, loc, "inv")))
     win = earliest_winner(subsequent_pool(reg, apps), EQUIVALENT, rows)
     out = win.join(rows, "subsequent_id").join(apps.select("appln_id", "type"), "appln_id")
-    flat = flat_geometry(enrich_locations(out, loc))
+    flat = _exact_as_double(flat_geometry(enrich_locations(out, loc)))
     return flat.select(
         "appln_id", "subsequent_id", *ADMIN_NAME_COLUMNS, "lat", "lng", "lat_exact", "lng_exact",
         "geom_x", "geom_y", "geom_m_x", "geom_m_y", "coord_source", "type", "min_date",
@@ -183,8 +189,8 @@ def _direct_locations(own: bool) -> Query:
         reg, loc = fixture_inputs(spark, sf_dir)
         pf = cut_lineage(first_filings(reg, LOCATION_INV))
         if own:
-            return direct_own_locations(pf, locations(reg, loc, "inv"))
-        return direct_other_locations(first_filing_applications(pf), locations(reg, loc, "app"))
+            return _exact_as_double(direct_own_locations(pf, locations(reg, loc, "inv")))
+        return _exact_as_double(direct_other_locations(first_filing_applications(pf), locations(reg, loc, "app")))
 
     return q
 
