@@ -150,6 +150,12 @@ def _adapter() -> list[str]:
     CAST(NULL AS VARCHAR) AS engtype_3, CAST(NULL AS VARCHAR) AS engtype_4, CAST(NULL AS VARCHAR) AS engtype_5,
     CAST(-125 + 50 * (n_nationkey % 5) AS DOUBLE) AS x0, CAST(-75 + 6 * (n_nationkey - n_nationkey % 5) AS DOUBLE) AS y0
   FROM nation LEFT JOIN region ON n_regionkey = r_regionkey)""",
+    ] + _lookups()
+
+
+def _lookups() -> list[str]:
+    """The browsed-office table and the excluded applications (C0)."""
+    return [
         f"po AS (SELECT * FROM (VALUES {', '.join(f'({_q(o)})' for o in BROWSED_OFFICES)}) v(patent_office))",
         "to_exclude AS (SELECT DISTINCT appln_id, publn_auth, publn_kind FROM tls211_pat_publn WHERE "
         + " OR ".join(f"(publn_auth = {_q(a)} AND publn_kind IN ({_in_list(k)}))" for a, k in EXCLUDED_PUBLICATION_KINDS)
@@ -683,3 +689,20 @@ def oracle_queries() -> dict[str, str]:
             f"SELECT appln_id, subsequent_id, {_exact_as_double(_cols('', _GEOC_PAYLOAD))}, type, min_date FROM eleq2_li_",
         ),
     }
+
+
+def register_sql() -> dict[str, str]:
+    """The sequential-form SQL of the register-only pipelines over tables named as
+    in the register (tls201_appln, tls204_appln_prior, ...), without the star-schema
+    adapter: used to test the rewrites on arbitrary registers."""
+
+    def w(ctes: list[str], select: str) -> str:
+        return "WITH " + ",\n".join(_lookups() + ctes) + "\n" + select
+
+    return {
+        "first_filings_loc": w(_first_filing_ctes(LOCATION_INV, "li"), "SELECT * FROM pf_li"),
+        "first_filings_app": w(_first_filing_ctes(COUNTRY_APP, "ca"), "SELECT * FROM pf_ca"),
+        "impute_country_inv": w(_codes_ctes() + _country_ctes(COUNTRY_INV, "ci"), f"SELECT {_COUNTRY_COLS} FROM ctry_ci"),
+        "impute_country_app": w(_codes_ctes() + _country_ctes(COUNTRY_APP, "ca"), f"SELECT {_COUNTRY_COLS} FROM ctry_ca"),
+        "bridge": w(_bridge_ctes(), "SELECT * FROM brs8"),
+    }
