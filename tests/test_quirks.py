@@ -108,3 +108,17 @@ def test_q11_bridge_pair_under_two_types(spark):
     )
     got = rows(bridge(reg), "prior_appln_id", "appln_id", "type")
     assert got == [(1, 1, "CONTINUAL"), (1, 2, "CONTINUAL"), (1, 2, "TECH_REL")]
+
+
+def test_source_6_other_role_of_other_subsequent_filing(spark):
+    # 2 claims two priorities (nb = 2: an "other" subsequent filing, not an
+    # equivalent); nobody has an inventor code, 2's applicant has one.
+    reg = register(
+        spark,
+        appln_rows=[appln(1, docdb_family_id=7), appln(2, docdb_family_id=7), appln(3, docdb_family_id=7)],
+        prior=[(2, 1, 1), (2, 3, 2)],
+        pers_appln=[(100, 1, 0, 1), (200, 2, 0, 1), (300, 2, 1, 0)],
+        person=[(100, None), (200, ""), (300, "FR")],
+    )
+    out = impute_country(reg, COUNTRY_INV, with_lastupdate=False).filter(F.col("appln_id") == 1)
+    assert rows(out, "person_id", "ctry_code", "source", "country") == [(0, "FR", 6, "France")]
