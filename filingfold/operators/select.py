@@ -47,40 +47,66 @@ def earliest_winner(pool: DataFrame, kind: str, usable: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- country information
 
 
-def own_code_rows(reg: Register, cfg: Config) -> DataFrame:
+def coded_person_rows(reg: Register) -> DataFrame:
+    """Every person row in either role with the person's code (NULL when the person
+    is unknown): (appln_id, person_id, applt_seq_nr, invt_seq_nr, ctry_code).  The
+    country pipeline materialises it once and derives every code table from it,
+    instead of joining the two large person tables once per tier."""
+    return (
+        reg.pers_appln.filter((F.col("applt_seq_nr") > 0) | (F.col("invt_seq_nr") > 0))
+        .select("person_id", "appln_id", "applt_seq_nr", "invt_seq_nr")
+        .join(reg.person.select("person_id", F.col("person_ctry_code").alias("ctry_code")), "person_id", "left")
+    )
+
+
+def _coded(reg: Register, coded: DataFrame | None) -> DataFrame:
+    return coded_person_rows(reg) if coded is None else coded
+
+
+def _seq(role: str) -> str:
+    return "invt_seq_nr" if role == "inv" else "applt_seq_nr"
+
+
+def role_codes(coded: DataFrame, role: str) -> DataFrame:
+    """Non-empty codes of persons in ``role``: DISTINCT (appln_id, person_id, ctry_code)."""
+    return (
+        coded.filter((F.col(_seq(role)) > 0) & nonempty("ctry_code"))
+        .select("appln_id", "person_id", "ctry_code")
+        .distinct()
+    )
+
+
+def own_code_rows(reg: Register, cfg: Config, coded: DataFrame | None = None) -> DataFrame:
     """Own-role rows of every filing usable for sources 2 and 3:
     (subsequent_id, person_id, ctry_code), one per distinct person row with a code.
 
     The reference joins the pool's person rows to the code table on (filing, person);
-    the code table is itself those person rows joined to the person table, so one
-    join on person_id gives the same multiset, and the DISTINCT reuses the join's
-    partitioning (no second shuffle)."""
+    the code table is itself those person rows joined to the person table, so the
+    person rows with their own code give the same multiset."""
     return (
-        reg.pers_appln.filter(F.col(cfg.own_seq) > 0)
-        .select("appln_id", "person_id", "applt_seq_nr", "invt_seq_nr")
-        .join(
-            reg.person.select("person_id", F.col("person_ctry_code").alias("ctry_code")).filter(nonempty("ctry_code")),
-            "person_id",
-        )
+        _coded(reg, coded)
+        .filter((F.col(cfg.own_seq) > 0) & nonempty("ctry_code"))
+        .select("appln_id", "person_id", "applt_seq_nr", "invt_seq_nr", "ctry_code")
         .distinct()
         .select(F.col("appln_id").alias("subsequent_id"), "person_id", "ctry_code")
     )
 
 
-def other_code_rows(reg: Register, cfg: Config) -> DataFrame:
+def other_code_rows(reg: Register, cfg: Config, coded: DataFrame | None = None) -> DataFrame:
     """Other-role rows for sources 5 and 6: (subsequent_id, person_id = 0, ctry_code).
 
     The reference joins these codes on the filing id only, while its pool has one row
     per person row of the filing, so each code row appears once per other-role person
     row (k x m rows).  Reproduced by repeating each code row k times, which needs
     the count k, not a pairwise join; ``dedupe_cross_role`` keeps distinct codes."""
-    codes = country_codes(reg, cfg.other_role).filter(nonempty("ctry_code"))
+    coded = _coded(reg, coded)
+    codes = role_codes(coded, cfg.other_role)
     if cfg.dedupe_cross_role:
         return codes.select(
             F.col("appln_id").alias("subsequent_id"), F.lit(0).cast("long").alias("person_id"), "ctry_code"
         ).distinct()
     k = (
-        reg.pers_appln.filter(F.col(cfg.other_seq) > 0)
+        coded.filter(F.col(cfg.other_seq) > 0)
         .select("appln_id", "person_id", "applt_seq_nr", "invt_seq_nr")
         .distinct()
         .groupBy("appln_id")
@@ -109,9 +135,9 @@ def direct_own_codes(pf: DataFrame, reg: Register, cfg: Config) -> DataFrame:
     )
 
 
-def direct_other_codes(pf_apps: DataFrame, reg: Register, cfg: Config) -> DataFrame:
+def direct_other_codes(pf_apps: DataFrame, reg: Register, cfg: Config, coded: DataFrame | None = None) -> DataFrame:
     """Country source 4 table (PRIORITY_FILINGS4): distinct other-role codes per first filing."""
-    codes = country_codes(reg, cfg.other_role).filter(nonempty("ctry_code"))
+    codes = role_codes(_coded(reg, coded), cfg.other_role)
     return (
         pf_apps.join(codes.select("appln_id", "ctry_code"), "appln_id")
         .select("appln_id", "patent_office", "appln_filing_year", "ctry_code", "type")
