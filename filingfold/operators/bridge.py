@@ -33,7 +33,7 @@ def _pairs(df: DataFrame, prior: str, member: str) -> DataFrame:
 
 def bridge_pairs(reg: Register, materialize: Callable[[DataFrame], DataFrame] = cut_lineage) -> DataFrame:
     """(prior_appln_id, appln_id, type) for every stage, appended."""
-    published = reg.publn.select("appln_id").join(reg.appln.select("appln_id"), "appln_id", "left_semi")
+    published = reg.publn.select("appln_id").distinct().join(reg.appln.select("appln_id"), "appln_id", "left_semi")
 
     def pub(pairs: DataFrame) -> DataFrame:
         return pairs.join(published, "appln_id", "left_semi")
@@ -41,10 +41,13 @@ def bridge_pairs(reg: Register, materialize: Callable[[DataFrame], DataFrame] =
     stages: list[DataFrame] = []
 
     def so_far(col: str) -> DataFrame:
+        # Distinct ids: a first filing with millions of members would otherwise be a
+        # hot key on the build side of the semi / anti join, which AQE cannot split;
+        # the DISTINCT pre-aggregates map-side.
         ids = stages[0].select(col)
         for s in stages[1:]:
             ids = ids.unionByName(s.select(col))
-        return ids
+        return ids.distinct()
 
     def members() -> DataFrame:
         return so_far("appln_id")
@@ -78,7 +81,7 @@ def bridge_pairs(reg: Register, materialize: Callable[[DataFrame], DataFrame] =
     phases = a.filter(
         (F.col("internat_appln_id") != 0) & ((F.col("reg_phase") == "Y") | (F.col("nat_phase") == "Y"))
     )
-    pct_firsts = stages[-1].select(F.col("prior_appln_id").alias("p"))
+    pct_firsts = stages[-1].select(F.col("prior_appln_id").alias("p")).distinct()
     add(under_known_first(pub(_pairs(phases, "internat_appln_id", "appln_id")), pct_firsts), BRIDGE_PCT)
     # 4. Parents of continuations, if not yet a member.
     add(only_new_members(pub(_pairs(reg.contn, "parent_appln_id", "parent_appln_id"))), BRIDGE_CONTINUAL)

@@ -35,7 +35,7 @@ def earliest_winner(pool: DataFrame, kind: str, usable: DataFrame) -> DataFrame:
     cand = (
         pool.filter(_nb_filter(kind) & F.col("subsequent_date").isNotNull())
         .select("appln_id", "subsequent_id", "subsequent_date")
-        .join(usable.select("subsequent_id"), "subsequent_id", "left_semi")
+        .join(usable.select("subsequent_id").distinct(), "subsequent_id", "left_semi")
     )
     return (
         cand.groupBy("appln_id")
