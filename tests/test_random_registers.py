@@ -129,3 +129,66 @@ def test_rewrites_equal_sequential_form(spark, seed):
         assert multiset(srows, sdf.columns) == multiset(orows, ocols), key
         nonempty += bool(orows)
     assert nonempty == len(spark_side)
+
+
+def _hot_register(seed: int = 7) -> dict[str, list[dict]]:
+    """One first filing claimed by a third of all links, one person on a third of
+    all person rows, one docdb family holding a third of the applications."""
+    tables = _random_register(seed, n=90, persons=30)
+    r = random.Random(seed)
+    n = len(tables["tls201_appln"])
+    hot_first = tables["tls201_appln"][0]
+    hot_first.update(appln_kind="A", appln_auth="DE", internat_appln_id=0, appln_filing_year=2000)
+    tables["tls204_appln_prior"] += [
+        {"appln_id": a, "prior_appln_id": 1, "prior_appln_seq_nr": r.choice([1, 2])} for a in range(2, n + 1)
+    ]
+    tables["tls216_appln_contn"] += [{"appln_id": a, "parent_appln_id": 1} for a in range(2, n + 1, 2)]
+    rows = tables["tls207_pers_appln"]
+    rows += [{"person_id": 1, "appln_id": a, "applt_seq_nr": 1, "invt_seq_nr": 1} for a in range(1, n + 1)] * 2
+    for a in tables["tls201_appln"][: n // 3]:
+        a["docdb_family_id"] = 5
+    return tables
+
+
+def test_hot_keys_equal_sequential_form(spark):
+    tables = _hot_register()
+    con = duckdb.connect()
+    for name, schema in S.REGISTER_TABLES.items():
+        con.register(name, _arrow(schema, tables[name]))
+    reg = Register(
+        appln=frame(spark, S.TLS201_APPLN, tables["tls201_appln"]),
+        prior=frame(spark, S.TLS204_APPLN_PRIOR, tables["tls204_appln_prior"]),
+        tech_rel=frame(spark, S.TLS205_TECH_REL, tables["tls205_tech_rel"]),
+        person=frame(spark, S.TLS206_PERSON, tables["tls206_person"]),
+        pers_appln=frame(spark, S.TLS207_PERS_APPLN, tables["tls207_pers_appln"]),
+        publn=frame(spark, S.TLS211_PAT_PUBLN, tables["tls211_pat_publn"]),
+        contn=frame(spark, S.TLS216_APPLN_CONTN, tables["tls216_appln_contn"]),
+    )
+    # Force AQE to treat every non-trivial partition as skewed and split it.
+    forced = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    saved = {k: spark.conf.get(k, None) for k in forced}
+    try:
+        for k, v in forced.items():
+            spark.conf.set(k, v)
+        sql = register_sql()
+        for key, sdf in {
+            "impute_country_inv": impute_country(reg, COUNTRY_INV, with_lastupdate=False),
+            "impute_country_app": impute_country(reg, COUNTRY_APP, with_lastupdate=False),
+            "bridge": bridge(reg),
+        }.items():
+            res = con.execute(sql[key])
+            ocols = [d[0] for d in res.description]
+            orows = res.fetchall()
+            assert orows, key
+            assert multiset([tuple(x) for x in sdf.collect()], sdf.columns) == multiset(orows, ocols), key
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
