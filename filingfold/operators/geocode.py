@@ -32,6 +32,10 @@ def polygon_cells(admin_levels: DataFrame, cell: float = CELL_DEGREES) -> DataFr
         "gid",
         *ADMIN_NAME_COLUMNS,
         ring_segments("rings").alias("segments"),
+        F.array_min(xs).alias("min_x"),
+        F.array_max(xs).alias("max_x"),
+        F.array_min(ys).alias("min_y"),
+        F.array_max(ys).alias("max_y"),
         F.floor(F.array_min(xs) / cell).alias("x_lo"),
         F.floor(F.array_max(xs) / cell).alias("x_hi"),
         F.floor(F.array_min(ys) / cell).alias("y_lo"),
@@ -69,7 +73,12 @@ def admin_of_points(points: DataFrame, admin_levels: DataFrame, cell: float = CE
         .distinct()
         .select("lng_exact", "lat_exact", F.floor(px / cell).alias("cx"), F.floor(py / cell).alias("cy"))
     )
-    hits = pts.join(polygon_cells(admin_levels, cell), ["cx", "cy"]).filter(point_within(px, py, F.col("segments")))
+    # Bounding box first (cheap, rejects most candidates in a crowded cell), then
+    # the exact test on the cell's edges.
+    in_box = (px > F.col("min_x")) & (px < F.col("max_x")) & (py > F.col("min_y")) & (py < F.col("max_y"))
+    hits = pts.join(polygon_cells(admin_levels, cell), ["cx", "cy"]).filter(
+        in_box & point_within(px, py, F.col("segments"))
+    )
     best = hits.groupBy("lng_exact", "lat_exact").agg(
         F.min(F.struct("gid", *ADMIN_NAME_COLUMNS)).alias("a")
     )
