@@ -21,5 +21,11 @@ def export_csv(df: DataFrame, path: str, order_by: str = "appln_id", mode: str =
         .option("escape", '"')
         .option("encoding", "UTF-8")
         .option("sep", ",")
+        # PostgreSQL keeps surrounding whitespace and writes timestamps as
+        # "yyyy-MM-dd HH:mm:ss.ffffff"; Spark's writer trims and uses ISO-8601.
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .option("timestampFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+        .option("dateFormat", "yyyy-MM-dd")
         .csv(path)
     )

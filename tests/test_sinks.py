@@ -4,13 +4,15 @@ import glob
 import os
 import tempfile
 
+from pyspark.sql import functions as F
+
 from filingfold.sources.sinks import export_csv
 
 
 def test_export_is_sorted_with_postgres_style_nulls(spark):
     df = spark.createDataFrame(
-        [(3, None, 'say "hi"'), (1, "", "x"), (2, "DE", None)], "appln_id long, ctry_code string, note string"
-    )
+        [(3, None, 'say "hi"'), (1, "", " x "), (2, "DE", None)], "appln_id long, ctry_code string, note string"
+    ).withColumn("stamp", F.to_timestamp(F.lit("2020-01-02 03:04:05.123456")))
     out = os.path.join(tempfile.mkdtemp(prefix="filingfold-csv-"), "export")
     export_csv(df, out)
     parts = sorted(glob.glob(os.path.join(out, "part-*")))
@@ -20,5 +22,6 @@ def test_export_is_sorted_with_postgres_style_nulls(spark):
             content = fh.read().splitlines()
         lines += content if i == 0 else content[1:] if content and content[0].startswith("appln_id") else content
     body = [ln for ln in lines if not ln.startswith("appln_id")]
-    assert lines[0] == "appln_id,ctry_code,note"
-    assert body == ['1,"",x', "2,DE,", '3,,"say ""hi"""']
+    assert lines[0] == "appln_id,ctry_code,note,stamp"
+    stamp = "2020-01-02 03:04:05.123456"
+    assert body == [f'1,"", x ,{stamp}', f"2,DE,,{stamp}", f'3,,"say ""hi""",{stamp}']
