@@ -68,3 +68,22 @@ def test_projection_is_true_to_scale_on_standard_parallels(spark):
         ground = a * math.cos(phi) / math.sqrt(1 - e2 * math.sin(phi) ** 2) * math.radians(d)
         assert abs(grid / ground - 1) < 1e-6
     assert 0 < LCC["n"] < 1
+
+
+def test_dense_cells_split_gives_the_same_answer(spark):
+    # Many small polygons and points in one cell; with a tiny density threshold the
+    # cell is split into sub-cells, which must not change any answer.
+    polys = []
+    for i in range(4):
+        for j in range(4):
+            x0, y0 = 5 + 0.25 * i, 5 + 0.25 * j
+            polys.append(_poly(10 + 4 * i + j, f"p{i}{j}", [(x0, y0), (x0 + 0.25, y0), (x0 + 0.25, y0 + 0.25), (x0, y0 + 0.25), (x0, y0)]))
+    polys.append(_poly(99, "big", [(4, 4), (7, 4), (7, 7), (4, 7), (4, 4)]))
+    admin = frame(spark, S.ADMIN_LEVELS, polys)
+    coords = [(5 + 0.03 * a + 0.001, 5 + 0.07 * b + 0.002) for a in range(40) for b in range(15)]
+    coords += [(5.25, 5.1), (5.1, 5.5), (4.5, 6.5), (6.5, 6.999)]  # on inner edges, outside the small ones
+    pts = _pts(spark, coords)
+    coarse = rows(admin_of_points(pts, admin, dense_points=10**9), "lng_exact", "lat_exact", "name_0")
+    fine = rows(admin_of_points(pts, admin, dense_points=5, split=7), "lng_exact", "lat_exact", "name_0")
+    assert coarse == fine
+    assert len(coarse) == len(coords)
