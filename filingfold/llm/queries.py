@@ -2,13 +2,23 @@
 
 from __future__ import annotations
 
+from filingfold.llm.decontaminate import op2_template_decontamination
 from filingfold.llm.exact_dedup import OP6_SQL, op6_exact_dedup
+from filingfold.llm.license_scan import op9_license_scan
+from filingfold.llm.line_templates import op5_line_templates
+from filingfold.llm.minhash import op1_minhash
 from filingfold.llm.mixing import op10_source_mix
+from filingfold.llm.quality import op8_attention_quality
 from filingfold.llm.sharding import op4_jump_sharding
 
 LLM_QUERIES = {
+    "op1_minhash": op1_minhash,
+    "op2_template_decontamination": op2_template_decontamination,
     "op4_jump_sharding": op4_jump_sharding,
+    "op5_line_templates": op5_line_templates,
     "op6_exact_dedup": op6_exact_dedup,
+    "op8_attention_quality": op8_attention_quality,
+    "op9_license_scan": op9_license_scan,
     "op10_source_mix": op10_source_mix,
 }
 
