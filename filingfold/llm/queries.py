@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from filingfold.llm.decontaminate import op2_template_decontamination
 from filingfold.llm.exact_dedup import OP6_SQL, op6_exact_dedup
+from filingfold.llm.language import op3_crf_language
 from filingfold.llm.license_scan import op9_license_scan
 from filingfold.llm.line_templates import op5_line_templates
 from filingfold.llm.minhash import op1_minhash
@@ -14,6 +15,7 @@ from filingfold.llm.sharding import op4_jump_sharding
 LLM_QUERIES = {
     "op1_minhash": op1_minhash,
     "op2_template_decontamination": op2_template_decontamination,
+    "op3_crf_language": op3_crf_language,
     "op4_jump_sharding": op4_jump_sharding,
     "op5_line_templates": op5_line_templates,
     "op6_exact_dedup": op6_exact_dedup,
