@@ -9,10 +9,10 @@ real clean text, with look-alikes (dates, versions, prices) as negatives.
 
 Texts of any length are cut into overlapping windows: ``CORE`` characters are decided
 by each window, ``PAD`` on both sides give context.  Windows are decoded by Viterbi;
-those where "none" throughout provably wins are not decoded (the same result).  The decided parts are joined to one
-label sequence per text, so a span over a window's edge is one span.  A model span
-counts if its mean probability is at least ``SURE``, it has ``SHORTEST`` characters,
-and no base span overlaps it.
+those where "none" throughout provably wins are not decoded (the same result).  The
+decided parts are joined to one label sequence per text, so a span over a window's
+edge is one span.  A model span counts if its mean posterior is at least ``SURE``, it
+has ``SHORTEST`` characters, it passes ``plausible``, and no base span overlaps it.
 
 Training reads at most ``TRAIN_DOCS`` texts (by a hash of doc_id) and ``WINDOWS``
 windows of each; labelling reads every character of every text on the executors.
@@ -104,6 +104,18 @@ for _i, _ch in enumerate(PUNCTUATION):
     CLASS[ord(_ch)] = 55 + _i
 
 
+def plausible(kind: int, span: str) -> bool:
+    """Whether a model span can be of its kind: a card passes Luhn, an address has four
+    parts up to 255, a phone 7 to 15 digits, an e-mail an at (also spelled out) and a dot."""
+    digits = "".join(ch for ch in span if "0" <= ch <= "9")
+    if kind == 0:
+        return "." in span and re.search(r"@|\W(?:at|AT)\W", span) is not None
+    if kind == 1:
+        parts = re.findall("[0-9]+", span)
+        return len(parts) == 4 and all(len(p) <= 3 and int(p) <= 255 for p in parts)
+    return 14 <= len(digits) <= 19 and luhn(digits) if kind == 2 else 7 <= len(digits) <= 15
+
+
 def classes(text: str) -> np.ndarray:
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
     return CLASS[np.minimum(points, 0xFFFF)]
@@ -156,10 +168,39 @@ def lstm_gradient(x: np.ndarray, recur: np.ndarray, memory: list, d_out: np.ndar
     return d_embed, d_recur
 
 
+def _scan(x: np.ndarray, embed: np.ndarray, recur: np.ndarray, out: np.ndarray, e: np.ndarray) -> None:
+    """Adds one direction's emissions to e (length, labels, n).  The same cell as in
+    ``lstm``, cells by rows, so that every step runs over contiguous memory; hidden
+    states are kept doubled, which spares the halving of the output gate."""
+    n = x.shape[1]
+    table = np.ascontiguousarray(embed.T)
+    step, emit = np.ascontiguousarray(recur.T * np.float32(0.5)), np.ascontiguousarray(out.T * np.float32(0.5))
+    h, c, tc = (np.zeros((HIDDEN, n), np.float32) for _ in range(3))
+    g, pre, part = np.empty((4 * HIDDEN, n), np.float32), np.empty((4 * HIDDEN, n), np.float32), np.empty(e.shape[1:], np.float32)
+    gates, cell = g[: 3 * HIDDEN], g[3 * HIDDEN :]
+    for t in range(len(x)):
+        np.take(table, x[t], axis=1, out=pre, mode="clip")
+        np.matmul(step, h, out=g)
+        g += pre
+        np.tanh(g, out=g)
+        gates += 1
+        c *= gates[HIDDEN : 2 * HIDDEN]
+        cell *= gates[:HIDDEN]
+        c += cell
+        c *= np.float32(0.5)
+        np.tanh(c, out=tc)
+        np.multiply(gates[2 * HIDDEN :], tc, out=h)
+        e[t] += np.matmul(emit, h, out=part)
+
+
 def emissions(m: dict, x: np.ndarray) -> np.ndarray:
-    ahead = lstm(x, m["embed_f"], m["recur_f"])
-    back = lstm(x[::-1], m["embed_b"], m["recur_b"])[::-1]
-    return ahead @ m["out_f"] + back @ m["out_b"] + m["bias"]
+    """(length, n, labels) of class matrix x (length, n)."""
+    e = np.empty((len(x), len(m["bias"]), x.shape[1]), np.float32)
+    e[:] = m["bias"][:, None]
+    at = x.astype(np.intp)
+    _scan(at, m["embed_f"], m["recur_f"], m["out_f"], e)
+    _scan(at[::-1], m["embed_b"], m["recur_b"], m["out_b"], e[::-1])
+    return e.transpose(0, 2, 1)
 
 
 def crf_posterior(e: np.ndarray, move: np.ndarray, start: np.ndarray):
@@ -212,7 +253,7 @@ def may_hold_spans(e: np.ndarray, move: np.ndarray, start: np.ndarray) -> np.nda
     loses the lead of "none" at each place; the best stretch of each window is found by
     a running maximum and compared with nothing gained."""
     none = move[0, 0]
-    enter = max(float((move[0, 1:] - none).max()), float((start[1:] - start[0]).max()))
+    enter, begin = float((move[0, 1:] - none).max()), float((start[1:] - start[0]).max())
     leave, stay = float((move[1:, 0] - none).max()), float((move[1:, 1:] - none).max())
     gain = stay - (e[:, :, 0] - e[:, :, 1:].max(2))
     run = np.full(e.shape[1], -np.inf, np.float32)
@@ -220,8 +261,11 @@ def may_hold_spans(e: np.ndarray, move: np.ndarray, start: np.ndarray) -> np.nda
     for g in gain:
         run = np.maximum(run, 0) + g
         best = np.maximum(best, run)
+    first = np.cumsum(gain, axis=0)  # stretches from the window's first place
     # A stretch up to the window's end leaves by no transition.
-    return np.maximum(best + leave, run) + enter - stay >= 0
+    inner = np.maximum(best + leave, run) + enter
+    outer = np.maximum(first.max(0) + leave, first[-1]) + begin
+    return np.maximum(inner, outer) - stay >= 0
 
 
 def decode(m: dict, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -380,7 +424,7 @@ def model_spans(m: dict, texts: list[str]) -> list[list[tuple[int, int, int]]]:
                         a += 1
                     while a < z and not text[z - 1].isalnum():
                         z -= 1
-                    if z - a >= SHORTEST and float(sure[a:z].mean()) >= SURE:
+                    if z - a >= SHORTEST and float(sure[a:z].mean()) >= SURE and plausible(kind, text[a:z]):
                         spans.append((int(a), kind, int(z)))
         out.append(spans)
     return out
@@ -419,7 +463,7 @@ def _train_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 def train(docs: DataFrame, limit: int = TRAIN_DOCS) -> dict:
     """Fit on windows of at most ``limit`` texts, half of them with an @ or a digit."""
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).filter("text <> ''")
-    marks = texts.select("doc_id", (F.contains("text", F.lit("@")) | F.contains("text", F.lit(". ")) & F.col("text").rlike("[0-9]{3}")).alias("marked"))
+    marks = texts.select("doc_id", (F.contains("text", F.lit("@")) | F.col("text").rlike("[0-9]{3}")).alias("marked"))
     half = lambda on: marks.filter(F.col("marked") == on).select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit // 2)
     chosen = half(True).unionByName(half(False))
     got = texts.join(F.broadcast(chosen), "doc_id").select("text").mapInArrow(

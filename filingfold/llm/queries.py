@@ -9,6 +9,7 @@ from filingfold.llm.license_scan import op9_license_scan
 from filingfold.llm.line_templates import op5_line_templates
 from filingfold.llm.minhash import op1_minhash
 from filingfold.llm.mixing import op10_source_mix
+from filingfold.llm.pii import op7_bilstm_pii
 from filingfold.llm.quality import op8_attention_quality
 from filingfold.llm.sharding import op4_jump_sharding
 
@@ -19,6 +20,7 @@ LLM_QUERIES = {
     "op4_jump_sharding": op4_jump_sharding,
     "op5_line_templates": op5_line_templates,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_bilstm_pii": op7_bilstm_pii,
     "op8_attention_quality": op8_attention_quality,
     "op9_license_scan": op9_license_scan,
     "op10_source_mix": op10_source_mix,
