@@ -13,8 +13,8 @@
    each shard gets an exact number of blocks, in a mix that is distributed as if all
    draws were shuffled and dealt.  Shards take disjoint runs of the permuted lists.
 5. Rows.  Documents meet the (bounded, broadcast) draw table by block; the last,
-   partial block of a source gives its shortest documents that fit the rest.
-   ``mix`` then shuffles each output shard locally by a hash.
+   partial block of a source gives documents in shuffled order as far as they fit,
+   then its shortest others that fit the rest.  ``mix`` then shuffles each output shard locally by a hash.
 
 Everything follows from ``seed`` and the rows, so reruns agree.
 
@@ -153,13 +153,17 @@ def drawn(docs: DataFrame, weights=WEIGHTS, shards: int = OUT_SHARDS, seed: int
     placed = placed.withColumn("_block", _block(F.col("n_blocks"), seed)).drop("n_blocks")
     met = placed.join(F.broadcast(draws), placed["source"].eqNullSafe(draws["_source"]) & (placed["_block"] == draws["block"]))
     whole = met.filter(F.col("part_words").isNull()).withColumn("taken_by", F.col("shards"))
-    fit = Window.partitionBy("_source", "block").orderBy("size", "doc_id", "_crc").rowsBetween(Window.unboundedPreceding, 0)
-    partial = met.filter(F.col("part_words").isNotNull()).withColumn(
-        "taken_by",
-        F.when((F.sum("size").over(fit) <= F.col("part_words")) & (F.col("size") > 0), F.array_append("shards", F.col("part_shard")))
-        .otherwise(F.col("shards")),
-    )
-    return whole.unionByName(partial).select("row", "doc_id", "size", "source_size", "target", "taken_by")
+    group = Window.partitionBy("_source", "block")
+    upto = lambda *order: group.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    shuffled = F.sum("size").over(upto(F.xxhash64(F.lit(seed + 1), "doc_id", "_crc"), "doc_id", "size"))
+    partial = met.filter(F.col("part_words").isNotNull()).withColumn("upto", shuffled)
+    partial = partial.withColumn("first", F.col("upto") <= F.col("part_words"))
+    partial = partial.withColumn("rest", F.col("part_words") - F.coalesce(F.max(F.when(F.col("first"), F.col("upto"))).over(group), F.lit(0)))
+    partial = partial.withColumn("upto", F.sum(F.when(F.col("first"), 0).otherwise(F.col("size"))).over(upto("size", "doc_id", "_crc")))
+    more = (F.col("first") | (F.col("upto") <= F.col("rest"))) & (F.col("size") > 0)
+    partial = partial.withColumn("taken_by", F.when(more, F.array_append("shards", F.col("part_shard"))).otherwise(F.col("shards")))
+    columns = ["row", "doc_id", "size", "source_size", "target", "taken_by"]
+    return whole.select(columns).unionByName(partial.select(columns))
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, shards: int = OUT_SHARDS, seed: int = SEED) -> DataFrame:

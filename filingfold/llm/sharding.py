@@ -11,7 +11,8 @@ first slot.
 Defined cases: a null key is hashed like any other value (all its rows share one
 shard; their slots are salted by text); a null text has no bytes and checksum 0;
 equal rows get slots in arbitrary but gapless order; an empty table gives an empty
-result; other columns pass through ``assign`` and ``with_slots`` untouched.
+result; other columns pass through; existing columns named as the results (shard,
+slot) are replaced by ``assign`` and must not be in the input of ``with_slots``.
 """
 
 from __future__ import annotations
@@ -62,18 +63,18 @@ def with_slots(rows: DataFrame, tie: str, key: str = "doc_id", shard: str = "sha
     block = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(F.col(tie)), F.lit(NULL_BLOCKS)) - NULL_BLOCKS).otherwise(
         F.shiftright(F.col(key).cast("long"), BLOCK_BITS)
     )
-    rows = rows.withColumn("_block", block)
-    before = Window.partitionBy(shard).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        rows.groupBy(shard, "_block").agg(F.count(F.lit(1)).alias("_n"))
-        .select(shard, "_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    packed = rows.select(  # packed, so that no column of ``rows`` can clash
+        F.struct(*[rows[c] for c in rows.columns]).alias("row"), F.col(shard).alias("shard"), block.alias("block"),
+        F.col(key).alias("key"), F.col(tie).alias("tie"),
     )
-    inside = Window.partitionBy(shard, "_block").orderBy(key, tie)
-    return (
-        rows.join(starts, [shard, "_block"])
-        .withColumn("slot", (F.col("_start") + F.row_number().over(inside) - 1).cast("long"))
-        .drop("_block", "_start")
+    before = Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (
+        packed.groupBy("shard", "block").agg(F.count(F.lit(1)).alias("n"))
+        .select("shard", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
     )
+    inside = Window.partitionBy("shard", "block").orderBy("key", "tie")
+    slot = (F.col("start") + F.row_number().over(inside) - 1).cast("long")
+    return packed.join(starts, ["shard", "block"]).select("row", slot.alias("slot")).select("row.*", "slot")
 
 
 def op4_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
