@@ -1,18 +1,17 @@
 """C10 family bridge: first filing -> every publication in its family.
 
-The reference appends eight stages to one table, each stage reading what the
-earlier ones left (anti-joins on members, inner joins on first filings).  The
-stages depend on ids only, so the fold runs on (prior_appln_id, appln_id) pairs
-— a semi-join on published applications, a left_anti on members so far, a
-left_semi on first filings so far — and the wide publication and application
-columns are joined once at the end.  Each stage is DISTINCT within itself; the
-stages are appended without a global DISTINCT (a pair may appear under two types).
+The reference appends eight stages to one table, each stage reading what the earlier
+ones left.  What a stage needs of the earlier ones is two facts per application: is
+it a member yet, and is it a first filing yet.  They are kept as flags in one table
+per application, extended twice (``_known``): after the phases of PCT filings and
+after the continuations.  Each stage is then a semi-join of (prior, member) pairs with
+the flags of the moment; publication and application columns are joined once at the
+end.  Stages are DISTINCT within themselves and appended without a global DISTINCT (a
+pair may appear under two types).
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,80 +30,88 @@ def _pairs(df: DataFrame, prior: str, member: str) -> DataFrame:
     return df.select(F.col(prior).alias("prior_appln_id"), F.col(member).alias("appln_id"))
 
 
-def bridge_pairs(reg: Register, materialize: Callable[[DataFrame], DataFrame] = cut_lineage) -> DataFrame:
-    """(prior_appln_id, appln_id, type) for every stage, appended."""
-    published = reg.publn.select("appln_id").distinct().join(reg.appln.select("appln_id"), "appln_id", "left_semi")
-
-    def pub(pairs: DataFrame) -> DataFrame:
-        return pairs.join(published, "appln_id", "left_semi")
+def _known(flags: DataFrame, *facts: tuple[DataFrame, str]) -> DataFrame:
+    """``flags`` (one row per application) with further boolean columns: whether the
+    id is in the given frame.  Ids are aggregated first, so a first filing with
+    millions of members is one row in the join."""
+    for ids, name in facts:
+        flags = flags.join(ids.toDF("appln_id").distinct().withColumn(name, F.lit(True)), "appln_id", "left")
+        flags = flags.withColumn(name, F.coalesce(name, F.lit(False)))
+    return flags
 
-    stages: list[DataFrame] = []
 
-    def so_far(col: str) -> DataFrame:
-        # Distinct ids: a first filing with millions of members would otherwise be a
-        # hot key on the build side of the semi / anti join, which AQE cannot split;
-        # the DISTINCT pre-aggregates map-side.
-        ids = stages[0].select(col)
-        for s in stages[1:]:
-            ids = ids.unionByName(s.select(col))
-        return ids.distinct()
-
-    def members() -> DataFrame:
-        return so_far("appln_id")
+def bridge_pairs(reg: Register) -> DataFrame:
+    """(prior_appln_id, appln_id, type) for every stage, appended."""
+    a = reg.appln
+    published = cut_lineage(reg.publn.select("appln_id").distinct().join(a.select("appln_id"), "appln_id", "left_semi"))
 
-    def firsts() -> DataFrame:
-        return so_far("prior_appln_id").withColumnRenamed("prior_appln_id", "p")
+    def pub(pairs: DataFrame) -> DataFrame:
+        return pairs.join(published, "appln_id", "left_semi").distinct()
 
-    def add(pairs: DataFrame, type_: str) -> None:
-        stages.append(materialize(pairs.distinct().withColumn("type", F.lit(type_))))
+    def itself(ids: DataFrame) -> DataFrame:
+        return ids.select(F.col("appln_id").alias("prior_appln_id"), "appln_id")
 
-    def only_new_members(pairs: DataFrame) -> DataFrame:
-        return pairs.join(members(), "appln_id", "left_anti")
+    def under(pairs: DataFrame, firsts: DataFrame) -> DataFrame:
+        known = firsts.select(F.col("appln_id").alias("prior_appln_id"))
+        return pub(pairs.join(known, "prior_appln_id", "left_semi"))
 
-    def under_known_first(pairs: DataFrame, pool: DataFrame) -> DataFrame:
-        return pairs.join(pool, pairs.prior_appln_id == pool.p, "left_semi")
+    def typed(pairs: DataFrame, type_: str) -> DataFrame:
+        return pairs.select("prior_appln_id", "appln_id", F.lit(type_).alias("type"))
 
-    a = reg.appln
     # 1. Priority claims: the claiming filings and the claimed filing itself (UNION).
-    add(
-        pub(_pairs(reg.prior, "prior_appln_id", "appln_id")).unionByName(
-            pub(_pairs(reg.prior, "prior_appln_id", "prior_appln_id"))
-        ),
-        BRIDGE_PRIORITY,
+    claims = cut_lineage(
+        pub(_pairs(reg.prior, "prior_appln_id", "appln_id").unionByName(_pairs(reg.prior, "prior_appln_id", "prior_appln_id")))
     )
-    # 2. PCT applications that start a family, if not yet a member.
     pct = a.filter(
         (F.col("internat_appln_id") == 0) & (F.col("appln_kind") == "W") & (F.col("appln_id") == F.col("earliest_filing_id"))
     )
-    add(only_new_members(pub(_pairs(pct, "appln_id", "appln_id"))), BRIDGE_PCT)
-    # 3. Regional / national phase entries of a PCT first filing of stage 2.
-    phases = a.filter(
-        (F.col("internat_appln_id") != 0) & ((F.col("reg_phase") == "Y") | (F.col("nat_phase") == "Y"))
+    claimed = claims.select("prior_appln_id")
+    ids = published.unionByName(claimed.toDF("appln_id")).distinct()
+    flags = _known(
+        ids,
+        (published, "pub"), (claims.select("appln_id"), "member"), (claimed, "first"), (pct.select("appln_id"), "pct"),
+        (reg.contn.select("parent_appln_id"), "parent"), (reg.tech_rel.select("tech_rel_appln_id"), "related"),
+        (single_family_applications(a).select("appln_id"), "single"),
     )
-    pct_firsts = stages[-1].select(F.col("prior_appln_id").alias("p")).distinct()
-    add(under_known_first(pub(_pairs(phases, "internat_appln_id", "appln_id")), pct_firsts), BRIDGE_PCT)
+    # 2. PCT applications that start a family, if not yet a member.
+    flags = cut_lineage(flags.withColumn("s2", F.col("pub") & F.col("pct") & ~F.col("member")))
+    stage2 = itself(flags.filter(F.col("s2")))
+    # 3. Regional / national phase entries of a PCT first filing of stage 2.
+    phases = a.filter((F.col("internat_appln_id") != 0) & ((F.col("reg_phase") == "Y") | (F.col("nat_phase") == "Y")))
+    stage3 = under(_pairs(phases, "internat_appln_id", "appln_id"), flags.filter(F.col("s2")))
     # 4. Parents of continuations, if not yet a member.
-    add(only_new_members(pub(_pairs(reg.contn, "parent_appln_id", "parent_appln_id"))), BRIDGE_CONTINUAL)
+    flags = _known(flags, (stage3.select("appln_id"), "m3"))
+    flags = flags.withColumn("member", F.col("member") | F.col("s2") | F.col("m3"))
+    flags = flags.withColumn("s4", F.col("pub") & F.col("parent") & ~F.col("member"))
+    flags = cut_lineage(flags.withColumn("first", F.col("first") | F.col("s2") | F.col("s4")))
+    stage4 = itself(flags.filter(F.col("s4")))
     # 5. Continuations of any first filing so far (no type test).
-    add(under_known_first(pub(_pairs(reg.contn, "parent_appln_id", "appln_id")), firsts()), BRIDGE_CONTINUAL)
+    stage5 = under(_pairs(reg.contn, "parent_appln_id", "appln_id"), flags.filter(F.col("first")))
     # 6. Technically related filings, if not yet a member.
-    add(only_new_members(pub(_pairs(reg.tech_rel, "tech_rel_appln_id", "tech_rel_appln_id"))), BRIDGE_TECH_REL)
+    flags = _known(flags, (stage5.select("appln_id"), "m5"))
+    flags = flags.withColumn("member", F.col("member") | F.col("s4") | F.col("m5"))
+    flags = flags.withColumn("s6", F.col("pub") & F.col("related") & ~F.col("member"))
+    flags = cut_lineage(flags.withColumn("first", F.col("first") | F.col("s6")))
+    stage6 = itself(flags.filter(F.col("s6")))
     # 7. Filings related to any first filing so far.
-    add(under_known_first(pub(_pairs(reg.tech_rel, "tech_rel_appln_id", "appln_id")), firsts()), BRIDGE_TECH_REL)
+    stage7 = under(_pairs(reg.tech_rel, "tech_rel_appln_id", "appln_id"), flags.filter(F.col("first")))
     # 8. Families of one, if not yet a member.
-    singles = single_family_applications(a)
-    add(only_new_members(pub(_pairs(singles, "appln_id", "appln_id"))), BRIDGE_SINGLE)
-
-    out = stages[0]
-    for s in stages[1:]:
-        out = out.unionByName(s)
+    left = flags.filter(F.col("pub") & F.col("single") & ~F.col("member") & ~F.col("s6")).select("appln_id")
+    stage8 = itself(left.join(stage7.select("appln_id").distinct(), "appln_id", "left_anti"))
+
+    out = typed(claims, BRIDGE_PRIORITY)
+    for stage, type_ in (
+        (stage2, BRIDGE_PCT), (stage3, BRIDGE_PCT), (stage4, BRIDGE_CONTINUAL), (stage5, BRIDGE_CONTINUAL),
+        (stage6, BRIDGE_TECH_REL), (stage7, BRIDGE_TECH_REL), (stage8, BRIDGE_SINGLE),
+    ):
+        out = out.unionByName(typed(stage, type_))
     return out
 
 
-def bridge(reg: Register, materialize: Callable[[DataFrame], DataFrame] = cut_lineage) -> DataFrame:
+def bridge(reg: Register) -> DataFrame:
     """The bridge table without ``lastupdate``: prior_appln_id, every publication
     column of the member, the member's application columns, type."""
-    pairs = bridge_pairs(reg, materialize)
+    pairs = bridge_pairs(reg)
     publn_cols = reg.publn.columns
     appln = reg.appln.select("appln_id", *APPLN_COLUMNS)
     return (

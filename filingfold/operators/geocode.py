@@ -3,14 +3,17 @@
 ``ST_Within(point, polygon)`` is an equi-join on a grid cell followed by an exact
 even-odd test written in native array expressions:
 
-* every polygon lists the 1-degree cells its bounding box touches (explode of a
-  ``sequence``), each with only the edges that can matter for a point in it
-  (its latitude band, from its column eastwards); crowded cells are split into
-  sub-cells;
-* every *distinct* exact point has one cell (or sub-cell);
-* the join on the cell is an ordinary shuffle join (AQE splits a hot cell), the
-  test runs inside codegen, and the lowest polygon id wins where polygons overlap
-  (the reference's ``UPDATE ... FROM`` picks an unspecified one).
+* every polygon lists the 1-degree cells its bounding box touches, each with only the
+  edges that can matter for a point in it: edges are clipped to a row of cells first,
+  then that row's edges to each cell, so an outline of 10^5 edges is not copied to
+  every cell;
+* every *distinct* exact point has one cell and one of ``SALTS`` salts (a hash of the
+  point); a polygon's cell rows exist once per salt.  The key is the same for all
+  cells, whatever they hold, and a crowded cell is spread over ``SALTS`` keys, beyond
+  which AQE splits it (both sides come from an exchange);
+* the test runs inside codegen, and the lowest polygon id wins where polygons overlap
+  (the reference's ``UPDATE ... FROM`` picks an unspecified one).  Only ids are
+  aggregated; names are joined once by polygon id.
 """
 
 from __future__ import annotations
@@ -19,139 +22,73 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geo import make_point, point_within, project_lcc, ring_segments
+from ..session import cut_lineage
 from ..sources.schemas import ADMIN_NAME_COLUMNS
 
 CELL_DEGREES = 1.0
-# A cell holding more distinct points than this is split into SPLIT x SPLIT
-# sub-cells (inventor addresses crowd into a few metropolitan cells).
-DENSE_POINTS = 50_000
-SPLIT = 10
+SALTS = 16
 # Edges are kept per cell with this margin (degrees), so floating-point rounding
 # at a cell border can never drop an edge that matters; extra edges are harmless.
 CLIP_MARGIN = 1e-9
 
 
-def _clip(segments: F.Column, band_lo: F.Column, band_hi: F.Column, col_lo: F.Column) -> F.Column:
-    """Edges that can matter for a point of a (sub-)cell: a point casts its ray
-    towards +x at a latitude inside the cell's band, and lies on an edge only if that
-    edge reaches the band and the cell's column."""
-    m = CLIP_MARGIN
-    return F.filter(
-        segments,
-        lambda e: (F.greatest(e["y1"], e["y2"]) >= band_lo - m)
-        & (F.least(e["y1"], e["y2"]) <= band_hi + m)
-        & (F.greatest(e["x1"], e["x2"]) >= col_lo - m),
-    )
-
-
 def polygon_cells(admin_levels: DataFrame, cell: float = CELL_DEGREES) -> DataFrame:
-    """(cx, cy, gid, names..., segments, bounding box) for every grid cell a polygon's
-    box touches, each cell with only its own relevant edges (country outlines have
-    10^5 edges; a test should cost the edges near the point)."""
+    """(cx, cy, gid, segments, bounding box) for every grid cell a polygon's box touches,
+    each cell with only its own relevant edges: a point casts its ray towards +x at a
+    latitude inside the cell's row, and lies on an edge only if that edge reaches the
+    row and the cell's column."""
+    m = CLIP_MARGIN
     pts = F.flatten(F.col("rings"))
     xs = F.transform(pts, lambda p: p["x"])
     ys = F.transform(pts, lambda p: p["y"])
     boxed = admin_levels.filter(F.size(pts) > 0).select(
         "gid",
-        *ADMIN_NAME_COLUMNS,
         ring_segments("rings").alias("segments"),
         F.array_min(xs).alias("min_x"),
         F.array_max(xs).alias("max_x"),
         F.array_min(ys).alias("min_y"),
         F.array_max(ys).alias("max_y"),
     )
-    cells = (
-        boxed.withColumn("cx", F.explode(F.sequence(F.floor(F.col("min_x") / cell), F.floor(F.col("max_x") / cell))))
-        .withColumn("cy", F.explode(F.sequence(F.floor(F.col("min_y") / cell), F.floor(F.col("max_y") / cell))))
-    )
-    return cells.withColumn(
-        "segments", _clip(F.col("segments"), F.col("cy") * cell, (F.col("cy") + 1) * cell, F.col("cx") * cell)
+    bands = boxed.withColumn("cy", F.explode(F.sequence(F.floor(F.col("min_y") / cell), F.floor(F.col("max_y") / cell))))
+    lo, hi = F.col("cy") * cell - m, (F.col("cy") + 1) * cell + m
+    bands = bands.withColumn(
+        "segments", F.filter("segments", lambda e: (F.greatest(e["y1"], e["y2"]) >= lo) & (F.least(e["y1"], e["y2"]) <= hi))
     )
+    cells = bands.withColumn("cx", F.explode(F.sequence(F.floor(F.col("min_x") / cell), F.floor(F.col("max_x") / cell))))
+    left = F.col("cx") * cell - m
+    return cells.withColumn("segments", F.filter("segments", lambda e: F.greatest(e["x1"], e["x2"]) >= left))
 
 
-def _sub_cells(cells: DataFrame, cell: float, split: int) -> DataFrame:
-    """Split cells into split x split sub-cells: keep a polygon in a sub-cell only if
-    its box reaches it, and re-clip its edges to the sub-cell."""
-    w = cell / split
-    m = CLIP_MARGIN
-    sub = (
-        cells.withColumn("sx", F.explode(F.sequence(F.lit(0), F.lit(split - 1))))
-        .withColumn("sy", F.explode(F.sequence(F.lit(0), F.lit(split - 1))))
-        .withColumn("x_lo", F.col("cx") * cell + F.col("sx") * w)
-        .withColumn("y_lo", F.col("cy") * cell + F.col("sy") * w)
-    )
-    sub = sub.filter(
-        (F.col("max_x") >= F.col("x_lo") - m)
-        & (F.col("min_x") <= F.col("x_lo") + w + m)
-        & (F.col("max_y") >= F.col("y_lo") - m)
-        & (F.col("min_y") <= F.col("y_lo") + w + m)
-    )
-    return (
-        sub.withColumn("segments", _clip(F.col("segments"), F.col("y_lo"), F.col("y_lo") + w, F.col("x_lo")))
-        .withColumn("kx", F.col("cx") * split + F.col("sx"))
-        .withColumn("ky", F.col("cy") * split + F.col("sy"))
-        .drop("sx", "sy", "x_lo", "y_lo")
-    )
-
-
-def admin_of_points(
-    points: DataFrame,
-    admin_levels: DataFrame,
-    cell: float = CELL_DEGREES,
-    dense_points: int = DENSE_POINTS,
-    split: int = SPLIT,
-) -> DataFrame:
+def admin_of_points(points: DataFrame, admin_levels: DataFrame, cell: float = CELL_DEGREES, salts: int = SALTS) -> DataFrame:
     """(lng_exact, lat_exact, name_0..5, engtype_1..5) for every distinct point inside a
-    polygon; points inside none are absent.
-
-    Points and polygons meet on a grid key: the 1-degree cell, or for a crowded
-    cell (more than ``dense_points`` distinct points, counted with a combinable
-    aggregate) its sub-cell, so a city cell does not pair every point with every
-    polygon of the cell.  Each pair is then checked against the polygon's bounding
-    box and, last, by the exact test on the (sub-)cell's edges."""
+    polygon; points inside none are absent.  Written out, as several joins read it."""
     px = F.col("lng_exact").cast("double")
     py = F.col("lat_exact").cast("double")
-    pts = (
+    keyed = (
         points.select("lng_exact", "lat_exact")
         .filter(F.col("lng_exact").isNotNull() & F.col("lat_exact").isNotNull())
         .distinct()
-        .select("lng_exact", "lat_exact", F.floor(px / cell).alias("cx"), F.floor(py / cell).alias("cy"))
-    )
-    dense = (
-        pts.groupBy("cx", "cy").count().filter(F.col("count") > dense_points).select("cx", "cy", F.lit(1).alias("level"))
-    )
-
-    def sub_index(v: F.Column, c: F.Column) -> F.Column:
-        i = F.floor((v - c * cell) / (cell / split))
-        return c * split + F.least(F.greatest(i, F.lit(0)), F.lit(split - 1))
-
-    keyed = (
-        pts.join(dense, ["cx", "cy"], "left")
-        .withColumn("level", F.coalesce(F.col("level"), F.lit(0)))
-        .withColumn("kx", F.when(F.col("level") == 1, sub_index(px, F.col("cx"))).otherwise(F.col("cx")))
-        .withColumn("ky", F.when(F.col("level") == 1, sub_index(py, F.col("cy"))).otherwise(F.col("cy")))
-        .select("lng_exact", "lat_exact", "level", "kx", "ky")
-    )
-    cells = polygon_cells(admin_levels, cell)
-    coarse = (
-        cells.join(dense.select("cx", "cy"), ["cx", "cy"], "left_anti")
-        .withColumn("level", F.lit(0))
-        .withColumn("kx", F.col("cx"))
-        .withColumn("ky", F.col("cy"))
-    )
-    fine = _sub_cells(cells.join(dense.select("cx", "cy"), ["cx", "cy"], "left_semi"), cell, split).withColumn(
-        "level", F.lit(1)
+        .select(
+            "lng_exact", "lat_exact", F.floor(px / cell).alias("cx"), F.floor(py / cell).alias("cy"),
+            F.pmod(F.xxhash64("lng_exact", "lat_exact"), F.lit(salts)).cast("int").alias("salt"),
+        )
     )
-    keys = coarse.unionByName(fine).drop("cx", "cy")
+    cells = polygon_cells(admin_levels, cell).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     in_box = (px > F.col("min_x")) & (px < F.col("max_x")) & (py > F.col("min_y")) & (py < F.col("max_y"))
-    hits = keyed.join(keys, ["level", "kx", "ky"]).filter(in_box & point_within(px, py, F.col("segments")))
-    best = hits.groupBy("lng_exact", "lat_exact").agg(F.min(F.struct("gid", *ADMIN_NAME_COLUMNS)).alias("a"))
-    return best.select("lng_exact", "lat_exact", *[F.col(f"a.{c}").alias(c) for c in ADMIN_NAME_COLUMNS])
+    hits = keyed.join(cells, ["cx", "cy", "salt"]).filter(in_box & point_within(px, py, F.col("segments")))
+    best = hits.groupBy("lng_exact", "lat_exact").agg(F.min("gid").alias("gid"))
+    return cut_lineage(best.join(admin_levels.select("gid", *ADMIN_NAME_COLUMNS), "gid").drop("gid"))
 
 
 def attach_admin(df: DataFrame, admin_points: DataFrame) -> DataFrame:
-    """Left join names on the exact point; unmatched rows (and NULL points) keep NULL."""
-    return df.join(admin_points, ["lng_exact", "lat_exact"], "left")
+    """Left join names on the exact point; unmatched rows keep NULL.  Rows without a
+    point never match and stay out of the join, where they would all share a key."""
+    located = F.col("lng_exact").isNotNull() & F.col("lat_exact").isNotNull()
+    named = df.filter(located).join(admin_points, ["lng_exact", "lat_exact"], "left")
+    nameless = df.filter(~located)
+    for c in ADMIN_NAME_COLUMNS:
+        nameless = nameless.withColumn(c, F.lit(None).cast("string"))
+    return named.unionByName(nameless)
 
 
 def with_geometry(df: DataFrame) -> DataFrame:

@@ -38,14 +38,18 @@ def _seq(role: str) -> str:
 
 
 def country_codes(reg: Register, role: str) -> DataFrame:
-    """C2: DISTINCT (appln_id, person_id, ctry_code) of persons in ``role``."""
-    return (
-        reg.pers_appln.filter(F.col(_seq(role)) > 0)
-        .select("appln_id", "person_id")
-        .join(reg.person.select("person_id", F.col("person_ctry_code").alias("ctry_code")), "person_id")
-        .select("appln_id", "person_id", "ctry_code")
-        .distinct()
-    )
+    """C2: DISTINCT (appln_id, person_id, ctry_code) of persons in ``role``.
+
+    Both sides are made distinct before the join, which is then distinct itself:
+    nothing above needs the join's partitioning, so AQE may split a person on very
+    many applications."""
+    persons = reg.pers_appln.filter(F.col(_seq(role)) > 0).select("appln_id", "person_id").distinct()
+    return persons.join(person_codes(reg), "person_id").select("appln_id", "person_id", "ctry_code")
+
+
+def person_codes(reg: Register) -> DataFrame:
+    """Distinct (person_id, ctry_code)."""
+    return reg.person.select("person_id", F.col("person_ctry_code").alias("ctry_code")).distinct()
 
 
 def location_rows(reg: Register, loc: LocationInputs) -> DataFrame:
@@ -53,7 +57,9 @@ def location_rows(reg: Register, loc: LocationInputs) -> DataFrame:
     tables, tagged with ``role`` ('inv' / 'app').  A source row that qualifies for
     both roles is emitted once per role; DISTINCT is taken within each branch and
     role, as the reference does per table.  Each input table is scanned and
-    shuffled once for both roles."""
+    shuffled once for both roles.  Where the DISTINCT keys contain the join key (a
+    person, an address text), an exchange by application lies between: the DISTINCT
+    does not ride on the join's partitioning, so AQE may split a hot person or text."""
     addr = loc.addresses
     person_id0 = F.lit(0).cast("long").alias("person_id")
 
@@ -69,6 +75,7 @@ def location_rows(reg: Register, loc: LocationInputs) -> DataFrame:
         .join(loc.person_location, "location_id")
         .join(persons, "person_id")
         .select("role", "unformattedaddress", "appln_id", "person_id", *_PAYLOAD)
+        .repartition("appln_id")
         .distinct()
         .drop("unformattedaddress")
     )
@@ -84,6 +91,7 @@ def location_rows(reg: Register, loc: LocationInputs) -> DataFrame:
         addr.join(loc.addresses_pct, addr.unformattedaddress == loc.addresses_pct.address_text)
         .filter(inv_text | app_text)
         .select(roles(inv_text, app_text).alias("role"), "unformattedaddress", "appln_id", person_id0, *_PAYLOAD)
+        .repartition("appln_id")
         .distinct()
         .drop("unformattedaddress")
     )

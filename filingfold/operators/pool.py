@@ -3,8 +3,8 @@
 The pool is built at *filing* grain: (appln_id, subsequent_id, subsequent_date,
 nb_priorities, type).  nb_priorities = 1 marks an "equivalent", > 1 an "other
 subsequent filing".  The country scripts expand it to persons of the subsequent
-filing (``person_pool``); the pipelines never materialise that expansion for all
-candidates, only for the chosen filing (see ``operators.select``).
+filing (``person_pool``); the pipelines only expand the chosen filing to its rows, and
+repeat those last (``operators.waterfall.fill``).
 """
 
 from __future__ import annotations
@@ -131,17 +131,19 @@ def subsequent_pool(reg: Register, pf_apps: DataFrame) -> DataFrame:
 
 
 def person_pool(reg: Register, pool: DataFrame, pf_apps: DataFrame) -> DataFrame:
-    """The country scripts' pool: one row per person row of the subsequent filing."""
+    """The country scripts' pool: one row per distinct person row of the subsequent
+    filing.  All sides are distinct before the joins, so the result is, and no DISTINCT
+    above rides on a join's partitioning: AQE may split a first filing with very many
+    subsequent filings (``pf_apps`` should be a written table, as in the plans)."""
     persons = reg.pers_appln.select(
         F.col("appln_id").alias("subsequent_id"),
         F.col("person_id").alias("subsequent_person_id"),
         "applt_seq_nr",
         "invt_seq_nr",
-    )
+    ).distinct()
     attrs = pf_apps.select("appln_id", "patent_office", "appln_filing_year")
     return (
         pool.join(persons, "subsequent_id")
         .join(attrs, "appln_id")
         .select(*PERSON_POOL_COLUMNS)
-        .distinct()
     )

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..config import Config
 from ..functions.predicates import nonempty
-from ..operators.info import country_codes
+from ..operators.info import country_codes, person_codes
 from ..sources.register import Register
 
 EQUIVALENT = "equivalent"  # nb_priorities = 1
@@ -53,17 +53,11 @@ def own_code_rows(reg: Register, cfg: Config) -> DataFrame:
 
     The reference joins the pool's person rows to the code table on (filing, person);
     the code table is itself those person rows joined to the person table, so one
-    join on person_id gives the same multiset, and the DISTINCT reuses the join's
-    partitioning (no second shuffle)."""
-    return (
-        reg.pers_appln.filter(F.col(cfg.own_seq) > 0)
-        .select("appln_id", "person_id", "applt_seq_nr", "invt_seq_nr")
-        .join(
-            reg.person.select("person_id", F.col("person_ctry_code").alias("ctry_code")).filter(nonempty("ctry_code")),
-            "person_id",
-        )
-        .distinct()
-        .select(F.col("appln_id").alias("subsequent_id"), "person_id", "ctry_code")
+    join on person_id gives the same multiset.  Both sides are distinct before the
+    join, so nothing above rides on its partitioning and AQE may split a hot person."""
+    rows = reg.pers_appln.filter(F.col(cfg.own_seq) > 0).select("appln_id", "person_id", "applt_seq_nr", "invt_seq_nr").distinct()
+    return rows.join(person_codes(reg).filter(nonempty("ctry_code")), "person_id").select(
+        F.col("appln_id").alias("subsequent_id"), "person_id", "ctry_code"
     )
 
 
@@ -72,32 +66,33 @@ def other_code_rows(reg: Register, cfg: Config) -> DataFrame:
 
     The reference joins these codes on the filing id only, while its pool has one row
     per person row of the filing, so each code row appears once per other-role person
-    row (k x m rows).  Reproduced by repeating each code row k times, which needs
-    the count k, not a pairwise join; ``dedupe_cross_role`` keeps distinct codes."""
+    row (k x m rows).  The rows here are the m code rows; ``copies_of`` has k, and
+    ``expand_copies`` repeats the rows of the chosen filings, after the winner is
+    known.  ``dedupe_cross_role`` keeps distinct codes once."""
     codes = country_codes(reg, cfg.other_role).filter(nonempty("ctry_code"))
+    rows = codes.select(F.col("appln_id").alias("subsequent_id"), F.lit(0).cast("long").alias("person_id"), "ctry_code")
+    return rows.distinct() if cfg.dedupe_cross_role else rows
+
+
+def copies_of(reg: Register, cfg: Config) -> DataFrame | None:
+    """(subsequent_id, copies): how often each other-role row of a filing appears."""
     if cfg.dedupe_cross_role:
-        return codes.select(
-            F.col("appln_id").alias("subsequent_id"), F.lit(0).cast("long").alias("person_id"), "ctry_code"
-        ).distinct()
-    k = (
+        return None
+    return (
         reg.pers_appln.filter(F.col(cfg.other_seq) > 0)
-        .select("appln_id", "person_id", "applt_seq_nr", "invt_seq_nr")
+        .select(F.col("appln_id").alias("subsequent_id"), "person_id", "applt_seq_nr", "invt_seq_nr")
         .distinct()
-        .groupBy("appln_id")
-        .agg(F.count(F.lit(1)).alias("k"))
-    )
-    return (
-        codes.join(k, "appln_id")
-        .select(
-            F.col("appln_id").alias("subsequent_id"),
-            F.lit(0).cast("long").alias("person_id"),
-            "ctry_code",
-            F.explode(F.sequence(F.lit(1), F.col("k").cast("int"))).alias("_copy"),
-        )
-        .drop("_copy")
+        .groupBy("subsequent_id")
+        .agg(F.count(F.lit(1)).alias("copies"))
     )
 
 
+def expand_copies(rows: DataFrame) -> DataFrame:
+    """Each row as often as its ``copies`` says (once where it is null)."""
+    n = F.coalesce(F.col("copies"), F.lit(1)).cast("int")
+    return rows.withColumn("copies", F.explode(F.sequence(F.lit(1), n))).drop("copies")
+
+
 def direct_own_codes(pf: DataFrame, reg: Register, cfg: Config) -> DataFrame:
     """Country source 1 table (PRIORITY_FILINGS1): every first-filing person with its
     own-role code, if any (left join)."""

@@ -17,7 +17,7 @@ from ..operators.select import (
     direct_own_locations,
     locations_by_subsequent,
 )
-from ..operators.waterfall import Candidates, assemble, fill
+from ..operators.waterfall import Candidates, assemble, fill, still_open
 from ..session import cut_lineage
 from ..sources.register import LocationInputs, Register
 from ..sources.schemas import ADMIN_NAME_COLUMNS
@@ -29,8 +29,10 @@ GEOC_OUTPUT = (
 
 
 def enrich_locations(rows: DataFrame, loc: LocationInputs) -> DataFrame:
-    """Attach administrative names (point in polygon) and geometry to lean rows."""
-    return with_geometry(attach_admin(rows, admin_of_points(rows, loc.admin_levels)))
+    """Attach administrative names (point in polygon) and geometry to lean rows.  The
+    names are those of the address table's distinct points, a stage of its own: every
+    row's point comes from there, and ``rows`` is read once."""
+    return with_geometry(attach_admin(rows, admin_of_points(loc.addresses, loc.admin_levels)))
 
 
 def location_table(reg: Register, loc: LocationInputs, role: str) -> DataFrame:
@@ -41,17 +43,17 @@ def location_table(reg: Register, loc: LocationInputs, role: str) -> DataFrame:
 def impute_location(reg: Register, loc: LocationInputs, cfg: Config) -> DataFrame:
     # Materialise the frames several branches read (see plans.country).
     pf = cut_lineage(first_filings(reg, cfg))
-    pf_apps = first_filing_applications(pf)
+    pf_apps = cut_lineage(first_filing_applications(pf))
     rows = cut_lineage(location_rows(reg, loc))  # both roles, one pass over the inputs
     own = role_rows(rows, cfg.role)
     other = role_rows(rows, cfg.other_role)
     cands = Candidates(
-        own_direct=direct_own_locations(pf, own),
+        own_direct=cut_lineage(direct_own_locations(pf, own)),
         own_by_subsequent=locations_by_subsequent(own),
         other_direct=direct_other_locations(pf_apps, other),
         other_by_subsequent=locations_by_subsequent(other),
     )
-    filled = fill(cut_lineage(subsequent_pool(reg, pf_apps)), cands, LEAN)
+    filled = fill(cut_lineage(subsequent_pool(reg, still_open(pf_apps, cands))), cands, LEAN)
     return enrich_locations(assemble(filled, pf_apps), loc).select(*GEOC_OUTPUT)
 
 

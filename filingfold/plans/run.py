@@ -10,8 +10,8 @@ inputs as parquet, and writes, under OUT_DIR:
 * ``family_bridge/``              the family bridge
 * ``ctry_inv_person_csv/``, ``ctry_app_person_csv/``  the two ordered CSV exports
 
-Parquet outputs keep geometry as ``struct<x,y>``; every table carries
-``lastupdate``.  Pass ``LOCATIONS_DIR = -`` to skip the location tables.
+Parquet outputs keep geometry as ``struct<x,y>``; the country tables and the bridge
+carry ``lastupdate``.  Pass ``LOCATIONS_DIR = -`` to skip the location tables.
 """
 
 from __future__ import annotations
@@ -19,9 +19,9 @@ from __future__ import annotations
 import sys
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 from ..config import COUNTRY_APP, COUNTRY_INV, LOCATION_APP, LOCATION_INV
+from ..session import RECOMMENDED_CONF
 from ..sources.register import LocationInputs, Register, read_locations, read_register
 from ..sources.sinks import export_csv
 from .bridge import build_bridge
@@ -48,7 +48,7 @@ def run(spark: SparkSession, reg: Register, loc: LocationInputs | None, out: str
         written[f"ctry_{name[3:6]}_person_csv"] = csv
     if loc is not None:
         for name, cfg in (("geoc_inv", LOCATION_INV), ("geoc_app", LOCATION_APP)):
-            save(name, impute_location(reg, loc, cfg).withColumn("lastupdate", F.current_timestamp()))
+            save(name, impute_location(reg, loc, cfg))
     save("family_bridge", build_bridge(reg))
     return written
 
@@ -57,7 +57,10 @@ def main(argv: list[str]) -> int:
     if len(argv) != 4:
         print(__doc__)
         return 2
-    spark = SparkSession.builder.getOrCreate()
+    builder = SparkSession.builder
+    for key, value in RECOMMENDED_CONF.items():
+        builder = builder.config(key, value)
+    spark = builder.getOrCreate()
     reg = read_register(spark, argv[1])
     loc = None if argv[2] == "-" else read_locations(spark, argv[2])
     for name, path in run(spark, reg, loc, argv[3]).items():

@@ -1,13 +1,15 @@
 """Session helpers: recommended settings and lineage cuts.
 
-Lineage is cut with reliable ``checkpoint()`` into the shared folder the cluster
-names in ``spark.checkpoint.dir``, so a lost executor does not lose the cut.  A
-folder of our own is set only where the session has none (local tests).
+Lineage is cut by writing Parquet into the shared folder the cluster names in
+``spark.checkpoint.dir`` and reading it back: a lost executor does not lose the cut,
+and later scans keep column pruning and pushed filters.  A folder of our own is set
+only where the session has none (local tests).
 """
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,7 +56,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` into the checkpoint folder and return a DataFrame whose plan
-    is a scan of it (reliable, survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` as Parquet below the checkpoint folder and return a scan of it.  The
+    scan carries no partitioning, so a join on it gets an exchange of its own and AQE
+    can split a hot key there."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/stage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

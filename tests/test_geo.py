@@ -70,9 +70,8 @@ def test_projection_is_true_to_scale_on_standard_parallels(spark):
     assert 0 < LCC["n"] < 1
 
 
-def test_dense_cells_split_gives_the_same_answer(spark):
-    # Many small polygons and points in one cell; with a tiny density threshold the
-    # cell is split into sub-cells, which must not change any answer.
+def test_salts_do_not_change_the_answer(spark):
+    # Many small polygons and points in one cell, with one salt and with several.
     polys = []
     for i in range(4):
         for j in range(4):
@@ -83,7 +82,26 @@ def test_dense_cells_split_gives_the_same_answer(spark):
     coords = [(5 + 0.03 * a + 0.001, 5 + 0.07 * b + 0.002) for a in range(40) for b in range(15)]
     coords += [(5.25, 5.1), (5.1, 5.5), (4.5, 6.5), (6.5, 6.999)]  # on inner edges, outside the small ones
     pts = _pts(spark, coords)
-    coarse = rows(admin_of_points(pts, admin, dense_points=10**9), "lng_exact", "lat_exact", "name_0")
-    fine = rows(admin_of_points(pts, admin, dense_points=5, split=7), "lng_exact", "lat_exact", "name_0")
-    assert coarse == fine
-    assert len(coarse) == len(coords)
+    one = rows(admin_of_points(pts, admin, salts=1), "lng_exact", "lat_exact", "name_0")
+    assert one == rows(admin_of_points(pts, admin), "lng_exact", "lat_exact", "name_0")
+    assert len(one) == len(coords)
+
+
+def test_outline_of_many_edges(spark):
+    # A circle of 10^5 edges over thousands of cells: edges are clipped to rows of
+    # cells before they are copied to the cells.
+    n = 100_000
+    ring = [(20 + 18 * math.cos(2 * math.pi * i / n), 10 + 18 * math.sin(2 * math.pi * i / n)) for i in range(n)]
+    admin = frame(spark, S.ADMIN_LEVELS, [_poly(1, "disc", [*ring, ring[0]])])
+    coords = [(20.0, 10.0), (20.0, 27.99), (20.0, 28.01), (33.0, 22.0), (33.5, 22.9), (2.01, 10.0), (1.99, 10.0)]
+    got = {(float(x), float(y)) for x, y in rows(admin_of_points(_pts(spark, coords), admin), "lng_exact", "lat_exact")}
+    assert got == {c for c in coords if math.hypot(c[0] - 20, c[1] - 10) < 18}
+
+
+def test_projection_at_control_points(spark):
+    # Inverse of the public formulas (EPSG 5243): east of the axis x grows, and the
+    # two parallels lie at their known meridian distances from the origin.
+    (p,) = _project(spark, [(11.5, 51.0)])
+    assert 69_000 < p[0] < 71_000 and 300 < p[1] < 700
+    (south, north) = _project(spark, [(10.5, LCC_LAT1), (10.5, LCC_LAT2)])
+    assert abs((north[1] - south[1]) - 556_470) < 700 and south[1] < 0 < north[1]
