@@ -8,12 +8,13 @@ scalar columns, metres rounded to millimetres.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .config import COUNTRY_APP, COUNTRY_INV, LOCATION_APP, LOCATION_INV
+from .config import COUNTRY_APP, COUNTRY_INV, LOCATION_APP, LOCATION_INV, Config
 from .functions.labels import country_label
 from .operators.bridge import bridge
 from .operators.classify import excluded_applications, first_filing_applications, first_filings
@@ -23,20 +24,23 @@ from .operators.pool import person_pool, pool_continual, pool_pct, pool_priority
 from .operators.select import (
     EQUIVALENT,
     OTHER,
+    copies_of,
     direct_other_codes,
     direct_other_locations,
     direct_own_codes,
     direct_own_locations,
     earliest_winner,
+    expand_copies,
     locations_by_subsequent,
     other_code_rows,
     own_code_rows,
 )
-from .plans.country import impute_country
+from .plans.country import impute_country, office_fallback
 from .plans.location import GEOC_OUTPUT, enrich_locations, flat_geometry, impute_location, location_table
-from .session import cut_lineage
+from .session import cut_lineage, ensure_checkpoint_dir
 from .sources.fixtures import fixture_inputs
 from .sources.schemas import ADMIN_NAME_COLUMNS
+from .sources.sinks import export_csv, read_export
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -62,24 +66,24 @@ def _reg(spark: SparkSession, sf_dir: str):
 
 
 def _pf_apps(spark, sf_dir, cfg):
-    """Register and first-filing applications, materialised once: the pools read
-    them four times (one per pool type)."""
+    """Register and first-filing applications, written once: the pools read them four
+    times (one per pool type)."""
     reg = _reg(spark, sf_dir)
-    return reg, first_filing_applications(cut_lineage(first_filings(reg, cfg)))
+    return reg, cut_lineage(first_filing_applications(first_filings(reg, cfg)))
 
 
-def _person_pool(build):
+def _person_pool(build, cfg: Config = COUNTRY_INV) -> Query:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        reg, apps = _pf_apps(spark, sf_dir, COUNTRY_INV)
+        reg, apps = _pf_apps(spark, sf_dir, cfg)
         return person_pool(reg, build(reg, apps), apps)
 
     return q
 
 
-def _earliest(kind: str) -> Query:
+def _earliest(kind: str, cfg: Config = COUNTRY_INV) -> Query:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        reg, apps = _pf_apps(spark, sf_dir, COUNTRY_INV)
-        rows = own_code_rows(reg, COUNTRY_INV)
+        reg, apps = _pf_apps(spark, sf_dir, cfg)
+        rows = own_code_rows(reg, cfg)
         win = earliest_winner(subsequent_pool(reg, apps), kind, rows)
         return (
             win.join(rows, "subsequent_id")
@@ -111,8 +115,17 @@ def _location_table(role: str) -> Query:
 
 
 def _office_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = impute_country(_reg(spark, sf_dir), COUNTRY_INV, with_lastupdate=False)
-    return out.filter(F.col("source") == 7).select("appln_id", "person_id", "ctry_code", "source", "type")
+    reg, apps = _pf_apps(spark, sf_dir, COUNTRY_INV)
+    rows = office_fallback(reg, COUNTRY_INV)
+    return rows.join(apps.select("appln_id", "type"), "appln_id").select("appln_id", "person_id", "ctry_code", "source", "type")
+
+
+def _export_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ordered CSV export, written to the shared folder and read back."""
+    table = impute_country(_reg(spark, sf_dir), COUNTRY_INV, with_lastupdate=False)
+    path = f"{ensure_checkpoint_dir(spark)}/export-{uuid.uuid4().hex}"
+    export_csv(table, path)
+    return read_export(spark, path, table.schema)
 
 
 def _country_label(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -132,28 +145,33 @@ def _project_metres(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat_geometry(with_geometry(loc.addresses)).select("location_id", "geom_x", "geom_y", "geom_m_x", "geom_m_y")
 
 
-def _direct_own(spark: SparkSession, sf_dir: str) -> DataFrame:
-    reg = _reg(spark, sf_dir)
-    return direct_own_codes(first_filings(reg, COUNTRY_INV), reg, COUNTRY_INV)
+def _direct_own(cfg: Config = COUNTRY_INV) -> Query:
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        reg = _reg(spark, sf_dir)
+        return direct_own_codes(first_filings(reg, cfg), reg, cfg)
 
+    return q
 
-def _direct_other(spark: SparkSession, sf_dir: str) -> DataFrame:
-    reg, apps = _pf_apps(spark, sf_dir, COUNTRY_INV)
-    return direct_other_codes(apps, reg, COUNTRY_INV)
+
+def _direct_other(cfg: Config = COUNTRY_INV) -> Query:
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        reg, apps = _pf_apps(spark, sf_dir, cfg)
+        return direct_other_codes(apps, reg, cfg)
+
+    return q
 
 
-def _earliest_other_role(kind: str) -> Query:
-    """Sources 5 / 6 candidates (EARLIEST_EQUIVALENT5_ / EARLIEST_SUBSEQUENT_FILING6_),
-    with the reference's person x code multiplicity."""
+def _earliest_other_role(kind: str, cfg: Config = COUNTRY_INV) -> Query:
+    """Sources 5 / 6 candidates, with the person x code multiplicity, which is applied
+    to the winners' rows only."""
 
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        reg, apps = _pf_apps(spark, sf_dir, COUNTRY_INV)
-        rows = other_code_rows(reg, COUNTRY_INV)
+        reg, apps = _pf_apps(spark, sf_dir, cfg)
+        rows = other_code_rows(reg, cfg)
         win = earliest_winner(subsequent_pool(reg, apps), kind, rows)
-        return (
-            win.join(rows, "subsequent_id")
-            .join(apps.select("appln_id", "type"), "appln_id")
-            .select("appln_id", "subsequent_id", "ctry_code", "type", "min_date")
+        met = win.join(rows, "subsequent_id").join(copies_of(reg, cfg), "subsequent_id")
+        return expand_copies(met).join(apps.select("appln_id", "type"), "appln_id").select(
+            "appln_id", "subsequent_id", "ctry_code", "type", "min_date"
         )
 
     return q
@@ -167,18 +185,22 @@ def _pool_location(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _earliest_equivalent_location(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Location source 2 candidates (EARLIEST_EQUIVALENT2_ of the location script)."""
-    reg, loc = fixture_inputs(spark, sf_dir)
-    apps = first_filing_applications(cut_lineage(first_filings(reg, LOCATION_INV)))
-    rows = locations_by_subsequent(cut_lineage(locations(reg, loc, "inv")))
-    win = earliest_winner(subsequent_pool(reg, apps), EQUIVALENT, rows)
-    out = win.join(rows, "subsequent_id").join(apps.select("appln_id", "type"), "appln_id")
-    flat = _exact_as_double(flat_geometry(enrich_locations(out, loc)))
-    return flat.select(
-        "appln_id", "subsequent_id", *ADMIN_NAME_COLUMNS, "lat", "lng", "lat_exact", "lng_exact",
-        "geom_x", "geom_y", "geom_m_x", "geom_m_y", "coord_source", "type", "min_date",
-    )
+def _earliest_location(kind: str, role: str) -> Query:
+    """Location sources 2, 3 (own role) and 5, 6 (other role) candidates."""
+
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        reg, loc = fixture_inputs(spark, sf_dir)
+        apps = cut_lineage(first_filing_applications(first_filings(reg, LOCATION_INV)))
+        rows = cut_lineage(locations_by_subsequent(locations(reg, loc, role)))
+        win = earliest_winner(subsequent_pool(reg, apps), kind, rows)
+        out = win.join(rows, "subsequent_id").join(apps.select("appln_id", "type"), "appln_id")
+        flat = _exact_as_double(flat_geometry(enrich_locations(out, loc)))
+        return flat.select(
+            "appln_id", "subsequent_id", *ADMIN_NAME_COLUMNS, "lat", "lng", "lat_exact", "lng_exact",
+            "geom_x", "geom_y", "geom_m_x", "geom_m_y", "coord_source", "type", "min_date",
+        )
+
+    return q
 
 
 def _direct_locations(own: bool) -> Query:
@@ -206,8 +228,8 @@ QUERIES: dict[str, Query] = {
     "pool_continual": _person_pool(pool_continual),
     "pool_tech_rel": _person_pool(pool_tech_rel),
     "pool_pct": _person_pool(pool_pct),
-    "direct_own": _direct_own,
-    "direct_other": _direct_other,
+    "direct_own": _direct_own(),
+    "direct_other": _direct_other(),
     "earliest_equivalent": _earliest(EQUIVALENT),
     "earliest_other": _earliest(OTHER),
     "office_fallback": _office_fallback,
@@ -224,7 +246,22 @@ QUERIES: dict[str, Query] = {
     "pool_location": _pool_location,
     "earliest_equivalent_other_role": _earliest_other_role(EQUIVALENT),
     "earliest_other_other_role": _earliest_other_role(OTHER),
-    "earliest_equivalent_location": _earliest_equivalent_location,
+    "earliest_equivalent_location": _earliest_location(EQUIVALENT, "inv"),
+    "earliest_other_location": _earliest_location(OTHER, "inv"),
+    "earliest_equivalent_location_other_role": _earliest_location(EQUIVALENT, "app"),
+    "earliest_other_location_other_role": _earliest_location(OTHER, "app"),
     "direct_own_locations": _direct_locations(own=True),
     "direct_other_locations": _direct_locations(own=False),
+    # The country operators with the applicant preset.
+    "pool_priority_app": _person_pool(pool_priority, COUNTRY_APP),
+    "pool_continual_app": _person_pool(pool_continual, COUNTRY_APP),
+    "pool_tech_rel_app": _person_pool(pool_tech_rel, COUNTRY_APP),
+    "pool_pct_app": _person_pool(pool_pct, COUNTRY_APP),
+    "direct_own_app": _direct_own(COUNTRY_APP),
+    "direct_other_app": _direct_other(COUNTRY_APP),
+    "earliest_equivalent_app": _earliest(EQUIVALENT, COUNTRY_APP),
+    "earliest_other_app": _earliest(OTHER, COUNTRY_APP),
+    "earliest_equivalent_other_role_app": _earliest_other_role(EQUIVALENT, COUNTRY_APP),
+    "earliest_other_other_role_app": _earliest_other_role(OTHER, COUNTRY_APP),
+    "export_csv": _export_csv,
 }

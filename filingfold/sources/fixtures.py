@@ -93,12 +93,15 @@ def register_from_star(spark: SparkSession, sf_dir: str) -> Register:
     prior = _cast_to(prior, S.TLS204_APPLN_PRIOR)
 
     def _link(flag: str, step: int, other: str) -> DataFrame:
+        # Every line of the flag links to an earlier filing, or to a later one where
+        # there is no earlier; targets are gathered on one in 2 * step filings, and no
+        # filing links to itself.
+        far = (F.col("l_suppkey") + 1) * step + F.col("l_linenumber")
+        at = F.when(a > far, a - far).otherwise(a + far)
+        target = at - at % (2 * step) + 1
         return (
-            lineitem.filter((F.col("l_returnflag") == flag) & (F.col("l_linenumber") <= 2) & (F.col("l_orderkey") > 0))
-            .select(
-                a.alias("appln_id"),
-                F.greatest(F.lit(1).cast("long"), a - (F.col("l_suppkey") + 1) * step).alias(other),
-            )
+            lineitem.filter(F.col("l_returnflag") == flag)
+            .select(a.alias("appln_id"), (target + F.when(target == a, 2 * step).otherwise(0)).alias(other))
             .distinct()
         )
 
@@ -226,13 +229,13 @@ def locations_from_star(spark: SparkSession, sf_dir: str) -> LocationInputs:
     person_location = _cast_to(person_location, S.PERSON_LOCATION)
 
     a = F.col("l_orderkey") + 1
-    pct_part = F.when(F.col("l_linenumber") == 3, F.col("l_partkey") - F.col("l_partkey") % 5).otherwise(
+    pct_part = F.when(F.col("l_linenumber") % 2 == 1, F.col("l_partkey") - F.col("l_partkey") % 5).otherwise(
         F.col("l_partkey")
     )
     addresses_pct = (
-        lineitem.filter((F.col("l_returnflag") == "N") & F.col("l_linenumber").isin(3, 4))
+        lineitem.filter(F.col("l_returnflag") == "N")
         .select(
-            a.alias("appln_id"),
+            (a - F.col("l_orderkey") % 3).alias("appln_id"),  # gathered on one filing in three
             F.concat(F.lit("addr_"), (F.lit(LOCATION_OFFSET_PART) + pct_part).cast("string")).alias("address_text"),
             (F.col("l_suppkey") % 8 + 1).alias("relation_type_id"),
         )
@@ -240,13 +243,11 @@ def locations_from_star(spark: SparkSession, sf_dir: str) -> LocationInputs:
     )
     addresses_pct = _cast_to(addresses_pct, S.ADDRESSES_PCT)
 
-    line5 = lineitem.filter(F.col("l_linenumber") == 5)
-
     def _appln_location(rem: int) -> DataFrame:
         df = (
-            line5.filter(F.col("l_partkey") % 5 == rem)
+            lineitem.filter(F.col("l_partkey") % 5 == rem)
             .select(
-                a.alias("appln_id"),
+                (a - F.col("l_orderkey") % 6).alias("appln_id"),  # gathered on one filing in six
                 (F.lit(LOCATION_OFFSET_PART) + F.col("l_partkey")).alias("location_id"),
                 F.when(F.col("l_suppkey") % 2 == 0, F.lit("INV")).otherwise(F.lit("APP")).alias("app_inv"),
             )
@@ -291,25 +292,39 @@ def _cast_to(df: DataFrame, schema) -> DataFrame:
 
 
 # Bump when any expression above changes, so stale materialised fixtures are not reused.
-FIXTURE_VERSION = "1"
+FIXTURE_VERSION = "3"
+STAR_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
+
+
+def _file_system(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
 def _fs_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(conf).exists(p)
+    fs, p = _file_system(spark, path)
+    return fs.exists(p)
+
+
+def star_state(spark: SparkSession, sf_dir: str) -> str:
+    """Names, lengths and modification times of the star tables' files: other data
+    under the same path is another state."""
+    seen = []
+    for name in STAR_TABLES:
+        fs, p = _file_system(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
+        seen += sorted((str(s.getPath()), s.getLen(), s.getModificationTime()) for s in fs.listStatus(p))
+    return repr(seen)
 
 
-def fixture_root(spark: SparkSession, sf_dir: str) -> str:
+def fixture_root(spark: SparkSession, sf_dir: str, state: str) -> str:
     """Folder for the derived tables: under the session's checkpoint folder (shared on
-    a cluster), keyed by the star directory and the adapter version."""
+    a cluster), keyed by the state of the star tables and the adapter version."""
     import hashlib
 
     from ..session import ensure_checkpoint_dir
 
     base = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
-    key = hashlib.sha1(f"{sf_dir.rstrip('/')}|{FIXTURE_VERSION}".encode()).hexdigest()[:16]
+    key = hashlib.sha1(f"{sf_dir.rstrip('/')}|{state}|{FIXTURE_VERSION}".encode()).hexdigest()[:16]
     return f"{base.rstrip('/')}/filingfold-fixtures/{key}"
 
 
@@ -321,13 +336,17 @@ FIXTURE_TABLES = (
 )
 
 
-def materialize_fixtures(spark: SparkSession, sf_dir: str) -> str:
-    """Write the derived register and location tables as parquet once; later calls
-    reuse them.  Returns the folder, readable with ``read_register``/``read_locations``."""
-    root = fixture_root(spark, sf_dir)
-    missing = [n for n in FIXTURE_TABLES if not _fs_exists(spark, f"{root}/{n}/_SUCCESS")]
-    if not missing:
+def materialize_fixtures(spark: SparkSession, sf_dir: str, state: str) -> str:
+    """Write the derived register and location tables as parquet once per state of the
+    inputs; later calls reuse them.  They are written to a folder of this call and
+    renamed as a whole, so sessions never share a half-written one.  Returns the
+    folder, readable with ``read_register``/``read_locations``."""
+    import uuid
+
+    root = fixture_root(spark, sf_dir, state)
+    if _fs_exists(spark, root):
         return root
+    own = f"{root}-{uuid.uuid4().hex}"
     reg = register_from_star(spark, sf_dir)
     loc = locations_from_star(spark, sf_dir)
     tables = {
@@ -347,22 +366,26 @@ def materialize_fixtures(spark: SparkSession, sf_dir: str) -> str:
         "inventor_applicant_location_id_kr": loc.appln_location_kr,
         "inventor_applicant_location_id_cn": loc.appln_location_cn,
     }
-    for name in missing:
-        tables[name].write.mode("overwrite").parquet(f"{root}/{name}")
-    return root
+    for name in FIXTURE_TABLES:
+        tables[name].write.parquet(f"{own}/{name}")
+    fs, target = _file_system(spark, root)
+    if not fs.exists(target) and fs.rename(_file_system(spark, own)[1], target):
+        return root
+    return own  # another session was first; this call's folder is as good
 
 
-# Scans of the materialised tables, per (Spark context, folder).  DataFrames are
-# immutable plans, so sharing them between queries of one session is safe.
-_INPUTS: dict[tuple[str, str], tuple[Register, LocationInputs]] = {}
+# Scans of the materialised tables, per (Spark application, state of the inputs).
+# DataFrames are immutable plans, so sharing them between queries of one session is safe.
+_INPUTS: dict[tuple[str, str, str], tuple[Register, LocationInputs]] = {}
 
 
 def fixture_inputs(spark: SparkSession, sf_dir: str) -> tuple[Register, LocationInputs]:
     """Register and location inputs derived from the star schema at ``sf_dir``."""
     from .register import read_locations, read_register
 
-    key = (spark.sparkContext.applicationId, f"{sf_dir}|{FIXTURE_VERSION}")
+    state = star_state(spark, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir, state)
     if key not in _INPUTS:
-        root = materialize_fixtures(spark, sf_dir)
+        root = materialize_fixtures(spark, sf_dir, state)
         _INPUTS[key] = (read_register(spark, root, exact=True), read_locations(spark, root, exact=True))
     return _INPUTS[key]

@@ -1,6 +1,6 @@
-"""Counts measured independently during the survey (FIXTURES.md, sf0.001).
+"""Counts measured with DuckDB over the adapter's SQL (FIXTURES.md, sf0.001).
 
-They pin the adapter and the pipelines together.  The scratch run had the year
+They pin the adapter and the pipelines together.  The counts have the year
 window on for both roles, so the inventor preset is checked with it switched on.
 """
 
@@ -25,17 +25,17 @@ INV_YEARS = replace(COUNTRY_INV, year_range=DEFAULT_YEAR_RANGE)
 
 # (applications, rows) per first-filing type.
 FIRST_FILINGS = {
-    "app": {"priority": (153, 235), "pct": (153, 242), "continual": (238, 368), "tech_rel": (167, 253), "single": (105, 159)},
-    "inv": {"priority": (150, 525), "pct": (153, 553), "continual": (232, 774), "tech_rel": (164, 533), "single": (103, 326)},
-    "loc": {"priority": (128, 454), "pct": (137, 137), "continual": (181, 585), "tech_rel": (128, 411), "single": (90, 294)},
+    "app": {"priority": (153, 235), "pct": (153, 242), "continual": (91, 141), "tech_rel": (63, 105), "single": (204, 314)},
+    "inv": {"priority": (150, 525), "pct": (153, 553), "continual": (88, 279), "tech_rel": (60, 205), "single": (199, 659)},
+    "loc": {"priority": (128, 454), "pct": (137, 137), "continual": (73, 232), "tech_rel": (45, 157), "single": (165, 547)},
 }
 # (applications, rows) per source, and unresolved applications.
 WATERFALL = {
-    "app": ({1: (353, 404), 2: (156, 183), 3: (85, 102), 4: (155, 212), 5: (22, 192), 6: (6, 85), 7: (25, 34)}, 14),
-    "inv": ({1: (585, 834), 2: (120, 205), 3: (31, 74), 4: (25, 25), 5: (2, 2), 6: (3, 5), 7: (22, 53)}, 14),
-    "loc": ({1: (346, 458), 2: (126, 178), 3: (56, 83), 4: (71, 81), 5: (6, 6), 6: (2, 2)}, 57),
+    "app": ({1: (282, 332), 2: (136, 150), 3: (73, 84), 4: (122, 160), 5: (4, 46), 7: (30, 36)}, 17),
+    "inv": ({1: (487, 704), 2: (83, 131), 3: (13, 22), 4: (22, 22), 6: (1, 1), 7: (27, 64)}, 17),
+    "loc": ({1: (292, 793), 2: (121, 541), 3: (11, 23), 4: (49, 52), 5: (1, 5)}, 74),
 }
-BRIDGE = {"PRIORITY": (200, 2611), "PCT": (49, 150), "CONTINUAL": (135, 281), "TECH_REL": (160, 320), "SINGLE": (23, 23)}
+BRIDGE = {"PRIORITY": (200, 2611), "PCT": (49, 150), "CONTINUAL": (85, 794), "TECH_REL": (46, 750), "SINGLE": (31, 31)}
 CONFIGS = {"app": COUNTRY_APP, "inv": INV_YEARS, "loc": LOCATION_INV}
 
 
