@@ -18,9 +18,6 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    # Delete checkpoint files once their DataFrames are garbage-collected, so the
-    # shared checkpoint folder does not grow with every run.
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

@@ -4,12 +4,17 @@ are carried through the bridge (the reference selects every publication column).
 from __future__ import annotations
 
 import datetime as dt
+import os
+import shutil
 import tempfile
 
+import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from filingfold.operators.bridge import bridge
 from filingfold.session import ensure_checkpoint_dir
+from filingfold.sources.fixtures import STAR_TABLES, fixture_inputs
 from filingfold.sources.register import read_register
 from tests.helpers import appln, register
 
@@ -43,3 +48,16 @@ def test_extra_publication_columns_reach_the_bridge(spark):
 def test_checkpoint_folder_comes_from_the_session(spark):
     folder = ensure_checkpoint_dir(spark)
     assert folder and folder == spark.sparkContext.getCheckpointDir()
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="driver test data not present")
+def test_new_data_under_one_path_gives_new_answers(spark):
+    star = tempfile.mkdtemp(prefix="filingfold-star-")
+    for name in STAR_TABLES:
+        shutil.copyfile(f"/root/testdata/sf0.001/{name}.parquet", f"{star}/{name}.parquet")
+    before = fixture_inputs(spark, star)[0].person
+    assert fixture_inputs(spark, star)[0].person is before  # same files, same tables
+    n = before.count()
+    pd.read_parquet(f"{star}/supplier.parquet").head(5).to_parquet(f"{star}/supplier.parquet")
+    after = fixture_inputs(spark, star)[0].person.count()
+    assert after < n and before.count() == n
