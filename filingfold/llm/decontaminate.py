@@ -27,7 +27,6 @@ kind leaves every document clean; other columns pass through ``decontaminate``.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from filingfold.llm.common import staged, table
-from filingfold.llm.textkernel import ALNUM, Words, combine, mix64, runs, text_buffers
+from filingfold.llm.textkernel import ALNUM, Words, combine, runs, text_buffers
 
 WINDOW = 5
 SHARE = 0.8
@@ -96,51 +95,72 @@ def canonical(data: np.ndarray, offsets: np.ndarray) -> tuple[Words, np.ndarray,
     return words, shape, number | unit | name
 
 
-def _windows(keys: list[str], wanted: np.ndarray | None, whole_items: bool):
-    """One row per distinct (window, place) of a text: keys, text length in windows,
-    window hash, place, slot values.  ``wanted`` (sorted) keeps only those windows."""
+class Wanted:
+    """A set of window hashes; most others fall to a table of their low 16 bits."""
+
+    def __init__(self, hashes: np.ndarray):
+        self.sorted = np.sort(hashes)
+        self.low = np.zeros(1 << 16, bool)
+        self.low[(self.sorted & np.uint64(0xFFFF)).astype(np.int64)] = True
+
+    def among(self, hashes: np.ndarray) -> np.ndarray:
+        out = self.low[(hashes & np.uint64(0xFFFF)).astype(np.int64)]
+        some = np.flatnonzero(out)
+        if len(some):
+            at = np.minimum(np.searchsorted(self.sorted, hashes[some]), len(self.sorted) - 1)
+            out[some] = self.sorted[at] == hashes[some]
+        return out
+
+
+def _find(data: np.ndarray, offsets: np.ndarray, wanted: Wanted | None, items: bool) -> Iterator[tuple]:
+    """(text, place, window hash, slot counts, slot values) of the windows of a run, in
+    arrays: first of all texts of at least WINDOW words at once, then by shorter
+    lengths, whose only window is the whole text."""
+    words, shape, slot = canonical(data, offsets)
+    size = np.diff(words.bounds)
+    owner = np.repeat(np.arange(len(size)), size)
+    values = words.hash.view(np.int64)
+    filled = np.concatenate([[0], np.cumsum(slot)])
+    for k in range(WINDOW, 0, -1):
+        if k == WINDOW:
+            at = np.arange(max(0, len(owner) - k + 1))
+            at = at[owner[at] == owner[at + k - 1]] if len(at) else at
+            hashes = combine([shape[at + j] for j in range(k)])
+        else:
+            at = words.bounds[:-1][size == k]
+            hashes = combine([shape[at + j] for j in range(k)])
+        if wanted is not None:
+            good = wanted.among(hashes)
+        elif items:
+            good = k - (filled[at + k] - filled[at]) >= min(LITERALS, k)
+            none = np.bincount(owner[at], good, len(size)) == 0  # items with no such window keep all
+            good |= none[owner[at]]
+        else:
+            good = np.ones(len(at), bool)
+        at, hashes = at[good], hashes[good]
+        if len(at):
+            around = (at[:, None] + np.arange(k)).ravel()
+            yield owner[at], at - words.bounds[owner[at]], hashes, filled[at + k] - filled[at], values[around[slot[around]]]
+
+
+def _windows(keys: list[str], wanted: Wanted | None, items: bool):
+    """Rows (keys, window, place, slots) of the windows of each text: those that are
+    wanted, or for items those that tell something, or all."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = text_buffers(batch["text"])
             for lo, hi in runs(offsets):
-                words, shape, slot = canonical(data, offsets[lo : hi + 1])
-                rows, places, hashes, lists, lengths = [], [], [], [], []
-                for i in range(hi - lo):
-                    a, b = int(words.bounds[i]), int(words.bounds[i + 1])
-                    if a == b:
-                        continue
-                    k = min(WINDOW, b - a)
-                    h = combine([shape[a + j : b - k + 1 + j] for j in range(k)])
-                    filled = np.concatenate([[0], np.cumsum(slot[a:b])])
-                    literal = k - (filled[k:] - filled[:-k])
-                    good = literal >= min(LITERALS, k)
-                    if whole_items and not good.any():
-                        good[:] = True
-                    elif not whole_items and wanted is None:
-                        good[:] = True
-                    if wanted is not None and len(wanted):
-                        good = np.isin(h, wanted, assume_unique=False)
-                    elif wanted is not None:
-                        good[:] = False
-                    at = np.flatnonzero(good)
-                    if not len(at):
-                        continue
-                    values = words.hash[a:b].view(np.int64)
-                    rows.append(np.full(len(at), lo + i))
-                    places.append(at)
-                    hashes.append(h[at].view(np.int64))
-                    lists += [values[p : p + k][slot[a + p : a + p + k]] for p in at]
-                    lengths.append(len(at))
-                if not rows:
-                    continue
-                row = pa.array(np.concatenate(rows))
-                ends = np.cumsum([0, *map(len, lists)]).astype(np.int32)
-                slots = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(lists)))
-                yield pa.RecordBatch.from_arrays(
-                    [*(batch[c].take(row) for c in keys), pa.array(np.concatenate(hashes)), pa.array(np.concatenate(places)), slots],
-                    names=[*keys, "window", "place", "slots"],
-                )
+                for text, place, hashes, counts, values in _find(data, offsets[lo : hi + 1], wanted, items):
+                    ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+                    row = pa.array(text + lo)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            *(batch[c].take(row) for c in keys), pa.array(hashes.view(np.int64)), pa.array(place),
+                            pa.ListArray.from_arrays(pa.array(ends), pa.array(values)),
+                        ],
+                        names=[*keys, "window", "place", "slots"],
+                    )
 
     return run
 
@@ -158,8 +178,7 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, share: float = SHARE)
     known = items.select("window").distinct()
     wanted = None
     if known.count() <= FILTER_WINDOWS:
-        wanted = np.sort(known.toPandas()["window"].to_numpy(np.int64)).view(np.uint64)  # at most 8 MB
-        wanted = np.sort(wanted)
+        wanted = Wanted(known.toPandas()["window"].to_numpy(np.int64).view(np.uint64))  # at most 8 MB
     found = docs.select(*KEY, F.col("text").cast("string").alias("text")).mapInArrow(
         _windows(KEY, wanted, False), "k1 long, k2 long, window long, place long, slots array<long>"
     )
