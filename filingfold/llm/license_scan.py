@@ -16,8 +16,8 @@ containment.  Words are runs of ASCII letters and digits (A-Z lower-cased) and o
 anything outside ASCII.
 
 Defined cases: a null or empty text has no words and no match; repeated rows match
-each by itself; an empty table gives an empty result (all frequencies 0); an existing
-column ``matches`` is replaced, other columns pass through.
+each by itself; an empty table gives an empty result (all frequencies 0); existing
+columns ``n_words`` and ``matches`` are replaced, other columns pass through.
 """
 
 from __future__ import annotations
@@ -93,7 +93,8 @@ def _matches(phrase: str, label: str, exact: bool, rare: list[str], need: int) -
 def scan(docs: DataFrame, threshold: float = THRESHOLD, base: dict[str, str] = BASE, templates: dict[str, str] = TEMPLATES) -> DataFrame:
     """``docs`` with ``n_words`` and ``matches``: array of (label, first_word,
     end_word, containment, base); word positions from 0, end exclusive."""
-    worded = docs.withColumn("words", words_of(text_or_empty()))
+    row = F.struct(*[docs[c] for c in docs.columns if c not in ("n_words", "matches")]).alias("row")
+    worded = docs.select(row, words_of(text_or_empty()).alias("words"))  # packed: no name can clash
     phrases = [(p, label, True) for p, label in base.items()] + [(p, label, False) for p, label in templates.items()]
     vocabulary = sorted({t for p, _, _ in phrases for t in p.split()})
     counts = token_counts(worded, vocabulary)
@@ -104,7 +105,7 @@ def scan(docs: DataFrame, threshold: float = THRESHOLD, base: dict[str, str] = B
     at = F.filter(places, lambda i: F.get("words", i).isin(probes))
     hit = worded.withColumn("hits", F.transform(at, lambda i: F.struct(i.alias("i"), F.get("words", i).alias("w"))))
     found = F.concat(*[_matches(p, label, exact, *filters[p]) for p, label, exact in phrases])
-    return hit.select(*docs.columns, n.cast("long").alias("n_words"), found.alias("matches"))
+    return hit.select("row", n.cast("long").alias("n_words"), found.alias("matches")).select("row.*", "n_words", "matches")
 
 
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ are n_lines, n_dropped and clean_text).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from filingfold.llm.common import staged, table
@@ -32,27 +32,34 @@ MIN_TOKENS = 3
 MIN_DOCS = 5
 SIMILARITY = 0.6
 FIELD = "<*>"
-KEY = ["_k1", "_k2"]
+KEY = ["k1", "k2"]
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """Rows with a 128-bit key of (doc_id, text)."""
-    return docs.withColumn("_k1", F.xxhash64("doc_id", "text")).withColumn("_k2", F.xxhash64(F.lit(1), "text", "doc_id"))
-
-
-def masked_lines(rows: DataFrame) -> DataFrame:
-    """(_k1, _k2, line, leaf, mask, tokens) of every line with enough tokens."""
-    lines = rows.select(*KEY, F.posexplode(F.split("text", "\n")).alias("line", "body"))
-    tokens = F.filter(F.split("body", r"[\x20\x09-\x0D]+"), lambda t: t != "")
-    masked = F.transform(F.col("tokens"), lambda t: F.when(t.rlike("[0-9]"), F.lit(FIELD)).otherwise(t))
-    lines = lines.select(*KEY, "line", tokens.alias("tokens")).filter(F.size("tokens") >= MIN_TOKENS)
-    lines = lines.select(*KEY, "line", masked.alias("tokens"))
-    return lines.select(
-        *KEY, "line", F.xxhash64(F.size("tokens"), F.slice("tokens", 1, LEAD)).alias("leaf"),
-        F.xxhash64("tokens").alias("mask"), "tokens",
+    """(row, text, k1, k2): the row packed, so that none of its names can clash, and a
+    128-bit key of (doc_id, text)."""
+    return docs.select(
+        F.struct(*[docs[c] for c in docs.columns]).alias("row"), "text",
+        F.xxhash64("doc_id", "text").alias("k1"), F.xxhash64(F.lit(1), "text", "doc_id").alias("k2"),
     )
 
 
+def masked(body: Column) -> Column:
+    """The line's tokens, one blank between, those with a digit as the field mark."""
+    plain = F.trim(F.regexp_replace(body, r"[\x20\x09-\x0D]+", " "))
+    # Anchored at a token's start, so each token is read once.
+    return F.when(plain.rlike("[0-9]"), F.regexp_replace(plain, "(?<![^ ])[^ ]*?[0-9][^ ]*", FIELD)).otherwise(plain)
+
+
+def parsed(lines: DataFrame) -> DataFrame:
+    """``lines`` with ``body`` replaced by leaf and mask (hashes) and the masked line."""
+    lines = lines.withColumn("masked", masked(F.col("body"))).drop("body")
+    count = F.when(F.col("masked") == "", 0).otherwise(F.length("masked") - F.length(F.replace("masked", F.lit(" "))) + 1)
+    lines = lines.withColumn("count", count).filter(F.col("count") >= MIN_TOKENS)
+    leaf = F.xxhash64("count", F.substring_index("masked", " ", LEAD))
+    return lines.withColumn("leaf", leaf).withColumn("mask", F.xxhash64("masked")).drop("count")
+
+
 def leaf_templates(lines: DataFrame) -> DataFrame:
     """(leaf, template) from the distinct masked lines (leaf, tokens, docs): the
     majority token of each position, or the field mark."""
@@ -71,18 +78,22 @@ def leaf_templates(lines: DataFrame) -> DataFrame:
 def recurring(docs: DataFrame, min_docs: int = MIN_DOCS, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
     """(lines, recurrent): every parsed line (key, line, leaf, mask), and the
     (leaf, mask, template, docs) of those to be dropped."""
-    lines = masked_lines(docs)
-    seen = lines.groupBy(*KEY, "leaf", "mask").agg(F.min("line").alias("line"))
-    marks = staged(seen.groupBy("leaf", "mask").agg(F.count(F.lit(1)).alias("docs")), "marks")
-    # A document may hold several lines of a leaf; it counts once.
-    busy = staged(
-        seen.select(*KEY, "leaf").distinct().groupBy("leaf").agg(F.count(F.lit(1)).alias("leaf_docs")).filter(F.col("leaf_docs") >= min_docs), "busy"
+    bodies = docs.select(*KEY, F.posexplode(F.split("text", "\n")).alias("line", "body"))
+    lines = staged(parsed(bodies).select(*KEY, "line", "leaf", "mask"), "lines")
+    # A document may hold several lines of a leaf or mask; it counts once.
+    seen = lines.select(*KEY, "leaf", "mask").distinct()
+    busy = seen.select(*KEY, "leaf").distinct().groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_docs)
+    marks = seen.groupBy("leaf", "mask").agg(F.count(F.lit(1)).alias("docs"))
+    marks = staged(marks.join(staged(busy.select("leaf"), "busy"), "leaf", "left_semi"), "marks")
+    # One line per distinct mask of a busy leaf is read again for its tokens.
+    chosen = lines.join(marks, ["leaf", "mask"]).groupBy("leaf", "mask").agg(
+        F.min(F.struct(*KEY, "line")).alias("at"), F.first("docs").alias("docs")
     )
-    wanted = marks.join(busy.select("leaf"), "leaf", "left_semi")
-    # The tokens of one line per distinct mask of a busy leaf.
+    chosen = chosen.select("at.*", "leaf", "mask", "docs").groupBy(*KEY).agg(F.collect_list(F.struct("line", "leaf", "mask", "docs")).alias("wanted"))
+    texts = docs.select(*KEY, "text").join(staged(chosen, "chosen"), KEY).dropDuplicates(KEY)
     distinct = staged(
-        lines.select("leaf", "mask", "tokens").join(busy.select("leaf"), "leaf", "left_semi")
-        .groupBy("leaf", "mask").agg(F.first("tokens").alias("tokens")).join(wanted, ["leaf", "mask"]),
+        texts.select("wanted", F.split("text", "\n").alias("all")).select("all", F.explode("wanted").alias("w"))
+        .select("w.leaf", "w.mask", "w.docs", F.split(masked(F.element_at("all", F.col("w.line") + 1)), " ").alias("tokens")),
         "distinct-lines",
     )
     templates = staged(leaf_templates(distinct), "templates")
@@ -96,7 +107,7 @@ def recurring(docs: DataFrame, min_docs: int = MIN_DOCS, similarity: float = SIM
     )
     decided = placed.join(staged(together, "template-docs"), "leaf", "left")
     drop = decided.filter((F.col("docs") >= min_docs) | (F.col("fits") & (F.col("template_docs") >= min_docs)))
-    return lines.select(*KEY, "line", "leaf", "mask"), drop.select(
+    return lines, drop.select(
         "leaf", "mask",
         F.when(F.col("fits"), F.col("template")).otherwise(F.col("tokens")).alias("template"),
         F.when(F.col("fits"), F.greatest("docs", "template_docs")).otherwise(F.col("docs")).alias("docs"),
@@ -106,18 +117,18 @@ def recurring(docs: DataFrame, min_docs: int = MIN_DOCS, similarity: float = SIM
 def drop_recurring(docs: DataFrame, min_docs: int = MIN_DOCS, similarity: float = SIMILARITY) -> DataFrame:
     """``docs`` with n_lines, n_dropped and clean_text, the text without the lines of
     recurring templates."""
-    rows = keyed(docs)
+    rows = keyed(docs)  # n_lines, n_dropped, clean_text must not be in the input
     lines, drop = recurring(rows, min_docs, similarity)
     drop = staged(drop.select("leaf", "mask"), "dropped")
     # Line numbers of one text: as many as the text has lines.
-    gone = lines.join(drop, ["leaf", "mask"]).groupBy(*KEY).agg(F.collect_set("line").alias("_gone"))
-    met = rows.join(staged(gone, "gone"), KEY, "left").withColumn("_gone", F.coalesce("_gone", F.array().cast("array<int>")))
+    gone = lines.join(drop, ["leaf", "mask"]).groupBy(*KEY).agg(F.collect_set("line").alias("gone"))
+    met = rows.join(staged(gone, "gone"), KEY, "left").withColumn("gone", F.coalesce("gone", F.array().cast("array<int>")))
     parts = F.split("text", "\n")
-    kept = F.filter(parts, lambda _, i: ~F.array_contains(F.col("_gone"), i))
+    kept = F.filter(parts, lambda _, i: ~F.array_contains(F.col("gone"), i))
     return met.select(
-        *docs.columns, F.coalesce(F.size(parts), F.lit(0)).cast("long").alias("n_lines"),
-        F.size("_gone").cast("long").alias("n_dropped"), F.array_join(kept, "\n").alias("clean_text"),
-    )
+        "row", F.coalesce(F.size(parts), F.lit(0)).cast("long").alias("n_lines"),
+        F.size("gone").cast("long").alias("n_dropped"), F.array_join(kept, "\n").alias("clean_text"),
+    ).select("row.*", "n_lines", "n_dropped", "clean_text")
 
 
 def op5_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -78,10 +78,15 @@ def test_line_odd_rows(spark):
     docs = odd_docs(spark)
     out = T.drop_recurring(docs)
     assert out.columns == [*docs.columns, "n_lines", "n_dropped", "clean_text"]
+    assert same_rows(out.select(docs.columns), docs) and same_rows(L.scan(docs).select(docs.columns), docs)
     assert lines_of(spark, docs) == brute_lines([(r[0], r[1]) for r in odd_rows()])
     assert T.drop_recurring(empty_docs(spark)).count() == 0
 
 
+def same_rows(a, b):
+    return sorted(map(repr, a.collect())) == sorted(map(repr, b.collect()))
+
+
 def words(text):
     low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
