@@ -15,10 +15,13 @@ round every bucket that still holds more than one component compares a few pivot
 with its other members (never two of one component, never a pair twice, and only
 sizes that can meet the threshold); a pivot that has met its whole bucket leaves it.
 The first pivot of a bucket is the member whose buckets are largest, which in a
-group of edited copies is the original; later rounds draw pivots by hash, four times
-as many each round.  Copies thus cost a row per member, and only buckets of documents
-that do not link are worked through pair by pair.  Every candidate pair ends up
-verified on full sets or inside one component, so no link is lost to the scheme.
+group of edited copies is the original; later rounds draw more by hash, 32 times as
+many each round.  In the second round pairs that share a rare shingle are listed from an
+inverted index (``_narrow``); a node's common shingles bound what it can share with
+any other, and nodes and pairs whose bound misses the threshold are not compared.
+Copies thus cost a row per member.  Every candidate pair ends up verified
+on full sets, inside one component, or excluded by an exact bound, so no link is lost
+to the scheme.
 
 Components come from alternating large-star and small-star steps; nothing is
 collected but counts.
@@ -42,6 +45,7 @@ from filingfold.llm.common import staged, table
 from filingfold.llm.textkernel import Words, mix64, runs, shingles, text_buffers
 
 BANDS, ROWS = 40, 6
+RARE = 16
 SHIFT_COLUMNS = 512
 #: pi and sigma: odd multipliers of the two permutations, fixed so that reruns agree.
 SIGMA = (np.uint32(0x85EBCA6B), np.uint32(0xC2B2AE35))
@@ -121,8 +125,12 @@ def _sets(k: int):
     return run
 
 
-def _mark(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every node points to one root, and no root points on."""
+    ends = edges.select(F.col("a").alias("id"), F.lit(1).alias("out"), F.lit(0).alias("root"))
+    ends = ends.unionByName(edges.select(F.col("b").alias("id"), F.lit(0).alias("out"), F.lit(1).alias("root")))
+    counts = ends.groupBy("id").agg(F.sum("out").alias("out"), F.max("root").alias("root"))
+    return counts.filter("out > 1 OR (out = 1 AND root = 1)").isEmpty()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -145,9 +153,7 @@ def components(edges: DataFrame) -> DataFrame:
         return staged(out.filter("a <> b").distinct(), "edges")
 
     edges = staged(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct(), "edges")
-    mark = None
-    while mark != (now := _mark(edges)):
-        mark = now
+    while not _are_stars(edges):
         edges = star(star(edges, small=False), small=True)
     roots = edges.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct()
     return edges.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(roots)
@@ -159,6 +165,38 @@ def fingerprints(docs: DataFrame, k: int, bands: int = BANDS, rows: int = ROWS)
     return narrow.mapInArrow(_fingerprints(k, bands, rows), "doc_id long, n long, d1 long, d2 long, keys array<long>")
 
 
+def _open(live: DataFrame, percent: int) -> DataFrame:
+    """Rows of the buckets that hold more than one component, without those that
+    cannot link there: the intersection with a partner is at most ``s`` and must reach
+    percent / (100 + percent) of both sizes, and no partner is smaller than the
+    bucket's smallest member or than the threshold allows."""
+    state = live.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min("n").alias("least"))
+    state = staged(state.filter("lo <> hi").select("bucket", "least"), "open-buckets")
+    partner = F.greatest("least", F.ceil(F.col("n") * percent / 100))
+    return live.join(state, "bucket").filter(F.col("s") * (100 + percent) >= (F.col("n") + partner) * percent).drop("least")
+
+
+def _narrow(live: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Splits what is left by rare shingles, those in at most ``RARE`` open nodes.
+
+    Pairs that share a rare shingle are listed from an inverted index, at most
+    RARE^2 / 2 for a shingle.  All other pairs share only common shingles, so ``s``,
+    a node's number of common shingles, bounds their intersection.  Returns ``live``
+    with that ``s``, and the listed pairs (a, b)."""
+    nodes = live.select("id", "label").distinct()
+    # A repeated doc_id has several sets, told apart by their sizes.
+    each = sets.join(nodes, "id").select("id", "label", F.size("set").cast("long").alias("n"), F.explode("set").alias("shingle"))
+    rare = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")).filter(F.col("df") <= RARE)
+    held = staged(each.join(staged(rare, "rare"), "shingle"), "held")
+    own = staged(held.groupBy("id", "n").agg(F.count(F.lit(1)).alias("own")), "own")
+    left = held.filter("df > 1").select("shingle", "id", "n", "label")
+    right = left.select("shingle", F.col("id").alias("p"), F.col("n").alias("pn"), F.col("label").alias("pl"))
+    near = F.least("n", "pn") * 100 >= F.greatest("n", "pn") * percent
+    listed = left.join(right, "shingle").filter((F.col("id") < F.col("p")) & (F.col("label") != F.col("pl")) & near)
+    out = live.drop("s").join(own, ["id", "n"], "left").withColumn("s", F.col("n") - F.coalesce("own", F.lit(0))).drop("own")
+    return out, listed.select(F.col("id").alias("a"), F.col("p").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of ``docs``: documents with
     Jaccard similarity of ``k``-word shingles of at least ``percent`` / 100 are linked."""
@@ -172,40 +210,40 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
     shared = staged(sizes.filter("lo <> hi").select("bucket", "size"), "shared")
     members = staged(filed.join(shared, "bucket"), "members")
     weight = members.groupBy("id").agg(F.sum("size").alias("weight"))
-    members = staged(members.join(weight, "id").select("bucket", "id", "n", "weight"), "members")
-    labels = links = tested = sets = None
-    pivots = 1
+    members = staged(members.join(weight, "id").select("bucket", "id", "n", "weight", F.col("n").alias("s")), "members")
+    labels = tested = sets = None
+    narrowed, pivots = False, 1
+    members = members.withColumn("label", F.col("id"))
+    linked = False
     while True:
-        live = members if labels is None else (
-            members.drop("label").join(labels, "id", "left")
-            .select("bucket", "id", "n", "weight", F.coalesce("component", "id").alias("label"))
-        )
-        if labels is None:
-            live = live.withColumn("label", F.col("id"))
-        live = staged(live, "live")
+        if linked:
+            named = members.drop("label").join(labels, "id", "left").withColumn("label", F.coalesce("component", "id")).drop("component")
+            members = staged(named, "live")
+        # At first every shared bucket is open, and every member may link.
+        live = members if tested is None else staged(_open(members, percent), "open")
+        if live.isEmpty():
+            break
+        listed = None
+        if tested is not None and not narrowed:
+            narrowed = True
+            live, listed = _narrow(live, sets, percent)
+            live = staged(_open(staged(live, "narrowed"), percent), "open")
         state = staged(
-            live.groupBy("bucket").agg(
-                F.count(F.lit(1)).alias("left"), F.max_by("id", F.struct("weight", -F.col("id"))).alias("first"),
-                F.min("label").alias("lo"), F.max("label").alias("hi"),
-            ).filter("lo <> hi").select("bucket", "left", "first"),
-            "open-buckets",
+            live.groupBy("bucket").agg(F.count(F.lit(1)).alias("left"), F.max_by("id", F.struct("weight", -F.col("id"))).alias("first")), "open-buckets"
         )
-        if state.isEmpty():
-            break
+        drawn = F.pmod(F.xxhash64(F.lit(pivots), "bucket", "id"), F.lit(1 << 30)) * F.col("left") < F.lit(pivots << 30)
         live = staged(
-            live.join(state, "bucket").withColumn(
-                "pivot",
-                F.col("id") == F.col("first") if pivots == 1 else
-                (F.pmod(F.xxhash64(F.lit(pivots), "bucket", "id"), F.lit(1 << 30)) * F.col("left") < F.lit(pivots << 30)),
-            ).drop("left", "first"),
+            live.join(state, "bucket").withColumn("pivot", (F.col("id") == F.col("first")) | (drawn if pivots > 1 else F.lit(False))).drop("left", "first"),
             "open",
         )
-        ends = live.filter("pivot").select("bucket", F.col("id").alias("p"), F.col("n").alias("pn"), F.col("label").alias("pl"))
+        ends = live.filter("pivot").select("bucket", F.col("id").alias("p"), F.col("n").alias("pn"), F.col("s").alias("ps"), F.col("label").alias("pl"))
+        # The intersection is at most the smaller support; it must reach the threshold.
+        may = F.least("s", "ps") * (100 + percent) >= (F.col("n") + F.col("pn")) * percent
         pairs = (
-            live.join(staged(ends, "pivots"), "bucket")
-            .filter((F.col("label") != F.col("pl")) & (F.least("n", "pn") * 100 >= F.greatest("n", "pn") * percent))
-            .select(F.least("id", "p").alias("a"), F.greatest("id", "p").alias("b")).distinct()
+            live.join(staged(ends, "pivots"), "bucket").filter((F.col("label") != F.col("pl")) & may)
+            .select(F.least("id", "p").alias("a"), F.greatest("id", "p").alias("b"))
         )
+        pairs = (pairs if listed is None else pairs.unionByName(listed)).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = staged(pairs, "pairs")
@@ -226,10 +264,13 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
             .filter(F.col("common").cast("long") * 100 >= F.col("whole").cast("long") * percent).select("a", "b"),
             "links",
         )
-        links = found if links is None else links.unionByName(found)
-        labels = components(links)
-        members = live.filter(~F.col("pivot"))
-        pivots *= 4
+        linked = not found.isEmpty()
+        if linked:
+            # The components so far are stars; new links join them.
+            stars = found if labels is None else found.unionByName(labels.select(F.col("id").alias("a"), F.col("component").alias("b")))
+            labels = components(stars)
+        members = live.filter(~F.col("pivot")).drop("pivot")
+        pivots *= 32
     groups = nodes.select("d1", "d2", "n", "id")
     if labels is not None:
         groups = groups.join(labels, "id", "left").withColumn("id", F.coalesce("component", "id")).drop("component")
