@@ -13,8 +13,9 @@ line are combined before any shuffle, and a leaf's template comes from weighted
 per position.  A line that a third of all documents share is one row from the first
 aggregation on; joins back to the lines have staged right sides, so AQE can split it.
 
-Defined cases: lines with fewer than ``MIN_TOKENS`` tokens (blank ones too) stay; a
-null text stays null and has no lines, an empty text has one empty line; rows equal
+Defined cases: blank lines stay; a line of one or two tokens is its own template, as
+its leaf is the whole mask; a line of fields alone has the mask of all such lines of
+its length; a null text stays null and has no lines, an empty text has one empty line; rows equal
 in doc_id and text count as one document and are cleaned alike; an empty table gives
 an empty result; other columns pass through ``drop_recurring`` (its own new columns
 are n_lines, n_dropped and clean_text).
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 from filingfold.llm.common import staged, table
 
 LEAD = 3
-MIN_TOKENS = 3
+MIN_TOKENS = 1
 MIN_DOCS = 5
 SIMILARITY = 0.6
 FIELD = "<*>"

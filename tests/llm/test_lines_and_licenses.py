@@ -74,6 +74,16 @@ def test_variable_fields_are_generalised(spark):
     assert all("Posted" not in by[i][3] and "unrelated" in by[i][3] for i in range(6)) and by[9][2] == 0
 
 
+def test_short_lines_that_recur_are_dropped(spark):
+    """Lines of one and two tokens in five documents go, in four they stay, as do blank lines."""
+    texts = [f"Read more\nPage {i}\nMenu\n \n\ntext of {'abcdef'[i]}" + ("\nLog in\nHelp" if i < 4 else "") for i in range(6)]
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in enumerate(texts)], DOCS)
+    got = lines_of(spark, docs)
+    assert got == brute_lines(list(enumerate(texts)))
+    for i, n, dropped, kept in got:
+        assert dropped == 3 and kept.split("\n") == [" ", "", f"text of {'abcdef'[i]}"] + (["Log in", "Help"] if i < 4 else [])
+
+
 def test_line_odd_rows(spark):
     docs = odd_docs(spark)
     out = T.drop_recurring(docs)
