@@ -2,11 +2,17 @@
 
 Fixed-depth tree (He et al. 2017, Drain): a line descends by its number of tokens,
 then by its first ``LEAD`` tokens; tokens with a digit are variable fields and read
-``<*>`` from the start.  In a leaf the template keeps, at each position, the token
-that most of the leaf's lines have (``<*>`` where none reaches half), and a line
-belongs to it when it agrees with at least ``SIMILARITY`` of the positions.  A line
-that recurs by itself, variable fields aside, is a template of its own.  Lines whose
-template occurs in at least ``MIN_DOCS`` documents are dropped.
+``<*>`` from the start.  In a group of lines, at first the leaf, the template keeps, at
+each position, the token that most of the lines have (``<*>`` where none reaches half),
+and a line belongs to it when it agrees with at least ``SIMILARITY`` of the positions.
+A line that recurs by itself, variable fields aside, is a template of its own.  Lines
+whose template occurs in at least ``MIN_DOCS`` documents are dropped.
+
+A leaf may hold several templates.  Each token that enough, but not all, of the lines
+left have at its position makes a group with a template of its own (tokens of the same
+lines make one); a leaf's lines enter all their groups, further down a line takes its
+most frequent such token.  Lines left then go by any template of their leaf that they
+fit, and a leaf that lost lines starts again with the others, until nothing more is found.
 
 The parse is order-free, so it needs no running state: counts per distinct masked
 line are combined before any shuffle, and a leaf's template comes from weighted counts
@@ -61,24 +67,98 @@ def parsed(lines: DataFrame) -> DataFrame:
     return lines.withColumn("leaf", leaf).withColumn("mask", F.xxhash64("masked")).drop("count")
 
 
-def leaf_templates(lines: DataFrame) -> DataFrame:
-    """(leaf, template) from the distinct masked lines (leaf, tokens, docs): the
+def node_templates(lines: DataFrame) -> DataFrame:
+    """(node, template) from the distinct masked lines (node, tokens, docs): the
     majority token of each position, or the field mark."""
     votes = (
-        lines.select("leaf", "docs", F.posexplode("tokens").alias("place", "token"))
-        .groupBy("leaf", "place", "token").agg(F.sum("docs").alias("votes"))
-        .groupBy("leaf", "place").agg(F.max(F.struct("votes", "token")).alias("top"), F.sum("votes").alias("all"))
+        lines.select("node", "docs", F.posexplode("tokens").alias("place", "token"))
+        .groupBy("node", "place", "token").agg(F.sum("docs").alias("votes"))
+        .groupBy("node", "place").agg(F.max(F.struct("votes", "token")).alias("top"), F.sum("votes").alias("all"))
     )
     token = F.when(F.col("top.votes") * 2 >= F.col("all"), F.col("top.token")).otherwise(FIELD)
-    # One entry per position of a line: the list is as long as the leaf's token count.
-    return votes.groupBy("leaf").agg(F.array_sort(F.collect_list(F.struct("place", token.alias("token")))).alias("t")).select(
-        "leaf", F.transform("t", lambda x: x["token"]).alias("template")
+    # One entry per position of a line: the list is as long as the node's token count.
+    return votes.groupBy("node").agg(F.array_sort(F.collect_list(F.struct("place", token.alias("token")))).alias("t")).select(
+        "node", F.transform("t", lambda x: x["token"]).alias("template")
     )
 
 
+def _agreement() -> Column:
+    return F.size(F.filter(F.zip_with("tokens", "template", lambda a, b: a == b), lambda same: same))
+
+
+def _descend(rest: DataFrame, removed: DataFrame, min_docs: int, top: bool) -> DataFrame:
+    """``rest`` with the next nodes of each line, all at the ``top``, then one; lines of
+    which nothing can come are left out."""
+    total = rest.groupBy("node").agg(F.sum("docs").alias("total")).filter(F.col("total") >= min_docs)
+    total = staged(total, "node-totals")
+    tokens = rest.join(total, "node", "left_semi").select("node", "mask", "docs", F.posexplode("tokens").alias("place", "token"))
+    votes = tokens.groupBy("node", "place", "token").agg(
+        F.sum("docs").alias("votes"), F.bit_xor("mask").alias("x"), F.bit_xor(F.xxhash64("mask")).alias("y")
+    )
+    # Tokens of equal lines (by their hashes) make one group.
+    split = votes.join(total, "node").filter((F.col("votes") >= min_docs) & (F.col("votes") < F.col("total")))
+    split = split.groupBy("node", "votes", "x", "y").agg(F.min(F.struct("place", "token")).alias("by")).select("node", "votes", "by.*")
+    choice = tokens.join(staged(split, "split"), ["node", "place", "token"])
+    by = F.struct("votes", -F.col("place"), "token")
+    choice = choice.select("node", "mask", by.alias("by")) if top else choice.groupBy("node", "mask").agg(F.max(by).alias("by"))
+    # Without such a token a line stays, if its node lost lines and its template may now differ.
+    again = removed.join(total, "node", "left_semi").withColumn("again", F.lit(True))
+    moved = rest.join(staged(choice, "choice"), ["node", "mask"], "left").join(again, "node", "left").filter("by IS NOT NULL OR again")
+    node = F.when(F.col("by").isNotNull(), F.xxhash64("node", "by")).otherwise(F.col("node"))
+    return moved.withColumn("node", node).select(rest.columns)
+
+
+def members(distinct: DataFrame, rare: DataFrame, min_docs: int, similarity: float) -> DataFrame:
+    """(leaf, mask, template) of the distinct masked lines (leaf, mask, docs, tokens) that
+    belong to a template in ``min_docs`` documents.  ``rare`` has the documents (key,
+    leaf, mask) of the masks that stand in fewer."""
+    columns = ["leaf", "mask", "template"]
+    enough = _agreement() >= F.lit(similarity) * F.size("tokens")
+    left, found = distinct, None
+    while True:
+        lines, new, top = left.withColumn("node", F.col("leaf")), None, True
+        while True:
+            templates = staged(node_templates(lines), "templates")
+            placed = staged(lines.join(templates, "node").withColumn("fits", enough), "placed")
+            # A mask that recurs is enough; else the sum bounds the number of documents.
+            fit = placed.filter("fits").groupBy("node").agg(F.max("docs").alias("most"), F.sum("docs").alias("sum"))
+            fit = staged(fit.filter(F.col("sum") >= min_docs), "fit-nodes")
+            unsure = staged(
+                placed.filter("fits").join(fit.filter(F.col("most") < min_docs), "node", "left_semi").select("leaf", "mask", "node"), "unsure"
+            )
+            sure = fit.filter(F.col("most") >= min_docs).select("node")
+            if not unsure.isEmpty():
+                counted = rare.join(unsure, ["leaf", "mask"]).select(*KEY, "node").distinct().groupBy("node").agg(F.count(F.lit(1)).alias("n"))
+                sure = staged(sure.unionByName(counted.filter(F.col("n") >= min_docs).select("node")), "recurrent")
+            taken = placed.filter("fits").join(sure, "node", "left_semi").select(columns)
+            new = taken if new is None else new.unionByName(taken)
+            rest = placed.join(sure.withColumn("gone", F.lit(True)), "node", "left").filter("NOT fits OR gone IS NULL")
+            lines = staged(_descend(staged(rest.select(lines.columns), "rest"), sure, min_docs, top), "descended")
+            top = False
+            if lines.isEmpty():
+                break
+        # A line may have been in several groups.
+        new = staged(new.groupBy("leaf", "mask").agg(F.max("template").alias("template")), "members")
+        if new.isEmpty():
+            break
+        # Lines that fit a template found elsewhere in their leaf join it.
+        over = left.join(new.select("leaf", "mask"), ["leaf", "mask"], "left_anti").join(staged(new.select("leaf").distinct(), "found-leaves"), "leaf", "left_semi")
+        over = staged(over, "left-over")
+        fitted = over.join(staged(new.select("leaf", "template").distinct(), "found"), "leaf").filter(enough)
+        fitted = fitted.groupBy("leaf", "mask").agg(F.max(F.struct(_agreement().alias("n"), "template")).alias("best")).select("leaf", "mask", "best.template")
+        fitted = staged(fitted, "fitted")
+        found = (new if found is None else found.unionByName(new)).unionByName(fitted)
+        left = over.join(fitted.select("leaf", "mask"), ["leaf", "mask"], "left_anti")
+        wide = left.groupBy("leaf").agg(F.sum("docs").alias("sum")).filter(F.col("sum") >= min_docs).select("leaf")
+        left = staged(left.join(staged(wide, "wide"), "leaf", "left_semi"), "left")
+        if left.isEmpty():
+            break
+    return new if found is None else found
+
+
 def recurring(docs: DataFrame, min_docs: int = MIN_DOCS, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
     """(lines, recurrent): every parsed line (key, line, leaf, mask), and the
-    (leaf, mask, template, docs) of those to be dropped."""
+    (leaf, mask, template) of those to be dropped."""
     bodies = docs.select(*KEY, F.posexplode(F.split("text", "\n")).alias("line", "body"))
     lines = staged(parsed(bodies).select(*KEY, "line", "leaf", "mask"), "lines")
     # A document may hold several lines of a leaf or mask; it counts once.
@@ -97,22 +177,10 @@ def recurring(docs: DataFrame, min_docs: int = MIN_DOCS, similarity: float = SIM
         .select("w.leaf", "w.mask", "w.docs", F.split(masked(F.element_at("all", F.col("w.line") + 1)), " ").alias("tokens")),
         "distinct-lines",
     )
-    templates = staged(leaf_templates(distinct), "templates")
-    agree = F.size(F.filter(F.zip_with("tokens", "template", lambda a, b: a == b), lambda same: same))
-    fits = agree >= F.lit(similarity) * F.size("tokens")
-    placed = distinct.join(templates, "leaf").select("leaf", "mask", "docs", "tokens", "template", fits.alias("fits"))
-    member = staged(placed.filter("fits").select("leaf", "mask", "template"), "members")
-    together = (
-        seen.join(member, ["leaf", "mask"]).select(*KEY, "leaf").distinct()
-        .groupBy("leaf").agg(F.count(F.lit(1)).alias("template_docs"))
-    )
-    decided = placed.join(staged(together, "template-docs"), "leaf", "left")
-    drop = decided.filter((F.col("docs") >= min_docs) | (F.col("fits") & (F.col("template_docs") >= min_docs)))
-    return lines, drop.select(
-        "leaf", "mask",
-        F.when(F.col("fits"), F.col("template")).otherwise(F.col("tokens")).alias("template"),
-        F.when(F.col("fits"), F.greatest("docs", "template_docs")).otherwise(F.col("docs")).alias("docs"),
-    )
+    rare = staged(seen.join(marks.filter(F.col("docs") < min_docs).select("leaf", "mask"), ["leaf", "mask"]), "rare")
+    member = staged(members(distinct, rare, min_docs, similarity), "members")
+    decided = distinct.join(member, ["leaf", "mask"], "left").filter((F.col("docs") >= min_docs) | F.col("template").isNotNull())
+    return lines, decided.select("leaf", "mask", F.coalesce("template", "tokens").alias("template"))
 
 
 def drop_recurring(docs: DataFrame, min_docs: int = MIN_DOCS, similarity: float = SIMILARITY) -> DataFrame:

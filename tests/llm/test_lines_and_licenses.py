@@ -84,6 +84,26 @@ def test_short_lines_that_recur_are_dropped(spark):
         assert dropped == 3 and kept.split("\n") == [" ", "", f"text of {'abcdef'[i]}"] + (["Log in", "Help"] if i < 4 else [])
 
 
+@pytest.mark.parametrize("forms", [1, 2, 3])
+def test_several_templates_in_one_leaf(spark, forms):
+    """No form has a majority in the leaf; a single line of the leaf and a form in four documents stay."""
+    ends = ["was created on server", "has been locked out", "got its password reset"][:forms]
+    lines = [f"the user account {'abcdefgh'[i] * (j + 2)} {end}" for j, end in enumerate(ends) for i in range(7)]
+    stay = ["the user account of nobody is kept here"] + [f"the user account {'abcd'[i] * 9} may never be seen" for i in range(4)]
+    texts = [f"{x}\ntext {'abcdefghijklmnopqrstuvwxyz'[i]}" for i, x in enumerate(lines + stay)]
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in enumerate(texts)], DOCS)
+    got = {r[0]: r[2] for r in lines_of(spark, docs)}
+    assert got == {i: int(i < len(lines)) for i in range(len(texts))}
+
+
+def test_a_common_field_value_does_not_hide_templates(spark):
+    """The field value 'root' is the leaf's most frequent token, but every form is found."""
+    ends = ["was created on server", "has been locked out", "got its password reset"]
+    lines = [f"the user account {'root' if i < 3 else 'abcdefgh'[i] * (j + 2)} {end}" for j, end in enumerate(ends) for i in range(6)]
+    docs = spark.createDataFrame([(i, x, None, None, None) for i, x in enumerate(lines)], DOCS)
+    assert all(r[2] == 1 for r in lines_of(spark, docs))
+
+
 def test_line_odd_rows(spark):
     docs = odd_docs(spark)
     out = T.drop_recurring(docs)
