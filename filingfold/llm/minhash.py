@@ -176,19 +176,26 @@ def _open(live: DataFrame, percent: int) -> DataFrame:
     return live.join(state, "bucket").filter(F.col("s") * (100 + percent) >= (F.col("n") + partner) * percent).drop("least")
 
 
-def _narrow(live: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+def _narrow(live: DataFrame, sets: DataFrame, percent: int, repeated: DataFrame | None) -> tuple[DataFrame, DataFrame]:
     """Splits what is left by rare shingles, those in at most ``RARE`` open nodes.
 
     Pairs that share a rare shingle are listed from an inverted index, at most
     RARE^2 / 2 for a shingle.  All other pairs share only common shingles, so ``s``,
     a node's number of common shingles, bounds their intersection.  Returns ``live``
-    with that ``s``, and the listed pairs (a, b)."""
+    with that ``s``, and the listed pairs (a, b).  A doc_id of ``repeated`` may have several
+    sets, of which ``live`` has only the sizes: its ``s`` holds for each set of the size."""
     nodes = live.select("id", "label").distinct()
-    # A repeated doc_id has several sets, told apart by their sizes.
-    each = sets.join(nodes, "id").select("id", "label", F.size("set").cast("long").alias("n"), F.explode("set").alias("shingle"))
+    which = F.lit(0) if repeated is None else F.xxhash64("set")
+    each = sets.join(nodes, "id").select("id", "label", F.size("set").cast("long").alias("n"), which.alias("which"), F.explode("set").alias("shingle"))
     rare = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")).filter(F.col("df") <= RARE)
     held = staged(each.join(staged(rare, "rare"), "shingle"), "held")
-    own = staged(held.groupBy("id", "n").agg(F.count(F.lit(1)).alias("own")), "own")
+    own = held.groupBy("id", "n", "which").agg(F.count(F.lit(1)).alias("own"))
+    if repeated is not None:
+        # The least over the sets of a size; a set without a rare shingle makes it none.
+        several = sets.join(repeated, sets["id"] == repeated["doc_id"], "left_semi").groupBy("id", F.size("set").cast("long").alias("n"))
+        own = own.groupBy("id", "n").agg(F.min("own").alias("own"), F.count(F.lit(1)).alias("with"))
+        own = own.join(several.agg(F.count(F.lit(1)).alias("all")), ["id", "n"], "left").filter(F.col("with") >= F.coalesce("all", F.lit(1)))
+    own = staged(own.select("id", "n", "own"), "own")
     left = held.filter("df > 1").select("shingle", "id", "n", "label")
     right = left.select("shingle", F.col("id").alias("p"), F.col("n").alias("pn"), F.col("label").alias("pl"))
     near = F.least("n", "pn") * 100 >= F.greatest("n", "pn") * percent
@@ -211,7 +218,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
     members = staged(filed.join(shared, "bucket"), "members")
     weight = members.groupBy("id").agg(F.sum("size").alias("weight"))
     members = staged(members.join(weight, "id").select("bucket", "id", "n", "weight", F.col("n").alias("s")), "members")
-    labels = tested = sets = None
+    labels = tested = sets = repeated = None
     narrowed, pivots = False, 1
     members = members.withColumn("label", F.col("id"))
     linked = False
@@ -226,7 +233,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
         listed = None
         if tested is not None and not narrowed:
             narrowed = True
-            live, listed = _narrow(live, sets, percent)
+            live, listed = _narrow(live, sets, percent, repeated)
             live = staged(_open(staged(live, "narrowed"), percent), "open")
         state = staged(
             live.groupBy("bucket").agg(F.count(F.lit(1)).alias("left"), F.max_by("id", F.struct("weight", -F.col("id"))).alias("first")), "open-buckets"
@@ -251,11 +258,16 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
         if sets is None:
             # Full sets of the documents that share a bucket with another one.
             wanted = members.select(F.col("id").alias("doc_id")).distinct()
-            sets = staged(
-                docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-                .join(wanted, "doc_id", "left_semi").mapInArrow(_sets(k), "id long, set array<long>"),
-                "sets",
-            )
+            texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+            made = lambda rows: rows.mapInArrow(_sets(k), "id long, set array<long>")
+            repeated = staged(real.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > 1).select("doc_id"), "repeated")
+            texts = texts.join(wanted, "doc_id", "left_semi")
+            if repeated.isEmpty():
+                sets, repeated = staged(made(texts), "sets"), None
+            else:
+                # A set of a repeated doc_id stands once, so that counts over sets are counts of sets.
+                once, again = texts.join(repeated, "doc_id", "left_anti"), texts.join(repeated, "doc_id", "left_semi")
+                sets = staged(made(once).unionByName(made(again).distinct()), "sets")
         common = F.size(F.array_intersect("sa", "sb"))
         found = staged(
             pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("sa")), "a")

@@ -52,6 +52,28 @@ def test_edited_copies_chains_and_shared_passages(spark):
     assert {r.doc_id: r.component_id for r in M.near_duplicates(docs, 3, 85).collect()} == want
 
 
+@pytest.mark.parametrize("second", ["same", "other"])
+def test_repeated_rows_in_buckets_of_several_components(spark, second):
+    """Each variant of a text links with many; an edited copy of one variant links only
+    with that one, and its row is repeated, or its doc_id has another text of that size."""
+    rng = random.Random(5)
+    base = [f"w{rng.randrange(10**9)}" for _ in range(100)]
+    rows = []
+    for v in range(64):
+        text = list(base)
+        for bit in range(6):
+            if v >> bit & 1:
+                text[10 + 8 * bit] = f"alt{bit}"
+        rows.append((v, " ".join(text)))
+        if v % 3 == 0:
+            text[70], text[85] = f"own{v}", f"also{v}"
+            rows.append((100 + v, " ".join(text)))
+            rows.append((100 + v, " ".join(text if second == "same" else [f"x{v}y{i}" for i in range(100)])))
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], DOCS)
+    got = M.near_duplicates(docs, 3, 85).collect()
+    assert len(got) == len(rows) and {r.component_id for r in got} == {0}
+
+
 def test_odd_rows(spark):
     got = M.near_duplicates(odd_docs(spark), 3, 85).collect()
     assert len(got) == len(odd_rows())
