@@ -12,8 +12,10 @@ distinct windows and the slots are consistent: along one alignment, equal values
 the item must correspond to equal values of the document for at least ``SHARE`` of
 the slots.  A question with new numbers or names is thus caught (``reparameterised``),
 a chance match of placeholders is not.  Windows with fewer than ``LITERALS`` ordinary
-words say nothing and are left out, unless an item has no others; an item shorter
-than a window is one window.
+words say nothing and are left out, unless an item has no others; an item shorter than a window is one window, and is
+looked for in windows of its length.  An item's first word, which opens a sentence there,
+may be a name or a unit by the words before it in a document; such windows are also
+compared with that word as it is.
 
 The benchmark's windows are filtered for inside the scan of the documents when they
 are at most ``FILTER_WINDOWS`` (checked by a count); beyond that every document window
@@ -112,54 +114,62 @@ class Wanted:
         return out
 
 
-def _find(data: np.ndarray, offsets: np.ndarray, wanted: Wanted | None, items: bool) -> Iterator[tuple]:
-    """(text, place, window hash, slot counts, slot values) of the windows of a run, in
-    arrays: first of all texts of at least WINDOW words at once, then by shorter
-    lengths, whose only window is the whole text."""
+def _find(data: np.ndarray, offsets: np.ndarray, wanted: Wanted | None, lengths: list[int] | None) -> Iterator[tuple]:
+    """(length, text, place, window hash, slot counts, slot values, flag) of the windows of
+    a run, in arrays by length.  Of items (no ``lengths``) those of WINDOW words, or the
+    whole shorter text, flagged where the item has no window that tells something; of
+    documents those of all ``lengths``, and flagged once more those that start with a name
+    or unit, with that word as it is."""
+    items = lengths is None
     words, shape, slot = canonical(data, offsets)
     size = np.diff(words.bounds)
     owner = np.repeat(np.arange(len(size)), size)
     values = words.hash.view(np.int64)
     filled = np.concatenate([[0], np.cumsum(slot)])
-    for k in range(WINDOW, 0, -1):
-        if k == WINDOW:
+    for k in range(WINDOW, 0, -1) if items else lengths:
+        if items and k < WINDOW:
+            at = words.bounds[:-1][size == k]
+        else:
             at = np.arange(max(0, len(owner) - k + 1))
             at = at[owner[at] == owner[at + k - 1]] if len(at) else at
-            hashes = combine([shape[at + j] for j in range(k)])
-        else:
-            at = words.bounds[:-1][size == k]
-            hashes = combine([shape[at + j] for j in range(k)])
-        if wanted is not None:
-            good = wanted.among(hashes)
-        elif items:
+        hashes = combine([shape[at + j] for j in range(k)])
+        flag = np.zeros(len(at), bool)
+        if items:
             good = k - (filled[at + k] - filled[at]) >= min(LITERALS, k)
-            none = np.bincount(owner[at], good, len(size)) == 0  # items with no such window keep all
-            good |= none[owner[at]]
+            flag = (np.bincount(owner[at], good, len(size)) == 0)[owner[at]]  # items with no such window keep all
+            good |= flag
         else:
-            good = np.ones(len(at), bool)
-        at, hashes = at[good], hashes[good]
-        if len(at):
-            around = (at[:, None] + np.arange(k)).ravel()
-            yield owner[at], at - words.bounds[owner[at]], hashes, filled[at + k] - filled[at], values[around[slot[around]]]
-
-
-def _windows(keys: list[str], wanted: Wanted | None, items: bool):
-    """Rows (keys, window, place, slots) of the windows of each text: those that are
-    wanted, or for items those that tell something, or all."""
+            good = wanted.among(hashes) if wanted is not None else np.ones(len(at), bool)
+        found = [(at[good], hashes[good], flag[good], 0)]
+        if not items:
+            at = at[(shape[at] == _NAME) | (shape[at] == _UNIT)]
+            hashes = combine([words.hash[at], *(shape[at + j] for j in range(1, k))])
+            good = wanted.among(hashes) if wanted is not None else np.ones(len(at), bool)
+            found.append((at[good], hashes[good], np.ones(int(good.sum()), bool), 1))
+        for at, hashes, flag, skip in found:
+            if len(at):
+                around = (at[:, None] + np.arange(skip, k)).ravel()
+                counts = filled[at + k] - filled[at + skip]
+                yield k, owner[at], at - words.bounds[owner[at]], hashes, counts, values[around[slot[around]]], flag
+
+
+def _windows(keys: list[str], wanted: Wanted | None, lengths: list[int] | None):
+    """Rows (keys, window, place, slots, flag, length) of the windows of each text: those
+    that are wanted, or for items those that tell something, or all."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = text_buffers(batch["text"])
             for lo, hi in runs(offsets):
-                for text, place, hashes, counts, values in _find(data, offsets[lo : hi + 1], wanted, items):
+                for k, text, place, hashes, counts, values, flag in _find(data, offsets[lo : hi + 1], wanted, lengths):
                     ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
                     row = pa.array(text + lo)
                     yield pa.RecordBatch.from_arrays(
                         [
                             *(batch[c].take(row) for c in keys), pa.array(hashes.view(np.int64)), pa.array(place),
-                            pa.ListArray.from_arrays(pa.array(ends), pa.array(values)),
+                            pa.ListArray.from_arrays(pa.array(ends), pa.array(values)), pa.array(flag), pa.array(np.full(len(text), k, np.int32)),
                         ],
-                        names=[*keys, "window", "place", "slots"],
+                        names=[*keys, "window", "place", "slots", "flag", "length"],
                     )
 
     return run
@@ -171,21 +181,26 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, share: float = SHARE)
     spark = docs.sparkSession
     items = staged(
         benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).distinct()
-        .mapInArrow(_windows(["item_id"], None, True), "item_id long, window long, place long, slots array<long>"),
+        .mapInArrow(_windows(["item_id"], None, None), "item_id long, window long, place long, slots array<long>, flag boolean, length int"),
         "item-windows",
     )
     sizes = items.groupBy("item_id").agg(F.count_distinct("window").alias("n_windows"))
     known = items.select("window").distinct()
+    short = items.filter(F.col("length") < WINDOW).select("length").distinct().collect()  # at most WINDOW - 1
+    lengths = [WINDOW, *sorted((r["length"] for r in short), reverse=True)]
     wanted = None
     if known.count() <= FILTER_WINDOWS:
         wanted = Wanted(known.toPandas()["window"].to_numpy(np.int64).view(np.uint64))  # at most 8 MB
     found = docs.select(*KEY, F.col("text").cast("string").alias("text")).mapInArrow(
-        _windows(KEY, wanted, False), "k1 long, k2 long, window long, place long, slots array<long>"
+        _windows(KEY, wanted, lengths), "k1 long, k2 long, window long, place long, slots array<long>, flag boolean, length int"
     )
+    found = found.withColumnRenamed("flag", "first").drop("length")
     found = staged(found.dropDuplicates([*KEY, "window", "place"]), "hits") if wanted is not None else found.dropDuplicates([*KEY, "window", "place"])
+    one = items.select("item_id", "window", F.col("place").alias("item_place"), F.col("slots").alias("item_slots"))
+    # Windows with the first word as it is are for the start of an item.
+    met = found.join(one, "window")
     met = staged(
-        found.join(items.select("item_id", "window", F.col("place").alias("item_place"), F.col("slots").alias("item_slots")), "window")
-        .select(*KEY, "item_id", "window", (F.col("place") - F.col("item_place")).alias("shift"), "slots", "item_slots"),
+        met.filter("NOT first OR item_place = 0").select(*KEY, "item_id", "window", (F.col("place") - F.col("item_place")).alias("shift"), "slots", "item_slots"),
         "met",
     )
     held = (

@@ -98,3 +98,19 @@ def test_odd_rows(spark):
     assert sorted(set(brute([(r[0], r[1]) for r in odd_rows()], [(1, odd_rows()[0][1]), (2, "word")])) - {None}) == [1, 2, 3, 7, 8]
     assert D.decontaminate(docs, benchmark(spark)).count() == len(odd_rows())
     assert D.decontaminate(empty_docs(spark), items).count() == 0
+
+
+def hits(spark, texts, items):
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in texts], DOCS)
+    rows = D.keyed(docs).join(D.contaminations(D.keyed(docs).select("k1", "k2", "text"), benchmark(spark, items)), D.KEY).collect()
+    return {(r.doc_id, r.item_id) for r in rows}
+
+
+@pytest.mark.parametrize("limit", [D.FILTER_WINDOWS, 0])
+def test_short_items_inside_longer_documents(spark, limit, monkeypatch):
+    """Items of 1, 3, 4 and 6 words in the middle of a sentence, after a name-like place or a number."""
+    monkeypatch.setattr(D, "FILTER_WINDOWS", limit)
+    items = [(1, "Xylophone"), (2, "Name three rivers"), (3, "Days without any rain"), (4, "Which planet has the most moons")]
+    texts = [(i, f"They were asked once more {text} and nobody in the room knew") for i, text in items]
+    texts += [(5, "after 12 Days without any rain we left"), (6, "They name three other rivers and days without rain and which planet has moons")]
+    assert hits(spark, texts, items) == {(1, 1), (2, 2), (3, 3), (4, 4), (5, 3)}
