@@ -12,7 +12,8 @@ distinct windows and the slots are consistent: along one alignment, equal values
 the item must correspond to equal values of the document for at least ``SHARE`` of
 the slots.  A question with new numbers or names is thus caught (``reparameterised``),
 a chance match of placeholders is not.  Windows with fewer than ``LITERALS`` ordinary
-words say nothing and are left out, unless an item has no others; an item shorter than a window is one window, and is
+words say nothing and are left out, unless an item has no others; then its words must
+stand in the document as they are.  An item shorter than a window is one window, and is
 looked for in windows of its length.  An item's first word, which opens a sentence there,
 may be a name or a unit by the words before it in a document; such windows are also
 compared with that word as it is.
@@ -184,7 +185,9 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, share: float = SHARE)
         .mapInArrow(_windows(["item_id"], None, None), "item_id long, window long, place long, slots array<long>, flag boolean, length int"),
         "item-windows",
     )
-    sizes = items.groupBy("item_id").agg(F.count_distinct("window").alias("n_windows"))
+    # What counts as one window of an item: the template, or the words as they are.
+    part = F.when(F.col("flag"), F.xxhash64("window", "slots")).otherwise(F.col("window")).alias("part")
+    sizes = items.select("item_id", part).groupBy("item_id").agg(F.count_distinct("part").alias("n_windows"))
     known = items.select("window").distinct()
     short = items.filter(F.col("length") < WINDOW).select("length").distinct().collect()  # at most WINDOW - 1
     lengths = [WINDOW, *sorted((r["length"] for r in short), reverse=True)]
@@ -196,15 +199,19 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, share: float = SHARE)
     )
     found = found.withColumnRenamed("flag", "first").drop("length")
     found = staged(found.dropDuplicates([*KEY, "window", "place"]), "hits") if wanted is not None else found.dropDuplicates([*KEY, "window", "place"])
-    one = items.select("item_id", "window", F.col("place").alias("item_place"), F.col("slots").alias("item_slots"))
+    one = items.select("item_id", "window", part, F.col("place").alias("item_place"), F.col("slots").alias("item_slots"), F.col("flag").alias("as_is"))
     # Windows with the first word as it is are for the start of an item.
-    met = found.join(one, "window")
+    met = found.join(one.filter("NOT as_is"), "window")
+    if not one.filter("as_is").isEmpty():
+        # Words as they are: windows meet by the values of their slots, too.
+        bare = one.filter("as_is").withColumn("slots", F.col("item_slots"))
+        met = met.unionByName(found.join(bare, ["window", "slots"]).select(met.columns))
     met = staged(
-        met.filter("NOT first OR item_place = 0").select(*KEY, "item_id", "window", (F.col("place") - F.col("item_place")).alias("shift"), "slots", "item_slots"),
+        met.filter("NOT first OR item_place = 0").select(*KEY, "item_id", "part", (F.col("place") - F.col("item_place")).alias("shift"), "slots", "item_slots"),
         "met",
     )
     held = (
-        met.select(*KEY, "item_id", "window").distinct().groupBy(*KEY, "item_id").agg(F.count(F.lit(1)).alias("n"))
+        met.select(*KEY, "item_id", "part").distinct().groupBy(*KEY, "item_id").agg(F.count(F.lit(1)).alias("n"))
         .join(sizes, "item_id").withColumn("containment", F.col("n") / F.col("n_windows"))
         .filter(F.col("containment") >= share).select(*KEY, "item_id", "containment")
     )

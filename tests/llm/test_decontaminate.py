@@ -114,3 +114,9 @@ def test_short_items_inside_longer_documents(spark, limit, monkeypatch):
     texts = [(i, f"They were asked once more {text} and nobody in the room knew") for i, text in items]
     texts += [(5, "after 12 Days without any rain we left"), (6, "They name three other rivers and days without rain and which planet has moons")]
     assert hits(spark, texts, items) == {(1, 1), (2, 2), (3, 3), (4, 4), (5, 3)}
+
+
+def test_items_without_telling_windows_need_their_own_words(spark):
+    items = [(1, "2 4 6 8 10"), (2, "42"), (3, "2 4 6 8 10 12 14")]
+    texts = [(1, "a row 1 3 5 7 9 11 13 15 of a table"), (2, "count on: 2 4 6 8 10 and stop"), (3, "it was 42 then"), (4, "on 2 4 6 8 10 12 14 go")]
+    assert hits(spark, texts, items) == {(2, 1), (3, 2), (4, 1), (4, 3)}
