@@ -60,12 +60,16 @@ def runs(offsets: np.ndarray, limit: int = RUN_BYTES) -> Iterator[tuple[int, int
 
 class Words:
     """The words of one run of texts: byte ``start`` and ``end`` in ``data``, 64-bit
-    ``hash`` (of the A-Z-lower-cased bytes), and ``bounds``: words of text i are
-    ``bounds[i]:bounds[i + 1]``."""
+    ``hash`` (of the A-Z-lower-cased bytes; of the bytes as they are without ``fold``),
+    and ``bounds``: words of text i are ``bounds[i]:bounds[i + 1]``."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, word_bytes: np.ndarray = NOT_SPACE, hashed: bool = True):
+    def __init__(
+        self, data: np.ndarray, offsets: np.ndarray, word_bytes: np.ndarray = NOT_SPACE, hashed: bool = True, fold: bool = True
+    ):
         base = int(offsets[0])
-        self.data = LOWER[data[base : int(offsets[-1])]]
+        self.data = data[base : int(offsets[-1])]
+        if fold:
+            self.data = LOWER[self.data]
         self.offsets = offsets - base
         inside = word_bytes[self.data]
         cuts = self.offsets[1:-1]
