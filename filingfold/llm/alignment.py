@@ -27,7 +27,9 @@ from __future__ import annotations
 import base64
 import hashlib
 import json
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from itertools import chain
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +46,8 @@ BROADCAST_PAIRS = 1_000_000
 STRIDE = 32
 #: Links of one group that are listed one by one.
 LARGE_GROUP = 4096
-B_BITS = 20
+#: Bits of a B id, and of a pair; what is above them is the text in its run.
+B_BITS, PAIR_BITS = 20, 40
 
 
 def gallop(longer: np.ndarray, wanted: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
@@ -97,6 +100,10 @@ def common_ends(a: np.ndarray, a_bounds: np.ndarray, b: np.ndarray, b_bounds: np
     return np.sort(np.concatenate(found_a)), np.sort(np.concatenate(found_b))
 
 
+def picked(values: list, places: list[int]) -> Sequence:
+    return itemgetter(*places)(values) if len(places) > 1 else [values[i] for i in places]
+
+
 class Tokenizers:
     """A and B, with the bytes of their tokens.  A has the ids of its byte-level file; its
     merges run by the ranks of the same vocabulary."""
@@ -115,8 +122,8 @@ class Tokenizers:
             self.b_bytes.append(bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode())
         self.a_size = np.array([len(x) for x in self.a_bytes], np.int64)
         self.b_size = np.array([len(x) for x in self.b_bytes], np.int64)
-        self.a_said = [[f"{i}{c}" for i in range(len(self.a_bytes))] for c in ",|"]
-        self.b_said = [[f"{i}{c}" for i in range(len(self.b_bytes))] for c in ",;"]
+        #: An id with the sign behind it: A's inside a group and at its end, then B's.
+        self.said = [f"{i}{c}" for i in range(len(self.a_bytes)) for c in ",|"] + [f"{i}{c}" for i in range(len(self.b_bytes)) for c in ",;"]
 
     def encode(self, texts: list[str | None]) -> tuple[list, list]:
         """Ids of each text under A and B; none where either loses a byte."""
@@ -125,7 +132,7 @@ class Tokenizers:
         b = self.b.encode([t or "" for t in texts], num_threads=1)
         for i, t in enumerate(whole):
             raw = t.encode()
-            if b"".join(map(self.a_bytes.__getitem__, a[i])) != raw or b"".join(map(self.b_bytes.__getitem__, b[i])) != raw:
+            if b"".join(picked(self.a_bytes, a[i])) != raw or b"".join(picked(self.b_bytes, b[i])) != raw:
                 a[i], b[i] = [], []
         return a, b
 
@@ -149,52 +156,61 @@ def align(tokenizers: Tokenizers, texts: list[str | None]) -> dict[str, np.ndarr
     out = {}
     for name, lists, size in (("a", a_lists, tokenizers.a_size), ("b", b_lists, tokenizers.b_size)):
         bounds = np.append(0, np.cumsum([len(x) for x in lists], dtype=np.int64))
-        ids = np.fromiter((i for x in lists for i in x), np.int64, int(bounds[-1]))
+        ids = np.fromiter(chain.from_iterable(lists), np.int64, int(bounds[-1]))
         out |= {name: ids, f"{name}_bounds": bounds, f"{name}_ends": np.cumsum(size[ids])}
     at_a, at_b = common_ends(out["a_ends"], out["a_bounds"], out["b_ends"], out["b_bounds"])
     # a group is the tokens since the common end before it; texts end in a common end
     return out | {"stop_a": at_a + 1, "stop_b": at_b + 1, "groups": np.append(0, np.searchsorted(at_a, out["a_bounds"][1:]))}
 
 
+def widths(x: dict[str, np.ndarray]) -> tuple[np.ndarray, ...]:
+    """Of each group: its A and B tokens, and the first of either."""
+    wide = [np.diff(x[stop], prepend=0) for stop in ("stop_a", "stop_b")]
+    return *wide, *(x[stop] - w for stop, w in zip(("stop_a", "stop_b"), wide, strict=True))
+
+
 def spelled(tokenizers: Tokenizers, x: dict[str, np.ndarray]) -> list[str]:
     """Groups of each text as a1,a2|b1;a3|b2,b3."""
-    last_a, last_b = np.zeros(len(x["a"]), np.int64), np.zeros(len(x["b"]), np.int64)
-    last_a[x["stop_a"] - 1], last_b[x["stop_b"] - 1] = 1, 1
-    say_a = [tokenizers.a_said[s][i] for i, s in zip(x["a"].tolist(), last_a.tolist(), strict=True)]
-    say_b = [tokenizers.b_said[s][i] for i, s in zip(x["b"].tolist(), last_b.tolist(), strict=True)]
-    pieces, i, j = [], 0, 0
-    for p, q in zip(x["stop_a"].tolist(), x["stop_b"].tolist(), strict=True):
-        pieces.append("".join(say_a[i:p]) + "".join(say_b[j:q]))
-        i, j = p, q
-    g = x["groups"].tolist()
-    return ["".join(pieces[g[k] : g[k + 1]])[:-1] for k in range(len(g) - 1)]
-
-
-def links_of(x: dict[str, np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
-    """Text by text: the distinct linked pairs of ids (A's stands above ``B_BITS``), how
-    many links each has, and all links."""
-    wide_a, wide_b = np.diff(x["stop_a"], prepend=0), np.diff(x["stop_b"], prepend=0)
-    for k in range(len(x["groups"]) - 1):
-        lo, hi = x["groups"][k], x["groups"][k + 1]
-        wa, wb = wide_a[lo:hi], wide_b[lo:hi]
-        a = x["a"][x["a_bounds"][k] : x["a_bounds"][k + 1]] << B_BITS
-        b = x["b"][x["b_bounds"][k] : x["b_bounds"][k + 1]]
-        a_first, b_first = np.cumsum(wa) - wa, np.cumsum(wb) - wb
-        large = wa * wb > LARGE_GROUP
-        # each A token of a group meets all of the group's B tokens
-        group = np.repeat(np.arange(hi - lo), wa)
-        times = np.where(large, 0, wb)[group]
-        offset = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-        links = [np.repeat(a, times) | b[np.repeat(b_first[group], times) + offset]]
-        weights = [np.ones(len(offset), np.int64)]
-        for g in np.flatnonzero(large):  # by distinct ids, however often they repeat
-            (own_a, n_a), (own_b, n_b) = (
-                np.unique(ids[f[g] : f[g] + w[g]], return_counts=True) for ids, f, w in ((a, a_first, wa), (b, b_first, wb))
-            )
-            links.append((own_a[:, None] | own_b).reshape(-1))
-            weights.append((n_a[:, None] * n_b).reshape(-1))
-        pairs, place = np.unique(np.concatenate(links), return_inverse=True)
-        yield pairs, np.bincount(place, np.concatenate(weights), len(pairs)).astype(np.int64), int((wa * wb).sum())
+    wide_a, wide_b, first_a, first_b = widths(x)
+    said = np.empty(len(x["a"]) + len(x["b"]), np.int64)  # in the order they are said
+    code = 2 * x["a"]
+    code[x["stop_a"] - 1] += 1
+    said[np.arange(len(code)) + np.repeat(first_b, wide_a)] = code
+    code = 2 * (x["b"] + len(tokenizers.a_bytes))
+    code[x["stop_b"] - 1] += 1
+    said[np.arange(len(code)) + np.repeat(x["stop_a"], wide_b)] = code
+    at = (x["a_bounds"] + x["b_bounds"]).tolist()
+    said = said.tolist()
+    return ["".join(picked(tokenizers.said, said[lo:hi]))[:-1] for lo, hi in zip(at, at[1:], strict=False)]
+
+
+def links_of(x: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(pairs, times, bounds, links): the distinct linked pairs of ids of each text (A's id
+    stands above ``B_BITS``), how many links each has, where a text's pairs are, and all
+    links of each text."""
+    wide_a, wide_b, first_a, first_b = widths(x)
+    text = np.repeat(np.arange(len(x["groups"]) - 1), np.diff(x["groups"]))
+    large = wide_a * wide_b > LARGE_GROUP
+    # each A token of a group meets all of the group's B tokens
+    group = np.repeat(np.arange(len(wide_a)), wide_a)
+    times = np.where(large, 0, wide_b)[group]
+    b = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times - first_b[group], times)
+    links = [np.repeat((text[group] << PAIR_BITS) | (x["a"] << B_BITS), times) | x["b"][b]]
+    weights = [np.ones(len(b), np.int64)]
+    for g in np.flatnonzero(large):  # by distinct ids, however often they repeat
+        own_a, n_a = np.unique(x["a"][first_a[g] : first_a[g] + wide_a[g]], return_counts=True)
+        own_b, n_b = np.unique(x["b"][first_b[g] : first_b[g] + wide_b[g]], return_counts=True)
+        links.append(((text[g] << PAIR_BITS) | (own_a[:, None] << B_BITS) | own_b).reshape(-1))
+        weights.append((n_a[:, None] * n_b).reshape(-1))
+    links, weights = np.concatenate(links), np.concatenate(weights)
+    order = np.argsort(links)
+    links, weights = links[order], weights[order]
+    new = np.ones(len(links), bool)
+    new[1:] = links[1:] != links[:-1]
+    pairs = links[new]
+    bounds = np.searchsorted(pairs, np.arange(len(x["groups"])) << PAIR_BITS)
+    every = np.append(0, np.cumsum(wide_a * wide_b))[x["groups"]]
+    return pairs & ((1 << PAIR_BITS) - 1), np.add.reduceat(weights, np.flatnonzero(new)) if len(links) else weights, bounds, np.diff(every)
 
 
 def _aligned(files):
@@ -204,20 +220,15 @@ def _aligned(files):
             _, offsets = text_buffers(batch["text"])
             for lo, hi in runs(offsets):
                 x = align(tokenizers, batch["text"].slice(lo, hi - lo).to_pylist())
-                pairs, times, n_pairs, n_links = [], [], [0], []
-                for own, n, every in links_of(x):
-                    pairs.append(own)
-                    times.append(n)
-                    n_pairs.append(n_pairs[-1] + len(own))
-                    n_links.append(every)
-                at = pa.array(np.array(n_pairs, np.int32))
+                pairs, times, at, n_links = links_of(x)
+                at = pa.array(at.astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch["doc_id"].slice(lo, hi - lo), pa.array(np.diff(x["a_bounds"])), pa.array(np.diff(x["b_bounds"])),
-                        pa.array(np.diff(x["groups"]).astype(np.int64)), pa.array(np.array(n_links, np.int64)),
+                        pa.array(np.diff(x["groups"]).astype(np.int64)), pa.array(n_links),
                         pa.array([hashlib.sha256(s.encode()).hexdigest() if s else "" for s in spelled(tokenizers, x)]),
-                        pa.ListArray.from_arrays(at, pa.array(np.concatenate(pairs))),
-                        pa.ListArray.from_arrays(at, pa.array(np.concatenate(times))),
+                        pa.ListArray.from_arrays(at, pa.array(pairs)),
+                        pa.ListArray.from_arrays(at, pa.array(times)),
                     ],
                     names=["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pairs", "times"],
                 )

@@ -268,7 +268,7 @@ def test_large_groups_are_counted_by_distinct_ids(monkeypatch):
         "a": np.array([1, 1, 2, 3]), "b": np.array([7, 8, 8, 9]), "a_bounds": np.array([0, 4]), "b_bounds": np.array([0, 4]),
         "stop_a": np.array([3, 4]), "stop_b": np.array([3, 4]), "groups": np.array([0, 2]),
     }
-    plain = [(p.tolist(), n.tolist(), m) for p, n, m in alignment.links_of(x)]
+    plain = [v.tolist() for v in alignment.links_of(x)]
     monkeypatch.setattr(alignment, "LARGE_GROUP", 1)
-    assert [(p.tolist(), n.tolist(), m) for p, n, m in alignment.links_of(x)] == plain
-    assert plain[0][2] == 10
+    assert [v.tolist() for v in alignment.links_of(x)] == plain
+    assert plain[2:] == [[0, 5], [10]] and sum(plain[1]) == 10
