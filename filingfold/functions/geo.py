@@ -92,27 +92,27 @@ def seg_type() -> str:
     return "array<struct<x1:double,y1:double,x2:double,y2:double>>"
 
 
+def on_edge(s: Column, px: Column, py: Column) -> Column:
+    """Whether the point lies on the edge, ends included."""
+    return (
+        ((s["x2"] - s["x1"]) * (py - s["y1"]) - (px - s["x1"]) * (s["y2"] - s["y1"]) == 0)
+        & (px >= F.least(s["x1"], s["x2"]))
+        & (px <= F.greatest(s["x1"], s["x2"]))
+        & (py >= F.least(s["y1"], s["y2"]))
+        & (py <= F.greatest(s["y1"], s["y2"]))
+    )
+
+
 def point_within(px: Column, py: Column, segments: Column) -> Column:
     """``ST_Within(point, polygon)``: strictly inside by the even-odd rule, false on
-    any edge or vertex (the boundary is not "within")."""
-
-    def cross(s: Column) -> Column:
-        return (s["x2"] - s["x1"]) * (py - s["y1"]) - (px - s["x1"]) * (s["y2"] - s["y1"])
+    any edge or vertex (the boundary is not "within").  Reads all edges of the polygon;
+    ``operators.cell_index`` gives the same answer from those of one cell."""
 
     def crosses(s: Column) -> Column:
         straddles = (s["y1"] > py) != (s["y2"] > py)
-        c = cross(s)
+        c = (s["x2"] - s["x1"]) * (py - s["y1"]) - (px - s["x1"]) * (s["y2"] - s["y1"])
         right_of_point = F.when(s["y2"] > s["y1"], c > 0).otherwise(c < 0)
         return straddles & right_of_point
 
-    def on_edge(s: Column) -> Column:
-        return (
-            (cross(s) == 0)
-            & (px >= F.least(s["x1"], s["x2"]))
-            & (px <= F.greatest(s["x1"], s["x2"]))
-            & (py >= F.least(s["y1"], s["y2"]))
-            & (py <= F.greatest(s["y1"], s["y2"]))
-        )
-
     n_cross = F.size(F.filter(segments, crosses))
-    return (n_cross % 2 == 1) & ~F.exists(segments, on_edge)
+    return (n_cross % 2 == 1) & ~F.exists(segments, lambda s: on_edge(s, px, py))

@@ -1,19 +1,10 @@
 """C3 geocode enrichment: point, metre projection, administrative names.
 
-``ST_Within(point, polygon)`` is an equi-join on a grid cell followed by an exact
-even-odd test written in native array expressions:
-
-* every polygon lists the 1-degree cells its bounding box touches, each with only the
-  edges that can matter for a point in it: edges are clipped to a row of cells first,
-  then that row's edges to each cell, so an outline of 10^5 edges is not copied to
-  every cell;
-* every *distinct* exact point has one cell and one of ``SALTS`` salts (a hash of the
-  point); a polygon's cell rows exist once per salt.  The key is the same for all
-  cells, whatever they hold, and a crowded cell is spread over ``SALTS`` keys, beyond
-  which AQE splits it (both sides come from an exchange);
-* the test runs inside codegen, and the lowest polygon id wins where polygons overlap
-  (the reference's ``UPDATE ... FROM`` picks an unspecified one).  Only ids are
-  aggregated; names are joined once by polygon id.
+``ST_Within(point, polygon)`` is an equi-join of distinct exact points with the cells
+of ``operators.cell_index`` and an exact test on the edges of one cell; the lowest polygon
+id wins where polygons overlap (the reference's ``UPDATE ... FROM`` picks an unspecified
+one).  Both sides of the join come from an exchange and only ids are aggregated above it,
+so AQE splits a crowded cell.  Names are joined once by polygon id.
 """
 
 from __future__ import annotations
@@ -21,61 +12,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.geo import make_point, point_within, project_lcc, ring_segments
+from ..functions.geo import make_point, project_lcc
 from ..session import cut_lineage
 from ..sources.schemas import ADMIN_NAME_COLUMNS
-
-CELL_DEGREES = 1.0
-SALTS = 16
-# Edges are kept per cell with this margin (degrees), so floating-point rounding
-# at a cell border can never drop an edge that matters; extra edges are harmless.
-CLIP_MARGIN = 1e-9
-
-
-def polygon_cells(admin_levels: DataFrame, cell: float = CELL_DEGREES) -> DataFrame:
-    """(cx, cy, gid, segments, bounding box) for every grid cell a polygon's box touches,
-    each cell with only its own relevant edges: a point casts its ray towards +x at a
-    latitude inside the cell's row, and lies on an edge only if that edge reaches the
-    row and the cell's column."""
-    m = CLIP_MARGIN
-    pts = F.flatten(F.col("rings"))
-    xs = F.transform(pts, lambda p: p["x"])
-    ys = F.transform(pts, lambda p: p["y"])
-    boxed = admin_levels.filter(F.size(pts) > 0).select(
-        "gid",
-        ring_segments("rings").alias("segments"),
-        F.array_min(xs).alias("min_x"),
-        F.array_max(xs).alias("max_x"),
-        F.array_min(ys).alias("min_y"),
-        F.array_max(ys).alias("max_y"),
-    )
-    bands = boxed.withColumn("cy", F.explode(F.sequence(F.floor(F.col("min_y") / cell), F.floor(F.col("max_y") / cell))))
-    lo, hi = F.col("cy") * cell - m, (F.col("cy") + 1) * cell + m
-    bands = bands.withColumn(
-        "segments", F.filter("segments", lambda e: (F.greatest(e["y1"], e["y2"]) >= lo) & (F.least(e["y1"], e["y2"]) <= hi))
-    )
-    cells = bands.withColumn("cx", F.explode(F.sequence(F.floor(F.col("min_x") / cell), F.floor(F.col("max_x") / cell))))
-    left = F.col("cx") * cell - m
-    return cells.withColumn("segments", F.filter("segments", lambda e: F.greatest(e["x1"], e["x2"]) >= left))
+from .cell_index import LEAF_EDGES, points_within, polygon_index
 
 
-def admin_of_points(points: DataFrame, admin_levels: DataFrame, cell: float = CELL_DEGREES, salts: int = SALTS) -> DataFrame:
+def admin_of_points(points: DataFrame, admin_levels: DataFrame, leaf_edges: int = LEAF_EDGES) -> DataFrame:
     """(lng_exact, lat_exact, name_0..5, engtype_1..5) for every distinct point inside a
     polygon; points inside none are absent.  Written out, as several joins read it."""
-    px = F.col("lng_exact").cast("double")
-    py = F.col("lat_exact").cast("double")
-    keyed = (
+    distinct = (
         points.select("lng_exact", "lat_exact")
         .filter(F.col("lng_exact").isNotNull() & F.col("lat_exact").isNotNull())
         .distinct()
-        .select(
-            "lng_exact", "lat_exact", F.floor(px / cell).alias("cx"), F.floor(py / cell).alias("cy"),
-            F.pmod(F.xxhash64("lng_exact", "lat_exact"), F.lit(salts)).cast("int").alias("salt"),
-        )
     )
-    cells = polygon_cells(admin_levels, cell).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    in_box = (px > F.col("min_x")) & (px < F.col("max_x")) & (py > F.col("min_y")) & (py < F.col("max_y"))
-    hits = keyed.join(cells, ["cx", "cy", "salt"]).filter(in_box & point_within(px, py, F.col("segments")))
+    index = polygon_index(admin_levels.select("gid", "rings"), leaf_edges=leaf_edges)
+    hits = points_within(distinct, index, F.col("lng_exact"), F.col("lat_exact"))
     best = hits.groupBy("lng_exact", "lat_exact").agg(F.min("gid").alias("gid"))
     return cut_lineage(best.join(admin_levels.select("gid", *ADMIN_NAME_COLUMNS), "gid").drop("gid"))
 
