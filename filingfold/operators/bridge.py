@@ -19,6 +19,7 @@ from ..constants import BRIDGE_CONTINUAL, BRIDGE_PCT, BRIDGE_PRIORITY, BRIDGE_SI
 from ..operators.classify import single_family_applications
 from ..session import cut_lineage
 from ..sources.register import Register
+from .prefilter import existing, worth_thinning
 
 APPLN_COLUMNS = (
     "appln_auth", "appln_kind", "appln_filing_date", "appln_filing_year", "earliest_publn_date",
@@ -111,11 +112,14 @@ def bridge_pairs(reg: Register) -> DataFrame:
 def bridge(reg: Register) -> DataFrame:
     """The bridge table without ``lastupdate``: prior_appln_id, every publication
     column of the member, the member's application columns, type."""
-    pairs = bridge_pairs(reg)
-    publn_cols = reg.publn.columns
-    appln = reg.appln.select("appln_id", *APPLN_COLUMNS)
+    pairs, publn, appln = bridge_pairs(reg), reg.publn, reg.appln.select("appln_id", *APPLN_COLUMNS)
+    publn_cols = publn.columns
+    if worth_thinning(publn):  # only members' publications and applications leave the scans
+        pairs = cut_lineage(pairs)
+        members = cut_lineage(pairs.select("appln_id").distinct())
+        publn, appln = existing(publn, "appln_id", members), existing(appln, "appln_id", members)
     return (
-        pairs.join(reg.publn, "appln_id")
+        pairs.join(publn, "appln_id")
         .join(appln, "appln_id")
         .select("prior_appln_id", *publn_cols, *APPLN_COLUMNS, "type")
     )

@@ -53,7 +53,7 @@ def impute_location(reg: Register, loc: LocationInputs, cfg: Config) -> DataFram
         other_direct=direct_other_locations(pf_apps, other),
         other_by_subsequent=locations_by_subsequent(other),
     )
-    filled = fill(cut_lineage(subsequent_pool(reg, still_open(pf_apps, cands))), cands, LEAN)
+    filled = fill(cut_lineage(subsequent_pool(reg, still_open(pf_apps, cands.own_direct))), cands, LEAN)
     return enrich_locations(assemble(filled, pf_apps), loc).select(*GEOC_OUTPUT)
 
 
