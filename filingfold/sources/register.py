@@ -10,11 +10,16 @@ driver's star schema for tests.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from typing import TYPE_CHECKING
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import schemas as S
+from .wkb import with_rings
+
+if TYPE_CHECKING:
+    from .layout import Layout
 
 
 @dataclass(frozen=True)
@@ -26,6 +31,7 @@ class Register:
     pers_appln: DataFrame  # tls207_pers_appln
     publn: DataFrame  # tls211_pat_publn
     contn: DataFrame  # tls216_appln_contn
+    layout: Layout | None = None  # bucketed copies (sources.layout)
 
 
 @dataclass(frozen=True)
@@ -43,11 +49,12 @@ class LocationInputs:
 def _read(spark: SparkSession, base: str, name: str, schema, exact: bool = False) -> DataFrame:
     """Read one table.  ``exact``: the files have exactly ``schema`` (no footer
     inference); otherwise the declared columns are cast and any extra column is
-    kept (the bridge carries every publication column)."""
+    kept (the bridge carries every publication column).  Polygons may come as a database's
+    geometry column ``geom`` (``sources.wkb``) in place of ``rings``."""
     path = f"{base.rstrip('/')}/{name}"
     if exact:
         return spark.read.schema(schema).parquet(path)
-    df = spark.read.parquet(path)
+    df = with_rings(spark.read.parquet(path)) if name == "admin_levels" else spark.read.parquet(path)
     cols = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]
     extra = [c for c in df.columns if c not in schema.fieldNames()]
     return df.select(*cols, *extra)
