@@ -23,6 +23,7 @@ from ..constants import (
     TYPE_TECH_REL,
 )
 from ..functions.predicates import browsed_office, excluded_publication, in_year_range
+from ..sources.layout import written_in_buckets
 from ..sources.register import Register
 
 PF_COLUMNS = (
@@ -112,10 +113,33 @@ def application_facts(reg: Register, cfg: Config) -> DataFrame:
     )
 
 
+def _facts_by_bucket(reg: Register, eligible: DataFrame, cfg: Config) -> DataFrame:
+    """``eligible`` with its facts over a laid-out register: each link table is reduced
+    to its first filings within its buckets and meets tls201 there.  Only the ids of
+    families of one, and publications where the preset asks for them, are exchanged."""
+    found = eligible
+    for type_, rank in (("priority", RANK_PRIORITY), ("continual", RANK_CONTINUAL), ("tech_rel", RANK_TECH_REL)):
+        found = reg.layout.by_first[type_].attach(found, **{f"rank_{type_}": F.min(F.lit(rank))})
+    single = single_family_applications(reg.appln).withColumn("rank_single", F.lit(RANK_SINGLE))
+    found = found.join(single, "appln_id", "left")
+    found = found.withColumn("rank", F.least("rank_priority", "rank_continual", "rank_tech_rel", "rank_single"))
+    if not (cfg.use_exclusions or cfg.require_publication):
+        return found
+    numbered = F.col("publn_nr").isNotNull() & (F.col("publn_kind") != "D2")
+    facts = reg.publn.groupBy("appln_id").agg(
+        F.max(excluded_publication().cast("int")).alias("excluded"), F.max(numbered.cast("int")).alias("published")
+    )
+    return found.join(facts, "appln_id", "left")
+
+
 def first_filings(reg: Register, cfg: Config) -> DataFrame:
     """C1: the first-filing table (one row per application x person in own role)."""
     rank = F.col("rank")
-    typed = eligible_applications(reg, cfg).join(application_facts(reg, cfg), "appln_id", "left")
+    eligible = eligible_applications(reg, cfg)
+    if reg.layout is None:
+        typed = eligible.join(application_facts(reg, cfg), "appln_id", "left")
+    else:
+        typed = _facts_by_bucket(reg, eligible, cfg)
     if cfg.use_exclusions:
         # LEFT JOIN toExclude ... IS NULL: one excluded publication drops the application.
         typed = typed.filter(F.coalesce(F.col("excluded"), F.lit(0)) == 0)
@@ -129,15 +153,16 @@ def first_filings(reg: Register, cfg: Config) -> DataFrame:
         .when(rank == RANK_TECH_REL, F.lit(TYPE_TECH_REL))
         .when(rank == RANK_SINGLE, F.lit(TYPE_SINGLE)),
     ).filter(F.col("type").isNotNull())
-    persons = reg.pers_appln.filter(F.col(cfg.own_seq) > 0).select("appln_id", "person_id")
+    if reg.layout is not None:  # read twice, for rows in buckets and for hot ones
+        typed = written_in_buckets(typed, "appln_id", reg.layout.buckets, dealt=True)
     person = F.col("person_id")
     if cfg.pct_person == "reference":
         # The location script selects the person of the anti-joined side for pct
         # filings, which is always NULL: one row with a NULL person per application.
         person = F.when(F.col("type") == TYPE_PCT, F.lit(None).cast("long")).otherwise(person)
-    return (
-        typed.join(persons, "appln_id")
-        .select(
+
+    def own_role(rows: DataFrame) -> DataFrame:
+        return rows.filter(F.col(cfg.own_seq) > 0).select(
             "appln_id",
             "appln_kind",
             person.alias("person_id"),
@@ -145,9 +170,11 @@ def first_filings(reg: Register, cfg: Config) -> DataFrame:
             "appln_filing_year",
             "appln_filing_date",
             "type",
-        )
-        .distinct()
-    )
+        ).distinct()
+
+    if reg.layout is not None:
+        return reg.layout.persons.rows_of(typed, own_role)
+    return own_role(typed.join(reg.pers_appln.select("appln_id", "person_id", cfg.own_seq), "appln_id"))
 
 
 def first_filing_applications(pf: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import TYPE_CONTINUAL, TYPE_PCT, TYPE_PRIORITY, TYPE_TECH_REL
+from ..sources.layout import written_in_buckets
 from ..sources.register import Register
 
 POOL_COLUMNS = ("appln_id", "subsequent_id", "subsequent_date", "nb_priorities", "type")
@@ -44,6 +45,8 @@ def linked_pool(reg: Register, pf_apps: DataFrame) -> DataFrame:
     the subsequent filing) and the pairs (first filing, subsequent filing) kept for
     first filings of the matching type; the subsequent filing's date and nb are
     then joined on subsequent_id, so tls201 is scanned once for all three types."""
+    if reg.layout is not None:
+        return _linked_by_bucket(reg, pf_apps)
     links = None
     for type_, table, first_col in _link_tables(reg):
         seq = F.col("prior_appln_seq_nr") if type_ == TYPE_PRIORITY else F.lit(None).cast("int")
@@ -77,6 +80,23 @@ def linked_pool(reg: Register, pf_apps: DataFrame) -> DataFrame:
     )
 
 
+def _linked_by_bucket(reg: Register, pf_apps: DataFrame) -> DataFrame:
+    """``linked_pool`` over a laid-out register.  Links of the wanted first filings are
+    taken within the buckets by first filing; only these pairs are exchanged, and meet
+    tls201 and the counts within the buckets by later filing."""
+    pairs = None
+    for type_, links in reg.layout.by_first.items():
+        found = links.rows_of(_firsts(pf_apps, type_), lambda rows: rows.distinct()).withColumn("type", F.lit(type_))
+        pairs = found if pairs is None else pairs.unionByName(found)
+    later = written_in_buckets(pairs, "subsequent_id", reg.layout.buckets)
+    dated = later.select("subsequent_id").distinct().join(_dated(reg), "subsequent_id")
+    counted = reg.layout.by_later["priority"].attach(dated, priority=F.max("seq"))
+    for type_ in ("continual", "tech_rel"):
+        counted = reg.layout.by_later[type_].attach(counted, **{type_: F.count(F.lit(1)).cast("int")})
+    nb = F.coalesce(*[F.when(F.col("type") == t, F.col(t)) for t in reg.layout.by_later])
+    return later.join(counted, "subsequent_id").select("appln_id", "subsequent_id", "subsequent_date", nb.alias("nb_priorities"), "type")
+
+
 def _dated(reg: Register) -> DataFrame:
     return reg.appln.select(F.col("appln_id").alias("subsequent_id"), F.col("appln_filing_date").alias("subsequent_date"))
 

@@ -1,6 +1,6 @@
 """End-to-end run: every result table of the reference from a register snapshot.
 
-    python -m filingfold.plans.run REGISTER_DIR LOCATIONS_DIR OUT_DIR
+    python -m filingfold.plans.run REGISTER_DIR LOCATIONS_DIR OUT_DIR [--lay-out]
 
 reads the register (``tls201_appln/`` ... ``tls216_appln_contn/``) and the location
 inputs as parquet, and writes, under OUT_DIR:
@@ -12,6 +12,8 @@ inputs as parquet, and writes, under OUT_DIR:
 
 Parquet outputs keep geometry as ``struct<x,y>``; the country tables and the bridge
 carry ``lastupdate``.  Pass ``LOCATIONS_DIR = -`` to skip the location tables.
+``--lay-out`` first writes the register in buckets by application (``sources.layout``),
+which pays where several result tables are made of a large register.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ from pyspark.sql import SparkSession
 
 from ..config import COUNTRY_APP, COUNTRY_INV, LOCATION_APP, LOCATION_INV
 from ..session import RECOMMENDED_CONF
+from ..sources.layout import lay_out
 from ..sources.register import LocationInputs, Register, read_locations, read_register
 from ..sources.sinks import export_csv
 from .bridge import build_bridge
@@ -44,7 +47,7 @@ def run(spark: SparkSession, reg: Register, loc: LocationInputs | None, out: str
         # The export reads the written table back, so the waterfall runs once.
         table = spark.read.parquet(written[name])
         csv = f"{out}/ctry_{name[3:6]}_person_csv"
-        export_csv(table, csv)
+        export_csv(table, csv, stored=True)
         written[f"ctry_{name[3:6]}_person_csv"] = csv
     if loc is not None:
         for name, cfg in (("geoc_inv", LOCATION_INV), ("geoc_app", LOCATION_APP)):
@@ -54,6 +57,8 @@ def run(spark: SparkSession, reg: Register, loc: LocationInputs | None, out: str
 
 
 def main(argv: list[str]) -> int:
+    laid_out = "--lay-out" in argv
+    argv = [a for a in argv if a != "--lay-out"]
     if len(argv) != 4:
         print(__doc__)
         return 2
@@ -62,6 +67,7 @@ def main(argv: list[str]) -> int:
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     reg = read_register(spark, argv[1])
+    reg = lay_out(reg) if laid_out else reg
     loc = None if argv[2] == "-" else read_locations(spark, argv[2])
     for name, path in run(spark, reg, loc, argv[3]).items():
         print(name, path)

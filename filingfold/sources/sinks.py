@@ -5,6 +5,11 @@ Here the sort is a range-partitioned ``orderBy`` and every task writes its own p
 without a header; the header is one small file that sorts before the parts.  The
 files of the directory, concatenated in name order, are the reference's file; nothing
 passes through the driver.
+
+Rows are ordered by the export's key and then by all other columns, so equal tables give
+equal bytes, and ranges may cut between the rows of one key: an application with very
+many persons is spread over several parts.  Spark chooses the ranges by running its input
+once more; the input is therefore written first and the ranges come from a scan of it.
 """
 
 from __future__ import annotations
@@ -12,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from ..session import cut_lineage
+
 OPTIONS = {
     "nullValue": "",
     "emptyValue": '""',
@@ -29,8 +36,10 @@ OPTIONS = {
 HEADER = "header.csv"
 
 
-def export_csv(df: DataFrame, path: str, order_by: str = "appln_id", mode: str = "overwrite") -> None:
-    df.orderBy(order_by).write.mode(mode).options(**OPTIONS).csv(path)
+def export_csv(df: DataFrame, path: str, order_by: str = "appln_id", mode: str = "overwrite", stored: bool = False) -> None:
+    """Write ``df`` below ``path``.  ``stored``: it is a table already, and not written first."""
+    rows = df if stored else cut_lineage(df)
+    rows.orderBy(order_by, *[c for c in df.columns if c != order_by]).write.mode(mode).options(**OPTIONS).csv(path)
     spark = df.sparkSession
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
     target = hadoop.Path(f"{path.rstrip('/')}/{HEADER}")
