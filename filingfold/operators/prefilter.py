@@ -47,14 +47,41 @@ def id_bitmap(ids: DataFrame, column: str, bits: int) -> DataFrame:
     return cut_lineage(rows.select("block", F.transform("w", lambda w: w["bit"]).alias("words")))
 
 
-def thinned(df: DataFrame, column: str, bitmap: DataFrame, bits: int) -> DataFrame:
-    """The rows of ``df`` whose id may be in the bitmap, without an exchange of ``df``."""
+def _flagged(df: DataFrame, column: str, bitmap: DataFrame, bits: int) -> DataFrame:
+    """(row, hit): the rows of ``df``, packed, and whether their id may be in the bitmap;
+    null where the id is null."""
     at = _place(column, bits)
-    test = df.select(F.struct(*[df[c] for c in df.columns]).alias("row"), at.alias("at"), F.shiftright(at, _BLOCK).alias("block"))
+    test = df.select(F.struct(*[df[c] for c in df.columns]).alias("row"), F.when(df[column].isNotNull(), at).alias("at"))
+    test = test.withColumn("block", F.shiftright(F.coalesce("at", F.lit(0)), _BLOCK))
     word = F.get("words", F.shiftright("at", _WORD).bitwiseAND(F.lit((1 << (_BLOCK - _WORD)) - 1)).cast("int"))
     bit = F.expr("cast(at & 63 as int)")
     hit = F.call_function("shiftrightunsigned", word, bit).bitwiseAND(F.lit(1)) == 1
-    return test.join(F.broadcast(bitmap), "block").filter(hit).select("row.*")
+    return test.join(F.broadcast(bitmap), "block").select("row", hit.alias("hit"))
+
+
+def thinned(df: DataFrame, column: str, bitmap: DataFrame, bits: int) -> DataFrame:
+    """The rows of ``df`` whose id may be in the bitmap, without an exchange of ``df``."""
+    return _flagged(df, column, bitmap, bits).filter("hit").select("row.*")
+
+
+def present(df: DataFrame, column: str, ids: DataFrame) -> DataFrame:
+    """Rows of ``df`` whose id is in ``ids``, a written table of distinct ids in a column of
+    the same name: thinned, then joined exactly."""
+    bits = bitmap_bits(ids.count())
+    if bits is not None:
+        df = thinned(df, column, id_bitmap(ids, column, bits), bits)
+    return df.join(ids, column, "left_semi").select(*df.columns)
+
+
+def absent(df: DataFrame, column: str, ids: DataFrame) -> DataFrame:
+    """Rows of ``df`` whose id is null or not in ``ids`` (as in ``present``).  Only rows
+    whose id may be in ``ids`` meet it in a join; all others pass in the scan's stage."""
+    bits = bitmap_bits(ids.count())
+    if bits is None:
+        return df.join(ids, column, "left_anti").select(*df.columns)
+    flagged = _flagged(df, column, id_bitmap(ids, column, bits), bits)
+    maybe = flagged.filter("hit").select("row.*").join(ids, column, "left_anti").select(*df.columns)
+    return flagged.filter("hit IS NULL OR NOT hit").select("row.*").unionByName(maybe)
 
 
 def worth_thinning(df: DataFrame) -> bool:
@@ -67,7 +94,4 @@ def existing(df: DataFrame, column: str, ids: DataFrame, id_column: str | None =
     """Rows of ``df`` whose ``column`` is in ``ids``, a written table of distinct ids that
     is counted first; a table not ``worth_thinning`` is joined plainly."""
     ids = ids.select(F.col(id_column or column).alias(column))
-    bits = bitmap_bits(ids.count()) if worth_thinning(df) else None
-    if bits is not None:
-        df = thinned(df, column, id_bitmap(ids, column, bits), bits)
-    return df.join(ids, column, "left_semi")
+    return present(df, column, ids) if worth_thinning(df) else df.join(ids, column, "left_semi")

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from filingfold.operators import prefilter
-from filingfold.operators.prefilter import bitmap_bits, existing, id_bitmap, thinned
+from filingfold.operators.prefilter import absent, bitmap_bits, existing, id_bitmap, thinned
 from filingfold.session import cut_lineage
 
 
@@ -27,6 +27,10 @@ def test_equals_the_plain_semi_join(spark, share, monkeypatch):
     got = existing(big, "k", ids, "id")
     assert got.columns == big.columns
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    others = absent(big, "k", ids.select(F.col("id").alias("k")))
+    assert others.columns == big.columns
+    left = big.join(ids.select(F.col("id").alias("k")), "k", "left_anti").select(*big.columns)
+    assert sorted(map(str, others.collect())) == sorted(map(str, left.collect()))
 
 
 def test_the_scan_lets_few_others_pass(spark):
