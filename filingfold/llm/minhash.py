@@ -43,10 +43,13 @@ from pyspark.sql import functions as F
 
 from filingfold.llm.common import staged, table
 from filingfold.llm.textkernel import Words, mix64, runs, shingles, text_buffers
+from filingfold.operators.prefilter import absent, present
 
 BANDS, ROWS = 40, 6
 RARE = 16
 SHIFT_COLUMNS = 512
+#: About how many pivots of a bucket lie in one row.
+PIVOT_RUN = 64
 #: pi and sigma: odd multipliers of the two permutations, fixed so that reruns agree.
 SIGMA = (np.uint32(0x85EBCA6B), np.uint32(0xC2B2AE35))
 PI = (np.uint32(0x9E3779B1), np.uint32(0x27D4EB2F))
@@ -243,13 +246,16 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
             live.join(state, "bucket").withColumn("pivot", (F.col("id") == F.col("first")) | (drawn if pivots > 1 else F.lit(False))).drop("left", "first"),
             "open",
         )
-        ends = live.filter("pivot").select("bucket", F.col("id").alias("p"), F.col("n").alias("pn"), F.col("s").alias("ps"), F.col("label").alias("pl"))
+        # One row a bucket and run of pivots, so the join makes a row for each member, bucket
+        # and run; a member's pivots are made distinct over its buckets before they are listed.
+        end = F.struct(F.col("id").alias("p"), F.col("n").alias("pn"), F.col("s").alias("ps"), F.col("label").alias("pl"))
+        ends = live.filter("pivot").groupBy("bucket", F.pmod(F.xxhash64("id"), F.lit(max(1, pivots // PIVOT_RUN))).alias("run"))
+        ends = staged(ends.agg(F.collect_list(end).alias("ends")).select("bucket", "ends"), "pivots")
         # The intersection is at most the smaller support; it must reach the threshold.
-        may = F.least("s", "ps") * (100 + percent) >= (F.col("n") + F.col("pn")) * percent
-        pairs = (
-            live.join(staged(ends, "pivots"), "bucket").filter((F.col("label") != F.col("pl")) & may)
-            .select(F.least("id", "p").alias("a"), F.greatest("id", "p").alias("b"))
-        )
+        may = lambda x: (F.col("label") != x["pl"]) & (F.least(F.col("s"), x["ps"]) * (100 + percent) >= (F.col("n") + x["pn"]) * percent)
+        met = live.join(ends, "bucket").select("id", F.transform(F.filter("ends", may), lambda x: x["p"]).alias("ps")).filter(F.size("ps") > 0)
+        met = met.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_set("ps"))).alias("ps")).select("id", F.explode("ps").alias("p"))
+        pairs = met.select(F.least("id", "p").alias("a"), F.greatest("id", "p").alias("b"))
         pairs = (pairs if listed is None else pairs.unionByName(listed)).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
@@ -261,7 +267,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
             texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
             made = lambda rows: rows.mapInArrow(_sets(k), "id long, set array<long>")
             repeated = staged(real.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > 1).select("doc_id"), "repeated")
-            texts = texts.join(wanted, "doc_id", "left_semi")
+            texts = present(texts, "doc_id", staged(wanted, "wanted"))
             if repeated.isEmpty():
                 sets, repeated = staged(made(texts), "sets"), None
             else:
@@ -296,8 +302,8 @@ def keep_one_of_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFram
     """``docs`` with one document of each near-duplicate group, the least doc_id; rows
     without a doc_id stay, rows that repeat the kept doc_id stay together."""
     found = near_duplicates(docs, k, percent)
-    copies = staged(found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_copy")).distinct(), "copies")
-    return docs.join(copies, docs["doc_id"] == copies["_copy"], "left_anti")
+    copies = staged(found.filter("doc_id <> component_id").select("doc_id").distinct(), "copies")
+    return absent(docs, "doc_id", copies)
 
 
 def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
