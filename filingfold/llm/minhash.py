@@ -49,7 +49,7 @@ BANDS, ROWS = 40, 6
 RARE = 16
 SHIFT_COLUMNS = 512
 #: About how many pivots of a bucket lie in one row.
-PIVOT_RUN = 64
+PIVOT_RUN = 1024
 #: pi and sigma: odd multipliers of the two permutations, fixed so that reruns agree.
 SIGMA = (np.uint32(0x85EBCA6B), np.uint32(0xC2B2AE35))
 PI = (np.uint32(0x9E3779B1), np.uint32(0x27D4EB2F))
