@@ -47,7 +47,7 @@ def id_bitmap(ids: DataFrame, column: str, bits: int) -> DataFrame:
     return cut_lineage(rows.select("block", F.transform("w", lambda w: w["bit"]).alias("words")))
 
 
-def _flagged(df: DataFrame, column: str, bitmap: DataFrame, bits: int) -> DataFrame:
+def flagged(df: DataFrame, column: str, bitmap: DataFrame, bits: int) -> DataFrame:
     """(row, hit): the rows of ``df``, packed, and whether their id may be in the bitmap;
     null where the id is null."""
     at = _place(column, bits)
@@ -61,7 +61,7 @@ def _flagged(df: DataFrame, column: str, bitmap: DataFrame, bits: int) -> DataFr
 
 def thinned(df: DataFrame, column: str, bitmap: DataFrame, bits: int) -> DataFrame:
     """The rows of ``df`` whose id may be in the bitmap, without an exchange of ``df``."""
-    return _flagged(df, column, bitmap, bits).filter("hit").select("row.*")
+    return flagged(df, column, bitmap, bits).filter("hit").select("row.*")
 
 
 def present(df: DataFrame, column: str, ids: DataFrame) -> DataFrame:
@@ -79,9 +79,9 @@ def absent(df: DataFrame, column: str, ids: DataFrame) -> DataFrame:
     bits = bitmap_bits(ids.count())
     if bits is None:
         return df.join(ids, column, "left_anti").select(*df.columns)
-    flagged = _flagged(df, column, id_bitmap(ids, column, bits), bits)
-    maybe = flagged.filter("hit").select("row.*").join(ids, column, "left_anti").select(*df.columns)
-    return flagged.filter("hit IS NULL OR NOT hit").select("row.*").unionByName(maybe)
+    marked = flagged(df, column, id_bitmap(ids, column, bits), bits)
+    maybe = marked.filter("hit").select("row.*").join(ids, column, "left_anti").select(*df.columns)
+    return marked.filter("hit IS NULL OR NOT hit").select("row.*").unionByName(maybe)
 
 
 def worth_thinning(df: DataFrame) -> bool:
