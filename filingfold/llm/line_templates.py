@@ -8,16 +8,18 @@ and a line belongs to it when it agrees with at least ``SIMILARITY`` of the posi
 A line that recurs by itself, variable fields aside, is a template of its own.  Lines
 whose template occurs in at least ``MIN_DOCS`` documents are dropped.
 
-A leaf may hold several templates.  Each token that enough, but not all, of the lines
-left have at its position makes a group with a template of its own (tokens of the same
-lines make one); a leaf's lines enter all their groups, further down a line takes its
-most frequent such token.  Lines left then go by any template of their leaf that they
-fit, and a leaf that lost lines starts again with the others, until nothing more is found.
+A leaf may hold several templates.  Its lines that belong to none yet are split once,
+by their tokens at one position: the one with the fewest distinct tokens (the first of
+equals) among those with at least two tokens of which one stands in enough documents.
+Each line is in one group, and each group has a template of its own.
 
 The parse is order-free, so it needs no running state: counts per distinct masked
 line are combined before any shuffle, and a leaf's template comes from weighted counts
 per position.  A line that a third of all documents share is one row from the first
 aggregation on; joins back to the lines have staged right sides, so AQE can split it.
+At first only leaves are counted, from a line's leading tokens and blanks; whole lines
+are masked where a bitmap of the leaves with enough lines lets them pass, and documents
+meet the lines they lose by a bitmap too, so texts that lose none are never shuffled.
 
 Defined cases: blank lines stay; a line of one or two tokens is its own template, as
 its leaf is the whole mask; a line of fields alone has the mask of all such lines of
@@ -33,6 +35,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from filingfold.llm.common import staged, table
+from filingfold.operators.prefilter import bitmap_bits, flagged, id_bitmap, thinned
 
 LEAD = 3
 MIN_TOKENS = 1
@@ -51,20 +54,25 @@ def keyed(docs: DataFrame) -> DataFrame:
     )
 
 
-def masked(body: Column) -> Column:
-    """The line's tokens, one blank between, those with a digit as the field mark."""
-    plain = F.trim(F.regexp_replace(body, r"[\x20\x09-\x0D]+", " "))
-    # Anchored at a token's start, so each token is read once.
-    return F.when(plain.rlike("[0-9]"), F.regexp_replace(plain, "(?<![^ ])[^ ]*?[0-9][^ ]*", FIELD)).otherwise(plain)
+def plain(body: Column) -> Column:
+    """The line's tokens, one blank between; most lines are so already."""
+    odd = F.startswith(body, F.lit(" ")) | F.endswith(body, F.lit(" "))
+    for blank in ("  ", "\t", "\x0b", "\x0c", "\r"):
+        odd = odd | F.contains(body, F.lit(blank))
+    return F.when(odd, F.trim(F.regexp_replace(body, r"[\x20\x09-\x0D]+", " "))).otherwise(body)
 
 
-def parsed(lines: DataFrame) -> DataFrame:
-    """``lines`` with ``body`` replaced by leaf and mask (hashes) and the masked line."""
-    lines = lines.withColumn("masked", masked(F.col("body"))).drop("body")
-    count = F.when(F.col("masked") == "", 0).otherwise(F.length("masked") - F.length(F.replace("masked", F.lit(" "))) + 1)
-    lines = lines.withColumn("count", count).filter(F.col("count") >= MIN_TOKENS)
-    leaf = F.xxhash64("count", F.substring_index("masked", " ", LEAD))
-    return lines.withColumn("leaf", leaf).withColumn("mask", F.xxhash64("masked")).drop("count")
+def masked(tokens: Column) -> Column:
+    """Tokens with a digit as the field mark; each token is read once from its start."""
+    return F.when(tokens.rlike("[0-9]"), F.regexp_replace(tokens, "(?<![^ ])[^ ]*?[0-9][^ ]*", FIELD)).otherwise(tokens)
+
+
+def leaves(lines: DataFrame) -> DataFrame:
+    """``lines`` with their leaf, from ``body``; blank lines are left out."""
+    lines = lines.withColumn("body", plain(F.col("body"))).filter("body <> ''")
+    count = F.octet_length("body") - F.octet_length(F.replace("body", F.lit(" "), F.lit(""))) + 1
+    lines = lines.filter(count >= MIN_TOKENS)
+    return lines.withColumn("leaf", F.xxhash64(count, masked(F.substring_index("body", " ", LEAD))))
 
 
 def node_templates(lines: DataFrame) -> DataFrame:
@@ -86,101 +94,70 @@ def _agreement() -> Column:
     return F.size(F.filter(F.zip_with("tokens", "template", lambda a, b: a == b), lambda same: same))
 
 
-def _descend(rest: DataFrame, removed: DataFrame, min_docs: int, top: bool) -> DataFrame:
-    """``rest`` with the next nodes of each line, all at the ``top``, then one; lines of
-    which nothing can come are left out."""
-    total = rest.groupBy("node").agg(F.sum("docs").alias("total")).filter(F.col("total") >= min_docs)
-    total = staged(total, "node-totals")
-    tokens = rest.join(total, "node", "left_semi").select("node", "mask", "docs", F.posexplode("tokens").alias("place", "token"))
-    votes = tokens.groupBy("node", "place", "token").agg(
-        F.sum("docs").alias("votes"), F.bit_xor("mask").alias("x"), F.bit_xor(F.xxhash64("mask")).alias("y")
-    )
-    # Tokens of equal lines (by their hashes) make one group.
-    split = votes.join(total, "node").filter((F.col("votes") >= min_docs) & (F.col("votes") < F.col("total")))
-    split = split.groupBy("node", "votes", "x", "y").agg(F.min(F.struct("place", "token")).alias("by")).select("node", "votes", "by.*")
-    choice = tokens.join(staged(split, "split"), ["node", "place", "token"])
-    by = F.struct("votes", -F.col("place"), "token")
-    choice = choice.select("node", "mask", by.alias("by")) if top else choice.groupBy("node", "mask").agg(F.max(by).alias("by"))
-    # Without such a token a line stays, if its node lost lines and its template may now differ.
-    again = removed.join(total, "node", "left_semi").withColumn("again", F.lit(True))
-    moved = rest.join(staged(choice, "choice"), ["node", "mask"], "left").join(again, "node", "left").filter("by IS NOT NULL OR again")
-    node = F.when(F.col("by").isNotNull(), F.xxhash64("node", "by")).otherwise(F.col("node"))
-    return moved.withColumn("node", node).select(rest.columns)
-
-
-def members(distinct: DataFrame, rare: DataFrame, min_docs: int, similarity: float) -> DataFrame:
+def _taken(lines: DataFrame, held: DataFrame, min_docs: int, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """(taken, placed): the lines (node, leaf, mask, docs, tokens) that belong to their
+    node's template where it stands in ``min_docs`` documents, and all lines with their
+    node's template.  ``held`` has the documents (key, leaf, mask) of the masks."""
+    templates = staged(node_templates(lines), "templates")
+    placed = staged(lines.join(templates, "node").withColumn("fits", _agreement() >= F.lit(similarity) * F.size("tokens")), "placed")
+    # A mask that recurs is enough; else the sum bounds the number of documents.
+    fit = placed.filter("fits").groupBy("node").agg(F.max("docs").alias("most"), F.sum("docs").alias("sum"))
+    fit = staged(fit.filter(F.col("sum") >= min_docs), "fit-nodes")
+    sure = fit.filter(F.col("most") >= min_docs).select("node")
+    unsure = placed.filter("fits").join(fit.filter(F.col("most") < min_docs), "node", "left_semi").select("leaf", "mask", "node")
+    unsure = staged(unsure, "unsure")
+    counted = held.join(unsure, ["leaf", "mask"]).select(*KEY, "node").distinct().groupBy("node").agg(F.count(F.lit(1)).alias("n"))
+    sure = staged(sure.unionByName(counted.filter(F.col("n") >= min_docs).select("node")), "recurrent")
+    return placed.filter("fits").join(sure, "node", "left_semi").select("leaf", "mask", "template"), placed
+
+
+def _split(rest: DataFrame, min_docs: int) -> DataFrame:
+    """``rest`` (leaf, mask, docs, tokens) with nodes by the token at their leaf's
+    splitting position; nodes of too few documents are left out."""
+    total = rest.groupBy("leaf").agg(F.sum("docs").alias("total")).filter(F.col("total") >= min_docs).select("leaf")
+    rest = rest.join(staged(total, "leaf-totals"), "leaf", "left_semi")
+    votes = rest.select("leaf", "docs", F.posexplode("tokens").alias("place", "token")).groupBy("leaf", "place", "token").agg(F.sum("docs").alias("votes"))
+    places = votes.groupBy("leaf", "place").agg(F.count(F.lit(1)).alias("kinds"), F.max("votes").alias("most"))
+    by = places.filter((F.col("kinds") > 1) & (F.col("most") >= min_docs)).groupBy("leaf").agg(F.min(F.struct("kinds", "place")).alias("by"))
+    by = staged(by.select("leaf", "by.place"), "places")
+    nodes = rest.join(by, "leaf").withColumn("node", F.xxhash64("leaf", F.lit("split"), F.element_at("tokens", F.col("place") + 1))).drop("place")
+    nodes = staged(nodes, "split")
+    enough = nodes.groupBy("node").agg(F.sum("docs").alias("total")).filter(F.col("total") >= min_docs).select("node")
+    return nodes.join(staged(enough, "node-totals"), "node", "left_semi")
+
+
+def members(distinct: DataFrame, held: DataFrame, min_docs: int, similarity: float) -> DataFrame:
     """(leaf, mask, template) of the distinct masked lines (leaf, mask, docs, tokens) that
-    belong to a template in ``min_docs`` documents.  ``rare`` has the documents (key,
-    leaf, mask) of the masks that stand in fewer."""
-    columns = ["leaf", "mask", "template"]
-    enough = _agreement() >= F.lit(similarity) * F.size("tokens")
-    left, found = distinct, None
-    while True:
-        lines, new, top = left.withColumn("node", F.col("leaf")), None, True
-        while True:
-            templates = staged(node_templates(lines), "templates")
-            placed = staged(lines.join(templates, "node").withColumn("fits", enough), "placed")
-            # A mask that recurs is enough; else the sum bounds the number of documents.
-            fit = placed.filter("fits").groupBy("node").agg(F.max("docs").alias("most"), F.sum("docs").alias("sum"))
-            fit = staged(fit.filter(F.col("sum") >= min_docs), "fit-nodes")
-            unsure = staged(
-                placed.filter("fits").join(fit.filter(F.col("most") < min_docs), "node", "left_semi").select("leaf", "mask", "node"), "unsure"
-            )
-            sure = fit.filter(F.col("most") >= min_docs).select("node")
-            if not unsure.isEmpty():
-                counted = rare.join(unsure, ["leaf", "mask"]).select(*KEY, "node").distinct().groupBy("node").agg(F.count(F.lit(1)).alias("n"))
-                sure = staged(sure.unionByName(counted.filter(F.col("n") >= min_docs).select("node")), "recurrent")
-            taken = placed.filter("fits").join(sure, "node", "left_semi").select(columns)
-            new = taken if new is None else new.unionByName(taken)
-            rest = placed.join(sure.withColumn("gone", F.lit(True)), "node", "left").filter("NOT fits OR gone IS NULL")
-            lines = staged(_descend(staged(rest.select(lines.columns), "rest"), sure, min_docs, top), "descended")
-            top = False
-            if lines.isEmpty():
-                break
-        # A line may have been in several groups.
-        new = staged(new.groupBy("leaf", "mask").agg(F.max("template").alias("template")), "members")
-        if new.isEmpty():
-            break
-        # Lines that fit a template found elsewhere in their leaf join it.
-        over = left.join(new.select("leaf", "mask"), ["leaf", "mask"], "left_anti").join(staged(new.select("leaf").distinct(), "found-leaves"), "leaf", "left_semi")
-        over = staged(over, "left-over")
-        fitted = over.join(staged(new.select("leaf", "template").distinct(), "found"), "leaf").filter(enough)
-        fitted = fitted.groupBy("leaf", "mask").agg(F.max(F.struct(_agreement().alias("n"), "template")).alias("best")).select("leaf", "mask", "best.template")
-        fitted = staged(fitted, "fitted")
-        found = (new if found is None else found.unionByName(new)).unionByName(fitted)
-        left = over.join(fitted.select("leaf", "mask"), ["leaf", "mask"], "left_anti")
-        wide = left.groupBy("leaf").agg(F.sum("docs").alias("sum")).filter(F.col("sum") >= min_docs).select("leaf")
-        left = staged(left.join(staged(wide, "wide"), "leaf", "left_semi"), "left")
-        if left.isEmpty():
-            break
-    return new if found is None else found
+    belong to a template in ``min_docs`` documents: of their leaf, or of their part of
+    what is left of it."""
+    columns = ["leaf", "mask", "docs", "tokens"]
+    first, placed = _taken(distinct.withColumn("node", F.col("leaf")), held, min_docs, similarity)
+    first = staged(first, "members")
+    rest = placed.select(columns).join(first.select("leaf", "mask"), ["leaf", "mask"], "left_anti")
+    second, _ = _taken(_split(staged(rest, "rest"), min_docs), held, min_docs, similarity)
+    return first.unionByName(second)
 
 
 def recurring(docs: DataFrame, min_docs: int = MIN_DOCS, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
-    """(lines, recurrent): every parsed line (key, line, leaf, mask), and the
-    (leaf, mask, template) of those to be dropped."""
-    bodies = docs.select(*KEY, F.posexplode(F.split("text", "\n")).alias("line", "body"))
-    lines = staged(parsed(bodies).select(*KEY, "line", "leaf", "mask"), "lines")
+    """(lines, recurrent): the lines (key, line, leaf, mask) of leaves with enough
+    documents, and the (leaf, mask, template) of those to be dropped."""
+    bodies = leaves(docs.select(*KEY, F.posexplode(F.split("text", "\n")).alias("line", "body")))
+    common = staged(bodies.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_docs).select("leaf"), "leaves")
+    bits = bitmap_bits(common.count())
+    bodies = bodies.join(common, "leaf", "left_semi") if bits is None else thinned(bodies, "leaf", id_bitmap(common, "leaf", bits), bits)
+    lines = bodies.withColumn("masked", masked(F.col("body"))).select(*KEY, "line", "leaf", F.xxhash64("masked").alias("mask"), "masked")
+    lines = staged(lines, "lines")
     # A document may hold several lines of a leaf or mask; it counts once.
-    seen = lines.select(*KEY, "leaf", "mask").distinct()
+    seen = staged(lines.select(*KEY, "leaf", "mask").distinct(), "seen")
     busy = seen.select(*KEY, "leaf").distinct().groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_docs)
-    marks = seen.groupBy("leaf", "mask").agg(F.count(F.lit(1)).alias("docs"))
-    marks = staged(marks.join(staged(busy.select("leaf"), "busy"), "leaf", "left_semi"), "marks")
-    # One line per distinct mask of a busy leaf is read again for its tokens.
-    chosen = lines.join(marks, ["leaf", "mask"]).groupBy("leaf", "mask").agg(
-        F.min(F.struct(*KEY, "line")).alias("at"), F.first("docs").alias("docs")
-    )
-    chosen = chosen.select("at.*", "leaf", "mask", "docs").groupBy(*KEY).agg(F.collect_list(F.struct("line", "leaf", "mask", "docs")).alias("wanted"))
-    texts = docs.select(*KEY, "text").join(staged(chosen, "chosen"), KEY).dropDuplicates(KEY)
-    distinct = staged(
-        texts.select("wanted", F.split("text", "\n").alias("all")).select("all", F.explode("wanted").alias("w"))
-        .select("w.leaf", "w.mask", "w.docs", F.split(masked(F.element_at("all", F.col("w.line") + 1)), " ").alias("tokens")),
-        "distinct-lines",
-    )
-    rare = staged(seen.join(marks.filter(F.col("docs") < min_docs).select("leaf", "mask"), ["leaf", "mask"]), "rare")
-    member = staged(members(distinct, rare, min_docs, similarity), "members")
+    busy = staged(busy.select("leaf"), "busy")
+    marks = staged(seen.groupBy("leaf", "mask").agg(F.count(F.lit(1)).alias("docs")).join(busy, "leaf", "left_semi"), "marks")
+    texts = lines.groupBy("leaf", "mask").agg(F.min("masked").alias("masked"))
+    distinct = staged(marks.join(texts, ["leaf", "mask"]).select("leaf", "mask", "docs", F.split("masked", " ").alias("tokens")), "distinct-lines")
+    held = staged(seen.join(marks.filter(F.col("docs") < min_docs).select("leaf", "mask"), ["leaf", "mask"]), "rare")
+    member = staged(members(distinct, held, min_docs, similarity), "members")
     decided = distinct.join(member, ["leaf", "mask"], "left").filter((F.col("docs") >= min_docs) | F.col("template").isNotNull())
-    return lines, decided.select("leaf", "mask", F.coalesce("template", "tokens").alias("template"))
+    return lines.drop("masked"), decided.select("leaf", "mask", F.coalesce("template", "tokens").alias("template"))
 
 
 def drop_recurring(docs: DataFrame, min_docs: int = MIN_DOCS, similarity: float = SIMILARITY) -> DataFrame:
@@ -190,14 +167,23 @@ def drop_recurring(docs: DataFrame, min_docs: int = MIN_DOCS, similarity: float
     lines, drop = recurring(rows, min_docs, similarity)
     drop = staged(drop.select("leaf", "mask"), "dropped")
     # Line numbers of one text: as many as the text has lines.
-    gone = lines.join(drop, ["leaf", "mask"]).groupBy(*KEY).agg(F.collect_set("line").alias("gone"))
-    met = rows.join(staged(gone, "gone"), KEY, "left").withColumn("gone", F.coalesce("gone", F.array().cast("array<int>")))
-    parts = F.split("text", "\n")
-    kept = F.filter(parts, lambda _, i: ~F.array_contains(F.col("gone"), i))
-    return met.select(
-        "row", F.coalesce(F.size(parts), F.lit(0)).cast("long").alias("n_lines"),
-        F.size("gone").cast("long").alias("n_dropped"), F.array_join(kept, "\n").alias("clean_text"),
-    ).select("row.*", "n_lines", "n_dropped", "clean_text")
+    gone = staged(lines.join(drop, ["leaf", "mask"]).groupBy(*KEY).agg(F.collect_set("line").alias("gone")), "gone")
+    every = F.coalesce(F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"), F.lit(""))) + 1, F.lit(0)).cast("long")
+    rows = rows.withColumn("n_lines", every)
+    bits = bitmap_bits(gone.count())
+    if bits is None:
+        marked = rows.select(F.struct(*rows.columns).alias("row"), F.lit(True).alias("hit"))
+    else:
+        ids = staged(gone.select("k1").distinct(), "gone-ids")
+        marked = flagged(rows, "k1", id_bitmap(ids, "k1", bits), bits)
+    whole = marked.filter("NOT hit").select("row.*").select("row", "n_lines", F.lit(0).cast("long").alias("n_dropped"), F.col("text").alias("clean_text"))
+    # Split below the join, so that each line is found in the list in one step.
+    hit = marked.filter("hit").select("row.*").withColumn("parts", F.split("text", "\n")).drop("text")
+    met = hit.join(gone, KEY, "left").withColumn("gone", F.coalesce("gone", F.array().cast("array<int>")))
+    stay = F.array_except(F.sequence(F.lit(0), F.size("parts") - 1), "gone")
+    kept = F.when(F.col("parts").isNotNull(), F.array_join(F.transform(stay, lambda i: F.element_at("parts", i + 1)), "\n"))
+    cut = met.select("row", "n_lines", F.size("gone").cast("long").alias("n_dropped"), kept.alias("clean_text"))
+    return whole.unionByName(cut).select("row.*", "n_lines", "n_dropped", "clean_text")
 
 
 def op5_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:

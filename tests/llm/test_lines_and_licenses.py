@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -29,18 +30,35 @@ def brute_lines(rows, min_docs=T.MIN_DOCS, similarity=T.SIMILARITY):
     for leaf, masks in leaves.items():
         if len(leaf_docs[leaf]) < min_docs:
             continue
-        template = []
+        drop |= {m for m in masks if len(docs_of[m]) >= min_docs}
+
+        def take(group):
+            template = []
+            for i in range(leaf[0]):
+                votes = Counter()
+                for m in group:
+                    votes[m[i]] += len(docs_of[m])
+                top = max((n, t) for t, n in votes.items())
+                template.append(top[1] if 2 * top[0] >= sum(votes.values()) else "<*>")
+            fits = [m for m in group if sum(a == b for a, b in zip(m, template)) >= similarity * leaf[0]]
+            return fits if fits and len(set().union(*(docs_of[m] for m in fits))) >= min_docs else []
+
+        first = take(masks)
+        drop |= set(first)
+        rest = [m for m in masks if m not in set(first)]
+        places = []
         for i in range(leaf[0]):
             votes = Counter()
-            for m in masks:
+            for m in rest:
                 votes[m[i]] += len(docs_of[m])
-            top = max((n, t) for t, n in votes.items())
-            template.append(top[1] if 2 * top[0] >= sum(votes.values()) else "<*>")
-        fits = [m for m in masks if sum(a == b for a, b in zip(m, template)) >= similarity * leaf[0]]
-        together = set().union(*(docs_of[m] for m in fits)) if fits else set()
-        drop |= {m for m in masks if len(docs_of[m]) >= min_docs}
-        if len(together) >= min_docs:
-            drop |= set(fits)
+            if len(votes) > 1 and max(votes.values()) >= min_docs:
+                places.append((len(votes), i))
+        if places:
+            groups = defaultdict(list)
+            for m in rest:
+                groups[m[min(places)[1]]].append(m)
+            for group in groups.values():
+                drop |= set(take(group))
     out = []
     for doc_id, text in rows:
         if text is None:
@@ -104,6 +122,33 @@ def test_a_common_field_value_does_not_hide_templates(spark):
     assert all(r[2] == 1 for r in lines_of(spark, docs))
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_random_leaves_equal_brute_force(spark, seed):
+    """Few leaves with many lines: majority templates, split groups and rare lines."""
+    rng = random.Random(seed)
+    rows = []
+    for i in range(300):
+        lines = []
+        for _ in range(rng.randrange(6)):
+            form = [["job", "alpha", "has"], ["job", "beta", "has"], ["a", "b", "c"]][rng.randrange(3)]
+            tail = [rng.choice("pqrstu") if rng.random() < 0.5 else rng.choice(["ended", "begun", "x7", "zz"]) for _ in range(rng.randrange(3, 6))]
+            lines.append(rng.choice(["", " ", "\t"]) + rng.choice([" ", "  "]).join(form + tail))
+        rows.append((i, "\n".join(lines) if i % 50 else None))
+    rows += rows[:20]
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], DOCS)
+    got, want = lines_of(spark, docs), brute_lines(rows)
+    assert got == want and 0 < sum(r[2] for r in want) < sum(r[1] for r in want)
+
+
+def test_many_lines_in_one_text(spark):
+    """Removal is linear in the lines of a text."""
+    long = "\n".join("read more here" if i % 2 else f"line {'abcdefghij'[i % 10] * (1 + i // 10)}" for i in range(30_000))
+    texts = [long] + ["read more here"] * 5
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in enumerate(texts)], DOCS)
+    got = {r[0]: (r[1], r[2]) for r in lines_of(spark, docs)}
+    assert got[0] == (30_000, 15_000) and got[1] == (1, 1)
+
+
 def test_line_odd_rows(spark):
     docs = odd_docs(spark)
     out = T.drop_recurring(docs)
