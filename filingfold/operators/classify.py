@@ -132,10 +132,13 @@ def _facts_by_bucket(reg: Register, eligible: DataFrame, cfg: Config) -> DataFra
     return found.join(facts, "appln_id", "left")
 
 
-def first_filings(reg: Register, cfg: Config) -> DataFrame:
-    """C1: the first-filing table (one row per application x person in own role)."""
+def first_filings(reg: Register, cfg: Config, only: DataFrame | None = None) -> DataFrame:
+    """C1: the first-filing table (one row per application x person in own role).
+    ``only``: a written table of the applications (appln_id) to look at."""
     rank = F.col("rank")
     eligible = eligible_applications(reg, cfg)
+    if only is not None:
+        eligible = eligible.join(only, "appln_id", "left_semi")
     if reg.layout is None:
         typed = eligible.join(application_facts(reg, cfg), "appln_id", "left")
     else:
