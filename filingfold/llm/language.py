@@ -266,23 +266,26 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(docs: DataFrame, limit: int = TRAIN_DOCS) -> dict:
-    """Fit on at most ``limit`` documents of each language outside the held-out fold."""
+    """Fit on at most ``limit`` different texts of each language outside the held-out fold."""
     rows = docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (crc_fold(FOLDS) != HELD_OUT))
-    rows = rows.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
-    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(MAX_LANGS + 1)
-    sizes = {r["lang"]: r["n"] for r in counts.collect()}
+    rows = rows.select(F.xxhash64("doc_id", "text").alias("h"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
+    counts = rows.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).limit(MAX_LANGS + 1)
+    sizes = {r["lang"]: max(1, r["n"]) for r in counts.collect()}
     if len(sizes) > MAX_LANGS:
         raise ValueError(f"more than {MAX_LANGS} languages")
     if not sizes:
         return fit([])
     spark = docs.sparkSession
     share = spark.createDataFrame([(x, min(1.0, 3.0 * limit / n)) for x, n in sizes.items()], "lang string, share double")
-    dice = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003))
-    # About three times the limit of each language is ranked, whatever the input's size.
-    some = rows.select("doc_id", "lang").join(F.broadcast(share), "lang").filter(dice < F.col("share") * 1_000_003)
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = some.withColumn("rank", rank).filter(F.col("rank") <= limit).select("doc_id", "lang").distinct()
-    texts = rows.join(F.broadcast(chosen), ["doc_id", "lang"]).mapInArrow(_segments, "lang string, segment string")
+    # About three times the limit of each language's different texts is ranked, whatever
+    # the input's size; hashes are even, so the least ones are a draw.
+    dice = F.shiftrightunsigned("h", 11) / F.lit(float(1 << 53))
+    some = rows.select("h", "lang").join(F.broadcast(share), "lang").filter(dice < F.col("share")).select("h", "lang").distinct()
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.shiftrightunsigned("h", 11), "h"))
+    chosen = some.withColumn("rank", rank).filter(F.col("rank") <= limit).select("h", "lang")
+    # Rows that repeat a doc_id and text are one: at most ``limit`` texts of a language go on.
+    once = rows.join(F.broadcast(chosen), ["h", "lang"]).groupBy("h", "lang").agg(F.min("text").alias("text"))
+    texts = once.mapInArrow(_segments, "lang string, segment string")
     got = texts.orderBy("lang", "segment").collect()  # at most limit * SEGMENTS rows of each language
     return fit([(r["lang"], r["segment"]) for r in got])
 

@@ -9,13 +9,15 @@ real clean text, with look-alikes (dates, versions, prices) as negatives.
 
 Texts of any length are cut into overlapping windows: ``CORE`` characters are decided
 by each window, ``PAD`` on both sides give context.  Windows are decoded by Viterbi;
-those where "none" throughout provably wins are not decoded (the same result).  The
-decided parts are joined to one label sequence per text, so a span over a window's
+those where "none" throughout provably wins are not decoded (the same result).  Every
+kind needs a digit, an @ or an at spelled out before a dotted name (``SIGN``), so only
+windows that see one of these run through the model; the others are "none".  The decided
+parts are joined to one label sequence per text, so a span over a window's
 edge is one span.  A model span counts if its mean posterior is at least ``SURE``, it
 has ``SHORTEST`` characters, it passes ``plausible``, and no base span overlaps it.
 
-Training reads at most ``TRAIN_DOCS`` texts (by a hash of doc_id) and ``WINDOWS``
-windows of each; labelling reads every character of every text on the executors.
+Training reads at most ``TRAIN_DOCS`` different texts (by a hash of doc_id and text) and
+``WINDOWS`` windows of each; labelling reads every character of every text on the executors.
 
 Defined cases: a null or empty text has no spans; offsets are code points, ends
 exclusive; repeated rows have the same spans; without any training text the model is
@@ -49,6 +51,8 @@ LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz012
 IP = re.compile(r"(?<![0-9])([0-9]++)\.([0-9]++)\.([0-9]++)\.([0-9]++)")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+#: What no span is without.
+SIGN = re.compile(r"[0-9@]++|\W(?:at|AT)\W\s*+[A-Za-z0-9-]++\.")
 
 
 def luhn(digits: str) -> bool:
@@ -388,8 +392,13 @@ def model_spans(m: dict, texts: list[str]) -> list[list[tuple[int, int, int]]]:
     """(start, kind, end) of the model for each text, from windows of all of them."""
     codes = [classes(t) for t in texts]
     owner, begin = [], []
-    for i, c in enumerate(codes):
+    for i, (text, c) in enumerate(zip(texts, codes, strict=True)):
         starts = np.arange(0, len(c), CORE)
+        seen = np.zeros(len(starts) + 1, np.int64)  # windows that see a sign
+        for m_ in SIGN.finditer(text):
+            seen[max(0, m_.start() - PAD) // CORE] += 1
+            seen[min(len(starts), (m_.end() - 1 + PAD) // CORE + 1)] -= 1
+        starts = starts[np.cumsum(seen[:-1]) > 0]
         begin.append(starts)
         owner.append(np.full(len(starts), i))
     owner, begin = np.concatenate(owner), np.concatenate(begin)
@@ -462,11 +471,13 @@ def _train_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 def train(docs: DataFrame, limit: int = TRAIN_DOCS) -> dict:
     """Fit on windows of at most ``limit`` texts, half of them with an @ or a digit."""
-    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).filter("text <> ''")
-    marks = texts.select("doc_id", (F.contains("text", F.lit("@")) | F.col("text").rlike("[0-9]{3}")).alias("marked"))
-    half = lambda on: marks.filter(F.col("marked") == on).select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit // 2)
+    texts = docs.select(F.col("text").cast("string").alias("text"), F.xxhash64("doc_id", "text").alias("h")).filter("text <> ''")
+    marks = texts.select("h", (F.contains("text", F.lit("@")) | F.col("text").rlike("[0-9]{3}")).alias("marked"))
+    half = lambda on: marks.filter(F.col("marked") == on).select("h").distinct().orderBy("h").limit(limit // 2)
     chosen = half(True).unionByName(half(False))
-    got = texts.join(F.broadcast(chosen), "doc_id").select("text").mapInArrow(
+    # Rows that repeat a doc_id and text are one: at most ``limit`` texts go on.
+    once = texts.join(F.broadcast(chosen), "h").groupBy("h").agg(F.min("text").alias("text"))
+    got = once.select("text").mapInArrow(
         _train_windows, "text string, starts array<long>, kinds array<long>, ends array<long>"
     ).orderBy("text").collect()  # at most limit * WINDOWS short windows
     return fit([(r["text"], list(zip(r["starts"], r["kinds"], r["ends"], strict=True))) for r in got])

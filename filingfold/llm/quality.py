@@ -195,8 +195,10 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_DOCS) -> dict:
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
     )
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = texts.join(F.broadcast(marked), "doc_id").mapInArrow(_bags, "doc_id long, quality int, bag array<float>").toPandas()  # at most ``limit`` ids
-    rows = rows.sort_values("doc_id", kind="stable").drop_duplicates("doc_id")
+    # Of rows that repeat a doc_id one text goes on: at most ``limit`` in all.
+    once = texts.join(F.broadcast(marked), "doc_id").groupBy("doc_id", "quality").agg(F.min("text").alias("text"))
+    rows = once.mapInArrow(_bags, "doc_id long, quality int, bag array<float>").toPandas()
+    rows = rows.sort_values("doc_id", kind="stable")
     bags = [np.asarray(b, np.float32).reshape(-1, N_FEATURES) for b in rows["bag"]]
     return fit(bags, rows["quality"].to_numpy(float))
 

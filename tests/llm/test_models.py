@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import itertools
 import re
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -215,3 +216,40 @@ def test_pii_odd_rows(spark):
         assert [(s.start, P.KINDS.index(s.kind), s.end) for s in r.pii if s.base] == naive(r.text or "")
     assert P.with_spans(empty_docs(spark), model).count() == 0
     assert set(P.train(empty_docs(spark))) == set(model)
+
+
+def test_training_reads_a_bounded_number_of_texts(spark, monkeypatch):
+    """One doc_id on 5,000 rows, with different and with equal texts."""
+    seen = {}
+    for module, count in ((G, lambda got: len(got)), (P, lambda got: len(got)), (Q, lambda got, y: len(got))):
+        monkeypatch.setattr(module, "fit", lambda *a, m=module, c=count, f=module.fit, **k: (seen.setdefault(m, c(*a)), f(*a, **k))[1])
+    one = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 4 != 2 and zlib.crc32(str(i).encode()) % 5)
+    word = lambda i: "".join("abcdefghij"[int(c)] for c in str(i))
+    rows = [(one, f"the house of {word(i)} is old and the river is near 555" * 8, "en", None, None) for i in range(2500)]
+    rows += [(one, "the same words again and again", "en", None, None)] * 2500
+    docs = spark.createDataFrame(rows, DOCS)
+    model = G.train(docs, limit=50)
+    assert seen[G] <= 50 * G.SEGMENTS and model["langs"] == ["en"]
+    same = spark.createDataFrame(rows[-200:], DOCS)
+    assert G.train(same, limit=5)["langs"] == ["en"]
+    P.train(docs, limit=20)
+    assert 0 < seen[P] <= 20 * P.WINDOWS
+    Q.train(docs, labels(spark, [(one, 1, 0)]), limit=10)
+    assert seen[Q] == 1
+
+
+def test_the_model_finds_what_the_rules_miss(spark):
+    """Phones without country code and spelled-out addresses, set into clean text."""
+    docs = spark.read.parquet(f"{SF01}/documents.parquet")
+    model = P.train(docs)
+    clean = [r.text for r in docs.filter("length(text) > 400").orderBy("doc_id").limit(300).collect() if not P.base_spans(r.text) and not re.search("[0-9@]", r.text)]
+    planted, n = [], 0
+    for i, text in enumerate(clean[:100]):
+        at = text.find(" ", 150)
+        planted.append(f"{text[:at]} {['(212) 555-0134', 'jane.doe(at)example.org', '(647) 203-7781'][i % 3]} {text[at + 1 :]}")
+    found = P.model_spans(model, planted)
+    hits = sum(any(s[0] <= 152 + 200 and s[1] in (0, 3) for s in spans) for spans in found)
+    false = sum(map(len, P.model_spans(model, clean)))
+    assert len(planted) >= 50 and hits >= 0.8 * len(planted), (hits, len(planted))
+    assert false <= 0.02 * len(clean), (false, len(clean))
+    assert all(not P.base_spans(t) for t in planted)
