@@ -632,6 +632,9 @@ def oracle_queries() -> dict[str, str]:
     out["direct_other_locations"] = _with(li, f"SELECT {_exact_as_double(_LEAN)} FROM other_li")
     for key, n in (("earliest_equivalent_location", 2), ("earliest_other_location", 3), ("earliest_equivalent_location_other_role", 5), ("earliest_other_location_other_role", 6)):
         out[key] = _with(li, f"SELECT {_exact_as_double(_BEST_LOCATION)} FROM best{n}_li")
+    # Other ways to the same tables.
+    out["impute_country_laid_out"] = out["refresh_country"] = out["impute_country_inv"]
+    out["geocode_from_binary"] = out["geocode_admin"]
     return out
 
 

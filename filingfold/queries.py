@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,10 +38,13 @@ from .operators.select import (
 )
 from .plans.country import impute_country, office_fallback
 from .plans.location import GEOC_OUTPUT, enrich_locations, flat_geometry, impute_location, location_table
+from .plans.refresh import refresh_country, write_country_table
 from .session import cut_lineage, ensure_checkpoint_dir
 from .sources.fixtures import fixture_inputs
+from .sources.layout import lay_out
 from .sources.schemas import ADMIN_NAME_COLUMNS
 from .sources.sinks import export_csv, read_export
+from .sources.wkb import with_rings, wkb_from_rings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -128,6 +132,28 @@ def _export_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_export(spark, path, table.schema)
 
 
+def _impute_laid_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The inventor country table over the register in buckets."""
+    return impute_country(lay_out(_reg(spark, sf_dir)), COUNTRY_INV, with_lastupdate=False)
+
+
+def _refresh_country(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The inventor country table of an older edition, brought to the present one.  The
+    older edition lacks some links and person rows, has other dates and person codes."""
+    new = _reg(spark, sf_dir)
+    some = lambda df, n: F.pmod(F.xxhash64(*df.columns), F.lit(n)) == 0
+    date = F.when(some(new.appln, 200), F.date_sub("appln_filing_date", 30)).otherwise(F.col("appln_filing_date"))
+    code = F.when(some(new.person, 100), F.lit("")).otherwise(F.col("person_ctry_code"))
+    old = replace(
+        new, appln=new.appln.withColumn("appln_filing_date", date), person=new.person.withColumn("person_ctry_code", code),
+        prior=new.prior.filter(~some(new.prior, 150)), pers_appln=new.pers_appln.filter(~some(new.pers_appln, 300)),
+    )
+    path = f"{ensure_checkpoint_dir(spark)}/edition-{uuid.uuid4().hex}"
+    write_country_table(impute_country(old, COUNTRY_INV), path, 16)
+    refresh_country(old, new, COUNTRY_INV, path, 16)
+    return spark.read.parquet(path).drop("part", "lastupdate")
+
+
 def _country_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     codes = _reg(spark, sf_dir).person.select(F.col("person_ctry_code").alias("ctry_code")).distinct()
     return codes.withColumn("country", country_label("ctry_code"))
@@ -140,6 +166,13 @@ def _geocode_admin(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _geocode_from_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``geocode_admin`` with the polygons in a database's geometry column."""
+    loc = fixture_inputs(spark, sf_dir)[1]
+    stored = cut_lineage(loc.admin_levels.withColumn("geom", wkb_from_rings("rings", 4326)).drop("rings"))
+    return attach_admin(loc.addresses, admin_of_points(loc.addresses, with_rings(stored))).select("location_id", *ADMIN_NAME_COLUMNS)
+
+
 def _project_metres(spark: SparkSession, sf_dir: str) -> DataFrame:
     loc = fixture_inputs(spark, sf_dir)[1]
     return flat_geometry(with_geometry(loc.addresses)).select("location_id", "geom_x", "geom_y", "geom_m_x", "geom_m_y")
@@ -264,4 +297,7 @@ QUERIES: dict[str, Query] = {
     "earliest_equivalent_other_role_app": _earliest_other_role(EQUIVALENT, COUNTRY_APP),
     "earliest_other_other_role_app": _earliest_other_role(OTHER, COUNTRY_APP),
     "export_csv": _export_csv,
+    "impute_country_laid_out": _impute_laid_out,
+    "refresh_country": _refresh_country,
+    "geocode_from_binary": _geocode_from_binary,
 }
