@@ -4,12 +4,12 @@ A block is a run of as many consecutive words as the template has (fewer only at
 end of a text).  It matches when it holds at least ``threshold`` of the template's
 distinct words.  Tokens are ordered by their frequency over all documents; a block
 that reaches the threshold must hold one of the template's rarest
-``|T| - ceil(threshold |T|) + 1`` tokens (prefix filter), which also bounds the rank
-such a token may have (positional filter), and must have enough words (length
-filter).  So only blocks around prefix tokens are looked at, and every matching block
-is found.  The filters run inside the scan: templates are a short list of literals,
-rows are never shuffled, and a row's result depends on that row and the token
-frequencies alone.
+``|T| - ceil(threshold |T|) + 1`` tokens (prefix filter).  So only blocks around prefix
+tokens are looked at, and every matching block is found.  Blocks are as long as their
+template, and the rank of a prefix token leaves enough tokens behind it by construction, so
+a length and a positional filter exclude nothing further.  The filter runs inside the
+scan: templates are a short list of literals, rows are never shuffled, and a row's result
+depends on that row and the token frequencies alone.
 
 The base phrases are templates that must stand word for word; the others match by
 containment.  Words are runs of ASCII letters and digits (A-Z lower-cased) and of

@@ -6,15 +6,17 @@
    words each, more where that would give over ``MAX_BLOCKS`` blocks in all.  The
    block table (words per source and block) is therefore bounded at every input
    size, and only it and the source table reach the driver.
-3. Quotas.  A source's draws are a prefix of its permuted block list, permuted anew
-   for each repetition; the prefix holds the target up to a part of one block.
+3. Quotas.  A source's draws are the blocks of its permuted block list, permuted anew
+   for each repetition, that still fit the target when their turn comes; a part of the
+   first that does not fit fills the rest.
 4. Tree.  The vector of block quotas is split between the two halves of the output
    shards by one multivariate-hypergeometric draw, and so on down to single shards:
    each shard gets an exact number of blocks, in a mix that is distributed as if all
    draws were shuffled and dealt.  Shards take disjoint runs of the permuted lists.
 5. Rows.  Documents meet the (bounded, broadcast) draw table by block; the last,
    partial block of a source gives documents in shuffled order as far as they fit,
-   then its shortest others that fit the rest.  ``mix`` then shuffles each output shard locally by a hash.
+   then its shortest others that fit the rest, then again from the shortest, up to the
+   repeats that the block has left.  ``mix`` then shuffles each output shard locally by a hash.
 
 Everything follows from ``seed`` and the rows, so reruns agree.
 
@@ -81,31 +83,35 @@ def draw_plan(blocks: pd.DataFrame, sources: pd.DataFrame, shards: int, seed: in
     order; ``blocks`` has source index ``s``, ``block`` and ``words``."""
     rng = np.random.default_rng(seed)
     by_source = {s: part for s, part in blocks.groupby("s")}
-    orders, quotas, rest = [], [], []
+    taken, parts, ids_of = [], [], []
     for s, row in enumerate(sources.itertuples()):
         part = by_source.get(s)
         ids = part["block"].to_numpy() if part is not None else np.zeros(0, np.int64)
         words = part["words"].to_numpy() if part is not None else np.zeros(0, np.int64)
-        turns = [rng.permutation(len(ids)) for _ in range(MAX_REPEATS)]
-        order = np.concatenate(turns).astype(np.int64) if len(ids) else np.zeros(0, np.int64)
-        upto = np.cumsum(words[order])
-        quota = int(np.searchsorted(upto, row.target + 1e-6, side="right")) if row.target > 0 else 0
-        orders.append((ids, order))
-        quotas.append(quota)
-        rest.append(row.target - (upto[quota - 1] if quota else 0))
-    leaves = split_quotas(np.array(quotas, np.int64), shards, rng)
+        order = np.concatenate([np.zeros(0, np.int64), *[rng.permutation(len(ids)) for _ in range(MAX_REPEATS)]]).astype(np.int64)
+        own, first, left = [], -1, row.target + 1e-6
+        for at, size in zip(order.tolist(), words[order].tolist(), strict=True):
+            if size <= left:
+                own.append(at)
+                left -= size
+            elif first < 0:
+                first = at
+        ids_of.append(ids)
+        taken.append(own if row.target > 0 else [])
+        parts.append((first, left) if row.target > 0 and left > 1e-6 else (-1, 0.0))
+    leaves = split_quotas(np.array([len(t) for t in taken], np.int64), shards, rng)
     out = []
     for s, row in enumerate(sources.itertuples()):
-        ids, order = orders[s]
+        ids = ids_of[s]
         drawn: dict[int, list[int]] = {}
-        for shard, at in zip(np.repeat(np.arange(shards), leaves[:, s]), order[: quotas[s]], strict=True):
-            drawn.setdefault(int(at), []).append(int(shard))
-        part = int(order[quotas[s]]) if quotas[s] < len(order) and rest[s] > 0 else -1
+        for shard, at in zip(np.repeat(np.arange(shards), leaves[:, s]), taken[s], strict=True):
+            drawn.setdefault(at, []).append(int(shard))
+        part, rest = parts[s]
         part_shard = int(rng.integers(shards))
         for i, block in enumerate(ids):
             out.append((
                 row.source, int(row.source_size), float(row.target), int(row.n_blocks), int(block), drawn.get(i, []),
-                float(rest[s]) if i == part else None, part_shard if i == part else None,
+                float(rest) if i == part else None, part_shard if i == part else None,
             ))
     return out
 
@@ -161,7 +167,16 @@ def drawn(docs: DataFrame, weights=WEIGHTS, shards: int = OUT_SHARDS, seed: int
     partial = partial.withColumn("rest", F.col("part_words") - F.coalesce(F.max(F.when(F.col("first"), F.col("upto"))).over(group), F.lit(0)))
     partial = partial.withColumn("upto", F.sum(F.when(F.col("first"), 0).otherwise(F.col("size"))).over(upto("size", "doc_id", "_crc")))
     more = (F.col("first") | (F.col("upto") <= F.col("rest"))) & (F.col("size") > 0)
-    partial = partial.withColumn("taken_by", F.when(more, F.array_append("shards", F.col("part_shard"))).otherwise(F.col("shards")))
+    # Once more from the shortest, turn by turn, up to the block's repeats: the shortest that
+    # fit, ``turn`` words together, are taken j times where j turns before them fit as well.
+    partial = partial.withColumn("once", more.cast("int"))
+    partial = partial.withColumn("rest", F.col("part_words") - F.sum(F.col("once") * F.col("size")).over(group))
+    partial = partial.withColumn("upto", F.sum("size").over(upto("size", "doc_id", "_crc")))
+    partial = partial.withColumn("fits", (F.col("size") > 0) & (F.col("upto") <= F.col("rest")))
+    partial = partial.withColumn("turn", F.max(F.when(F.col("fits"), F.col("upto"))).over(group))
+    again = F.least(F.lit(MAX_REPEATS - 1) - F.size("shards"), F.floor((F.col("rest") - F.col("upto")) / F.col("turn")).cast("int") + 1)
+    copies = F.col("once") + F.when(F.col("fits"), again).otherwise(0)
+    partial = partial.withColumn("taken_by", F.concat("shards", F.array_repeat("part_shard", copies)))
     columns = ["row", "doc_id", "size", "source_size", "target", "taken_by"]
     return whole.select(columns).unionByName(partial.select(columns))
 

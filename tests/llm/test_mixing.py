@@ -2,9 +2,10 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from filingfold.llm import mixing as X
-from tests.llm.helpers import SF, empty_docs, odd_docs, odd_rows
+from tests.llm.helpers import DOCS, SF, empty_docs, odd_docs, odd_rows
 
 
 def test_targets_stop_at_three_times_and_share_the_rest():
@@ -69,3 +70,24 @@ def test_too_many_sources_is_an_error(spark, monkeypatch):
     monkeypatch.setattr(X, "MAX_SOURCES", 2)
     with pytest.raises(ValueError):
         X.mix(odd_docs(spark))
+
+
+def test_a_long_text_does_not_starve_its_source(spark):
+    """20 texts of 10 words and one of 6,000 under a target of 5,464: the short ones are
+    taken three times each."""
+    rows = [(i, " ".join(["w"] * 10), "en", "a", None) for i in range(20)] + [(20, " ".join(["w"] * 6000), "en", "a", None)]
+    rows += [(100 + i, " ".join(["x"] * 10), "en", "b", None) for i in range(145)]
+    out = X.drawn(spark.createDataFrame(rows, DOCS)).select("doc_id", "size", "target", F.size("taken_by").alias("n")).collect()
+    a = [r for r in out if r.doc_id <= 20]
+    assert 600 <= a[0].target < 6000 and max(r.n for r in out) <= X.MAX_REPEATS
+    assert sum(r.size * r.n for r in a) == 600
+
+
+def test_blocks_behind_one_that_does_not_fit_are_taken():
+    import pandas as pd
+
+    blocks = pd.DataFrame({"s": [0] * 6, "block": range(6), "words": [900, 10, 10, 10, 10, 10]})
+    sources = pd.DataFrame({"source": ["a"], "source_size": [950], "target": [120.0], "n_blocks": [6]})
+    for seed in range(20):
+        plan = X.draw_plan(blocks, sources, 4, seed)
+        assert sum(len(r[5]) * w for r, w in zip(plan, blocks["words"], strict=True)) == 120
