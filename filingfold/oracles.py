@@ -635,6 +635,8 @@ def oracle_queries() -> dict[str, str]:
     # Other ways to the same tables.
     out["impute_country_laid_out"] = out["refresh_country"] = out["impute_country_inv"]
     out["geocode_from_binary"] = out["geocode_admin"]
+    stamped = _COUNTRY.replace("country", "TIMESTAMP '2024-02-29 12:34:56' AS lastupdate, country")
+    out["impute_country_stamped"] = _with(_country_ctes(COUNTRY_APP, "ca"), f"SELECT {stamped} FROM country_ca")
     return out
 
 

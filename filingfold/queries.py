@@ -137,6 +137,12 @@ def _impute_laid_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     return impute_country(lay_out(_reg(spark, sf_dir)), COUNTRY_INV, with_lastupdate=False)
 
 
+def _country_stamped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The applicant country table as it is written, stamped with a given time."""
+    clock = F.lit("2024-02-29 12:34:56").cast("timestamp_ntz")
+    return impute_country(_reg(spark, sf_dir), COUNTRY_APP, clock=clock)
+
+
 def _refresh_country(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The inventor country table of an older edition, brought to the present one.  The
     older edition lacks some links and person rows, has other dates and person codes."""
@@ -299,5 +305,6 @@ QUERIES: dict[str, Query] = {
     "export_csv": _export_csv,
     "impute_country_laid_out": _impute_laid_out,
     "refresh_country": _refresh_country,
+    "impute_country_stamped": _country_stamped,
     "geocode_from_binary": _geocode_from_binary,
 }
