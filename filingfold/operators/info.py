@@ -1,14 +1,19 @@
 """C2 country code of each person and C4 location union.
 
-Location rows are *lean*: they carry (lat, lng, lat_exact, lng_exact,
-coord_source).  Administrative names and geometry are functions of the exact
-point and are attached once, after the waterfall (``operators.geocode``), instead
-of being dragged through every join and DISTINCT.
+Location rows are ids.  ``address_ids`` numbers the address table's distinct points
+(the coordinates and their source) and spots (address text, data source, point), so the
+joins and DISTINCTs of C4 and of the waterfall carry longs.  An address text is known by
+a 128-bit key made in the scan; texts are shuffled once, to see whether two of them share
+a key, and rows of such a key carry their text beside it.  Coordinates, administrative
+names and geometry are attached once, after the waterfall.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import ROLE_APP, ROLE_INV
@@ -25,12 +30,14 @@ from ..constants import (
     PCT_RELATIONS_INV_ANY_SOURCE,
     PCT_RELATIONS_INV_WITH_SOURCE,
 )
+from ..session import cut_lineage
 from ..sources.register import LocationInputs, Register
+from ..sources.schemas import LEAN_LOCATION_COLUMNS
 
 LOCATION_ROW_COLUMNS = (
     "appln_id", "person_id", "lng_exact", "lat_exact", "lng", "lat", "data_source", "coord_source",
 )
-_PAYLOAD = ("lng_exact", "lat_exact", "lng", "lat", "data_source", "coord_source")
+LOCATION_IDS = ("spot_id", "point_id", "located")
 
 
 def _seq(role: str) -> str:
@@ -52,15 +59,88 @@ def person_codes(reg: Register) -> DataFrame:
     return reg.person.select("person_id", F.col("person_ctry_code").alias("ctry_code")).distinct()
 
 
-def location_rows(reg: Register, loc: LocationInputs) -> DataFrame:
-    """C4 for both roles in one plan: the rows of the inventor and applicant location
-    tables, tagged with ``role`` ('inv' / 'app').  A source row that qualifies for
+# ------------------------------------------------------------------ address dictionary
+
+
+def text_key(text: Column) -> tuple[Column, Column]:
+    """128-bit key of a text; NULL for NULL, which no join on it matches."""
+    return F.when(text.isNotNull(), F.xxhash64(text)), F.when(text.isNotNull(), F.xxhash64(F.lit(1), text))
+
+
+@dataclass(frozen=True)
+class AddressIds:
+    """The address table by ids, all written.  ``entries``: location_id, data_source, the
+    text's key (``key`` columns), spot_id, point_id, located (has a latitude).  ``spots``:
+    spot_id, data_source, point_id.  ``points``: point_id and the lean columns.
+    ``texts``: the WIPO texts, appln_id, relation_type_id and the text's key."""
+
+    entries: DataFrame
+    spots: DataFrame
+    points: DataFrame
+    texts: DataFrame
+    key: tuple[str, ...]
+
+
+def numbered(df: DataFrame, name: str) -> DataFrame:
+    """``df`` with a distinct long per row, fixed by writing it."""
+    return cut_lineage(df.withColumn(name, F.monotonically_increasing_id()))
+
+
+def _with_id(df: DataFrame, ids: DataFrame, columns: tuple[str, ...], name: str) -> DataFrame:
+    """``name`` of each row's ``columns``; NULL equals NULL, as in a DISTINCT."""
+    other = ids.select(*[F.col(c).alias(f"_{c}") for c in columns], name)
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in columns]
+    return df.join(other, same).drop(*[f"_{c}" for c in columns])
+
+
+def address_ids(loc: LocationInputs, key_of: Callable[[Column], tuple[Column, Column]] = text_key) -> AddressIds:
+    """Number points and spots; key the texts of the address table and of WIPO."""
+    k1, k2 = key_of(F.col("unformattedaddress"))
+    addr = loc.addresses.select("location_id", "data_source", *LEAN_LOCATION_COLUMNS, k1.alias("k1"), k2.alias("k2"), "unformattedaddress")
+    k1, k2 = key_of(F.col("address_text"))
+    pct = loc.addresses_pct.select("appln_id", "relation_type_id", k1.alias("k1"), k2.alias("k2"), F.col("address_text"))
+    # The one exchange of texts: keys that stand for more than one of them.
+    every = addr.select("k1", "k2", F.col("unformattedaddress").alias("t")).unionByName(pct.select("k1", "k2", F.col("address_text").alias("t")))
+    shared = cut_lineage(
+        every.filter(F.col("t").isNotNull()).distinct()
+        .groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1).select("k1", "k2")
+    )
+    key: tuple[str, ...] = ("k1", "k2")
+    if not shared.isEmpty():
+        # Rows of a shared key are told apart by the text itself; others carry "".
+        marked = shared.withColumn("_shared", F.lit(True))
+        own = lambda c: F.when(F.col("_shared"), F.col(c)).otherwise(F.lit(""))
+        addr = addr.join(marked, ["k1", "k2"], "left").withColumn("k3", own("unformattedaddress"))
+        pct = pct.join(marked, ["k1", "k2"], "left").withColumn("k3", own("address_text"))
+        key = ("k1", "k2", "k3")
+    addr = addr.select("location_id", "data_source", *LEAN_LOCATION_COLUMNS, *key)
+
+    points = numbered(addr.select(*LEAN_LOCATION_COLUMNS).distinct(), "point_id")
+    located = F.col("lat").isNotNull().alias("located")
+    narrow = cut_lineage(
+        _with_id(addr, points, LEAN_LOCATION_COLUMNS, "point_id").select("location_id", "data_source", *key, "point_id", located)
+    )
+    parts = (*key, "data_source", "point_id")
+    spots = numbered(narrow.select(*parts).distinct(), "spot_id")
+    entries = cut_lineage(_with_id(narrow, spots, parts, "spot_id"))
+    texts = pct.select("appln_id", "relation_type_id", *key)
+    return AddressIds(entries, spots.select("spot_id", "data_source", "point_id"), points, texts, key)
+
+
+# ---------------------------------------------------------------------- location union
+
+
+def location_rows(reg: Register, loc: LocationInputs, ids: AddressIds | None = None) -> DataFrame:
+    """C4 for both roles in one plan, by ids: (role, appln_id, person_id, spot_id,
+    point_id, located) of the inventor and applicant location tables, tagged with
+    ``role`` ('inv' / 'app').  A source row that qualifies for
     both roles is emitted once per role; DISTINCT is taken within each branch and
     role, as the reference does per table.  Each input table is scanned and
     shuffled once for both roles.  Where the DISTINCT keys contain the join key (a
     person, an address text), an exchange by application lies between: the DISTINCT
     does not ride on the join's partitioning, so AQE may split a hot person or text."""
-    addr = loc.addresses
+    ids = ids or address_ids(loc)
+    addr = ids.entries
     person_id0 = F.lit(0).cast("long").alias("person_id")
 
     def roles(inv: F.Column, app: F.Column) -> F.Column:
@@ -72,12 +152,12 @@ def location_rows(reg: Register, loc: LocationInputs) -> DataFrame:
     )
     by_person = (
         addr.filter(F.col("data_source").isin(DS_PATSTAT, DS_USPTO))
+        .select("location_id", *LOCATION_IDS)
         .join(loc.person_location, "location_id")
         .join(persons, "person_id")
-        .select("role", "unformattedaddress", "appln_id", "person_id", *_PAYLOAD)
+        .select("role", "appln_id", "person_id", *LOCATION_IDS)
         .repartition("appln_id")
         .distinct()
-        .drop("unformattedaddress")
     )
 
     # WIPO addresses matched on the free text.  The reference writes
@@ -88,22 +168,25 @@ def location_rows(reg: Register, loc: LocationInputs) -> DataFrame:
     inv_text = (listed & (rel == PCT_RELATIONS_INV_WITH_SOURCE)) | rel.isin(*PCT_RELATIONS_INV_ANY_SOURCE)
     app_text = (listed & (rel == PCT_RELATIONS_APP_WITH_SOURCE)) | rel.isin(*PCT_RELATIONS_APP_ANY_SOURCE)
     by_text = (
-        addr.join(loc.addresses_pct, addr.unformattedaddress == loc.addresses_pct.address_text)
+        addr.select(*ids.key, "data_source", *LOCATION_IDS)
+        .join(ids.texts, list(ids.key))
         .filter(inv_text | app_text)
-        .select(roles(inv_text, app_text).alias("role"), "unformattedaddress", "appln_id", person_id0, *_PAYLOAD)
+        .select(roles(inv_text, app_text).alias("role"), "appln_id", person_id0, *LOCATION_IDS)
         .repartition("appln_id")
         .distinct()
-        .drop("unformattedaddress")
     )
 
     # Office mappings tag each row 'INV' or 'APP'.  The Chinese office is read for
-    # applicants only (a comment announces KR; the statement reads CN).
+    # applicants only (a comment announces KR; the statement reads CN).  Their DISTINCT
+    # leaves the text out: spots of one office and point are one row, any stands for it.
     def by_office(mapping: DataFrame, source: str, tags: tuple[str, ...]) -> DataFrame:
         return (
             addr.filter(F.col("data_source") == source)
+            .select("location_id", *LOCATION_IDS)
             .join(mapping.filter(F.col("app_inv").isin(*tags)), "location_id")
-            .select(F.lower(F.col("app_inv")).alias("role"), "appln_id", person_id0, *_PAYLOAD)
-            .distinct()
+            .groupBy(F.lower(F.col("app_inv")).alias("role"), "appln_id", "point_id", "located")
+            .agg(F.min("spot_id").alias("spot_id"))
+            .select("role", "appln_id", person_id0, *LOCATION_IDS)
         )
 
     branches = [
@@ -117,14 +200,17 @@ def location_rows(reg: Register, loc: LocationInputs) -> DataFrame:
     out = branches[0]
     for b in branches[1:]:
         out = out.unionByName(b)
-    return out.select("role", *LOCATION_ROW_COLUMNS)
+    return out
 
 
 def locations(reg: Register, loc: LocationInputs, role: str) -> DataFrame:
     """C4: geocoded locations of persons in ``role`` (the reference's five inventor
     or six applicant branches, appended)."""
-    return role_rows(location_rows(reg, loc), role)
+    ids = address_ids(loc)
+    rows = role_rows(location_rows(reg, loc, ids), role).select("appln_id", "person_id", "spot_id")
+    dictionary = cut_lineage(ids.spots.join(ids.points, "point_id").drop("point_id"))
+    return rows.join(dictionary, "spot_id").select(*LOCATION_ROW_COLUMNS)
 
 
 def role_rows(rows: DataFrame, role: str) -> DataFrame:
-    return rows.filter(F.col("role") == role).select(*LOCATION_ROW_COLUMNS)
+    return rows.filter(F.col("role") == role).drop("role")

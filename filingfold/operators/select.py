@@ -18,6 +18,7 @@ from ..config import Config
 from ..functions.predicates import nonempty
 from ..operators.info import country_codes, person_codes
 from ..sources.register import Register
+from ..sources.schemas import LEAN_LOCATION_COLUMNS
 
 EQUIVALENT = "equivalent"  # nb_priorities = 1
 OTHER = "other"  # nb_priorities > 1
@@ -116,22 +117,26 @@ def direct_other_codes(pf_apps: DataFrame, reg: Register, cfg: Config) -> DataFr
 
 # --------------------------------------------------------------- location information
 
-LEAN = ("lat", "lng", "lat_exact", "lng_exact", "coord_source")
+LEAN = LEAN_LOCATION_COLUMNS
 
 
-def located(locs: DataFrame) -> DataFrame:
-    return locs.filter(F.col("lat").isNotNull())
+#: A location row of the waterfall, by the id of its lean columns (``operators.info``).
+POINT = ("point_id",)
 
 
-def direct_own_locations(pf: DataFrame, own_locs: DataFrame) -> DataFrame:
+def located(locs: DataFrame, payload: tuple[str, ...] = LEAN) -> DataFrame:
+    return locs.filter(F.col("located") if payload == POINT else F.col("lat").isNotNull())
+
+
+def direct_own_locations(pf: DataFrame, own_locs: DataFrame, payload: tuple[str, ...] = LEAN) -> DataFrame:
     """Location source 1 rows: persons matched on (appln_id, person_id), plus the
     person-less (person_id = 0) locations matched on appln_id; each branch DISTINCT,
     then appended."""
-    locs = located(own_locs)
+    locs = located(own_locs, payload)
     by_person = (
         pf.select("appln_id", "person_id")
         .join(locs, ["appln_id", "person_id"])
-        .select("appln_id", "person_id", *LEAN)
+        .select("appln_id", "person_id", *payload)
         .distinct()
         .drop("person_id")
     )
@@ -139,17 +144,17 @@ def direct_own_locations(pf: DataFrame, own_locs: DataFrame) -> DataFrame:
         pf.select("appln_id")
         .distinct()
         .join(locs.filter(F.col("person_id") == 0), "appln_id")
-        .select("appln_id", *LEAN)
+        .select("appln_id", *payload)
         .distinct()
     )
     return by_person.unionByName(anonymous)
 
 
-def direct_other_locations(pf_apps: DataFrame, other_locs: DataFrame) -> DataFrame:
+def direct_other_locations(pf_apps: DataFrame, other_locs: DataFrame, payload: tuple[str, ...] = LEAN) -> DataFrame:
     """Location source 4 rows: distinct other-role locations of the first filing."""
-    return pf_apps.select("appln_id").join(located(other_locs), "appln_id").select("appln_id", *LEAN).distinct()
+    return pf_apps.select("appln_id").join(located(other_locs, payload), "appln_id").select("appln_id", *payload).distinct()
 
 
-def locations_by_subsequent(locs: DataFrame) -> DataFrame:
+def locations_by_subsequent(locs: DataFrame, payload: tuple[str, ...] = LEAN) -> DataFrame:
     """Location rows of a subsequent filing (all persons), as stored: sources 2, 3, 5, 6."""
-    return located(locs).select(F.col("appln_id").alias("subsequent_id"), *LEAN)
+    return located(locs, payload).select(F.col("appln_id").alias("subsequent_id"), *payload)

@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 from ..config import LOCATION_APP, LOCATION_INV, Config
 from ..operators.classify import first_filing_applications, first_filings
 from ..operators.geocode import admin_of_points, attach_admin, with_geometry
-from ..operators.info import location_rows, locations, role_rows
+from ..operators.info import address_ids, location_rows, locations, role_rows
 from ..operators.pool import subsequent_pool
 from ..operators.select import (
-    LEAN,
+    POINT,
     direct_other_locations,
     direct_own_locations,
     locations_by_subsequent,
@@ -44,17 +44,20 @@ def impute_location(reg: Register, loc: LocationInputs, cfg: Config) -> DataFram
     # Materialise the frames several branches read (see plans.country).
     pf = cut_lineage(first_filings(reg, cfg))
     pf_apps = cut_lineage(first_filing_applications(pf))
-    rows = cut_lineage(location_rows(reg, loc))  # both roles, one pass over the inputs
+    ids = address_ids(loc)
+    rows = cut_lineage(location_rows(reg, loc, ids))  # both roles, one pass over the inputs
     own = role_rows(rows, cfg.role)
     other = role_rows(rows, cfg.other_role)
     cands = Candidates(
-        own_direct=cut_lineage(direct_own_locations(pf, own)),
-        own_by_subsequent=locations_by_subsequent(own),
-        other_direct=direct_other_locations(pf_apps, other),
-        other_by_subsequent=locations_by_subsequent(other),
+        own_direct=cut_lineage(direct_own_locations(pf, own, POINT)),
+        own_by_subsequent=locations_by_subsequent(own, POINT),
+        other_direct=direct_other_locations(pf_apps, other, POINT),
+        other_by_subsequent=locations_by_subsequent(other, POINT),
     )
-    filled = fill(cut_lineage(subsequent_pool(reg, still_open(pf_apps, cands.own_direct))), cands, LEAN)
-    return enrich_locations(assemble(filled, pf_apps), loc).select(*GEOC_OUTPUT)
+    filled = fill(cut_lineage(subsequent_pool(reg, still_open(pf_apps, cands.own_direct))), cands, POINT)
+    # Coordinates, names and geometry are a table of the distinct points, joined last.
+    places = cut_lineage(attach_admin(ids.points, admin_of_points(ids.points, loc.admin_levels)))
+    return with_geometry(assemble(filled, pf_apps).join(places, "point_id")).select(*GEOC_OUTPUT)
 
 
 def impute_location_inv(reg: Register, loc: LocationInputs) -> DataFrame:
