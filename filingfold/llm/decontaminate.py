@@ -34,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from filingfold.llm.common import staged, table
@@ -176,6 +176,32 @@ def _windows(keys: list[str], wanted: Wanted | None, lengths: list[int] | None):
     return run
 
 
+def _candidates(found: DataFrame, one: DataFrame, sizes: DataFrame, share: float) -> DataFrame:
+    """Distinct (k1, k2, item_id) that share one of the item's rarest windows.  A document
+    that holds ``share`` of n windows holds one of any ``n - ceil(share n) + 1`` of them;
+    the ones with the fewest hits in the documents are taken, so a phrase that many items
+    and many documents share makes no pairs unless an item has little else."""
+    words = F.xxhash64("window", "slots")
+    bare = not one.filter("as_is").isEmpty()
+    seen = found.groupBy(F.col("window").alias("part")).agg(F.count(F.lit(1)).alias("hits"))
+    if bare:
+        seen = seen.unionByName(found.groupBy(words.alias("part")).agg(F.count(F.lit(1)).alias("hits")))
+    seen = seen.groupBy("part").agg(F.sum("hits").alias("hits"))
+    rank = F.row_number().over(Window.partitionBy("item_id").orderBy("hits", "part"))
+    least = F.ceil(F.lit(share) * F.col("n_windows") - 1e-9)
+    rare = (
+        one.select("item_id", "part").distinct().join(seen, "part", "left").fillna(0, ["hits"])
+        .join(sizes, "item_id").withColumn("rank", rank)
+        .filter((F.col("hits") > 0) & (F.col("rank") <= F.col("n_windows") - least + 1)).select("item_id", "part")
+    )
+    probes = staged(one.distinct().join(rare, ["item_id", "part"], "left_semi"), "rare-windows")
+    pairs = found.join(probes.filter("NOT as_is").select("item_id", "window"), "window").select(*KEY, "item_id")
+    if bare:
+        own = probes.filter("as_is").select("item_id", "window", F.col("item_slots").alias("slots"))
+        pairs = pairs.unionByName(found.join(own, ["window", "slots"]).select(*KEY, "item_id"))
+    return pairs.distinct()
+
+
 def contaminations(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) -> DataFrame:
     """(k1, k2, item_id, containment, consistency, reparameterised) of each document
     (by ``keyed``) and item that contaminates it."""
@@ -198,16 +224,17 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, share: float = SHARE)
         _windows(KEY, wanted, lengths), "k1 long, k2 long, window long, place long, slots array<long>, flag boolean, length int"
     )
     found = found.withColumnRenamed("flag", "first").drop("length")
-    found = staged(found.dropDuplicates([*KEY, "window", "place"]), "hits") if wanted is not None else found.dropDuplicates([*KEY, "window", "place"])
+    if wanted is None:
+        found = found.join(known, "window", "left_semi")
+    found = staged(found.dropDuplicates([*KEY, "window", "place"]), "hits")
     one = items.select("item_id", "window", part, F.col("place").alias("item_place"), F.col("slots").alias("item_slots"), F.col("flag").alias("as_is"))
-    # Windows with the first word as it is are for the start of an item.
-    met = found.join(one.filter("NOT as_is"), "window")
-    if not one.filter("as_is").isEmpty():
-        # Words as they are: windows meet by the values of their slots, too.
-        bare = one.filter("as_is").withColumn("slots", F.col("item_slots"))
-        met = met.unionByName(found.join(bare, ["window", "slots"]).select(met.columns))
+    pairs = staged(_candidates(found, one.select("item_id", "window", "part", "item_slots", "as_is"), sizes, share), "candidates")
+    # Windows with the first word as it is are for the start of an item; items whose words
+    # must stand as they are meet by the values of their slots, too.
     met = staged(
-        met.filter("NOT first OR item_place = 0").select(*KEY, "item_id", "part", (F.col("place") - F.col("item_place")).alias("shift"), "slots", "item_slots"),
+        pairs.join(one, "item_id").join(found, [*KEY, "window"])
+        .filter("(NOT first OR item_place = 0) AND (NOT as_is OR slots = item_slots)")
+        .select(*KEY, "item_id", "part", (F.col("place") - F.col("item_place")).alias("shift"), "slots", "item_slots"),
         "met",
     )
     held = (

@@ -120,3 +120,24 @@ def test_items_without_telling_windows_need_their_own_words(spark):
     items = [(1, "2 4 6 8 10"), (2, "42"), (3, "2 4 6 8 10 12 14")]
     texts = [(1, "a row 1 3 5 7 9 11 13 15 of a table"), (2, "count on: 2 4 6 8 10 and stop"), (3, "it was 42 then"), (4, "on 2 4 6 8 10 12 14 go")]
     assert hits(spark, texts, items) == {(2, 1), (3, 2), (4, 1), (4, 3)}
+
+
+def test_a_phrase_of_many_items_and_documents_makes_no_pairs(spark, monkeypatch):
+    """60 items and 200 documents share one phrase: pairs stay with the documents that hold an item."""
+    phrase = "in the year of the great comet over the river"
+    items = [(i, f"{phrase} how far did walker w{chr(97 + i % 26)}{chr(97 + i // 26)} go beyond the old stone bridge at dawn alone") for i in range(60)]
+    texts = [(i, f"page {chr(97 + i % 26)} tells that {phrase} nothing else was seen at all") for i in range(200)]
+    texts += [(1000 + i, f"And so: {items[i][1]} today") for i in range(5)]
+    sizes = {}
+    staged = D.staged
+
+    def counting(df, label):
+        out = staged(df, label)
+        sizes[label] = out.count()
+        return out
+
+    monkeypatch.setattr(D, "staged", counting)
+    got = hits(spark, texts, items)
+    assert got == {(d, i) for d, found in brute(texts, items).items() for i in found}
+    assert {(1000 + i, i) for i in range(5)} <= got
+    assert sizes["hits"] > 200 * 5 and sizes["candidates"] <= 5 * 60 and sizes["met"] < 200 * 60
