@@ -4,12 +4,13 @@ A key's shard follows from its 64-bit hash and the shard count alone; going from
 to n + 1 shards moves a key only into the new shard, and moves 1 / (n + 1) of them.
 
 Slots number the rows of a shard from 0 without gaps.  They come from two levels, so
-that no task holds a whole shard: rows are numbered inside (shard, block of nearby
-ids), and a running sum over the small table of block counts gives each block's
-first slot.
+that no task holds a whole shard: rows are numbered inside (shard, block), a block being
+a range of hashes of key and tie, as many as the row count asks for, so dense, sparse and
+repeated keys fill them alike; a running sum over the small table of block counts gives
+each block's first slot.
 
 Defined cases: a null key is hashed like any other value (all its rows share one
-shard; their slots are salted by text); a null text has no bytes and checksum 0;
+shard; their blocks go by the tie); a null text has no bytes and checksum 0;
 equal rows get slots in arbitrary but gapless order; an empty table gives an empty
 result; other columns pass through; existing columns named as the results (shard,
 slot) are replaced by ``assign`` and must not be in the input of ``with_slots``.
@@ -19,14 +20,13 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from filingfold.llm.common import staged, table
 
 SHARDS = 40
-BLOCK_BITS = 16
-NULL_BLOCKS = 4096
+BLOCK_ROWS = 1 << 16
 ROW_BYTES = 16
 
 
@@ -58,11 +58,17 @@ def assign(docs: DataFrame, shards: int = SHARDS, key: str = "doc_id", into: str
     return docs.withColumn(into, jump_udf(shards)(F.xxhash64(F.col(key))))
 
 
+def slot_block(blocks: int, key: str, tie: str) -> Column:
+    """The block of a row: ``blocks`` even ranges of the hash of key and tie."""
+    even = F.shiftrightunsigned(F.xxhash64(F.lit(1), F.col(key), F.col(tie)), 11) / F.lit(float(1 << 53))
+    return F.floor(even * blocks)
+
+
 def with_slots(rows: DataFrame, tie: str, key: str = "doc_id", shard: str = "shard") -> DataFrame:
-    """``rows`` with a gapless ``slot`` in each shard; ``tie`` orders equal keys."""
-    block = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(F.col(tie)), F.lit(NULL_BLOCKS)) - NULL_BLOCKS).otherwise(
-        F.shiftright(F.col(key).cast("long"), BLOCK_BITS)
-    )
+    """``rows`` with a gapless ``slot`` in each shard; ``tie`` orders equal keys.  The rows are
+    counted first, so they should be a written table."""
+    blocks = max(1, -(-rows.count() // BLOCK_ROWS))
+    block = slot_block(blocks, key, tie)
     packed = rows.select(  # packed, so that no column of ``rows`` can clash
         F.struct(*[rows[c] for c in rows.columns]).alias("row"), F.col(shard).alias("shard"), block.alias("block"),
         F.col(key).alias("key"), F.col(tie).alias("tie"),

@@ -7,7 +7,11 @@ import zlib
 import duckdb
 import numpy as np
 
+from pyspark.sql import functions as F
+
 from filingfold.llm import exact_dedup as E
+from pyspark.sql import functions as F
+
 from filingfold.llm import sharding as S
 from tests.llm.helpers import DOCS, SF, empty_docs, odd_docs, odd_rows
 
@@ -88,3 +92,21 @@ def test_sharding_odd_rows(spark):
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
     assert len({r.shard for r in got if r.doc_id is None}) == 1
     assert S.with_slots(S.assign(empty_docs(spark)), "text").count() == 0
+
+
+def test_slots_of_sparse_dense_and_repeated_keys(spark, monkeypatch):
+    """Blocks hold an even share of the rows whatever the keys are, and slots stay gapless."""
+    monkeypatch.setattr(S, "BLOCK_ROWS", 100)
+    for key in (F.xxhash64("id"), F.col("id"), F.lit(7).cast("long")):
+        rows = spark.range(2000).select(key.alias("doc_id"), F.xxhash64(F.lit("t"), "id").alias("tie"))
+        out = S.with_slots(S.assign(rows, 3), "tie")
+        slots: dict = {}
+        for r in out.collect():
+            slots.setdefault(r.shard, []).append(r.slot)
+        assert sum(map(len, slots.values())) == 2000
+        assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    blocks = S.slot_block(20, "doc_id", "tie")
+    for key in (F.xxhash64("id"), F.col("id"), F.lit(7).cast("long")):
+        rows = spark.range(2000).select(key.alias("doc_id"), F.xxhash64(F.lit("t"), "id").alias("tie"))
+        counts = [r["count"] for r in rows.groupBy(blocks.alias("b")).count().collect()]
+        assert len(counts) == 20 and max(counts) < 160
