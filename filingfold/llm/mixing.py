@@ -42,6 +42,8 @@ BLOCK_WORDS = 32_768
 MAX_BLOCKS = 65_536
 MAX_SOURCES = 20_000
 OUT_SHARDS = 64
+#: Words that one task of ``mix`` writes, about; an output shard of more is written in parts.
+PART_WORDS = 16_000_000
 SEED = 20240601
 
 DRAW_SCHEMA = "source string, source_size long, target double, n_blocks long, block long, shards array<int>, part_words double, part_shard int"
@@ -125,6 +127,11 @@ def drawn(docs: DataFrame, weights=WEIGHTS, shards: int = OUT_SHARDS, seed: int
     """(row, doc_id, size, source_size, target, taken_by): ``row`` holds the columns of
     ``docs`` (so no name of theirs can clash), ``taken_by`` the output shard of each
     time the row is taken."""
+    return _drawn(docs, weights, shards, seed)[0]
+
+
+def _drawn(docs: DataFrame, weights, shards: int, seed: int) -> tuple[DataFrame, int]:
+    """``drawn`` and the number of words of all documents, which the mix comes near to."""
     spark = docs.sparkSession
     sized = docs.select(
         F.struct(*[docs[c] for c in docs.columns]).alias("row"), "source", "doc_id",
@@ -178,16 +185,20 @@ def drawn(docs: DataFrame, weights=WEIGHTS, shards: int = OUT_SHARDS, seed: int
     copies = F.col("once") + F.when(F.col("fits"), again).otherwise(0)
     partial = partial.withColumn("taken_by", F.concat("shards", F.array_repeat("part_shard", copies)))
     columns = ["row", "doc_id", "size", "source_size", "target", "taken_by"]
-    return whole.select(columns).unionByName(partial.select(columns))
+    return whole.select(columns).unionByName(partial.select(columns)), int(sizes.sum())
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, shards: int = OUT_SHARDS, seed: int = SEED) -> DataFrame:
     """The mixed corpus with the columns of ``docs``: a row for each time a document is
-    taken; rows of an output shard lie together, in shuffled order."""
-    taken = drawn(docs, weights, shards, seed).select("row", "doc_id", F.posexplode("taken_by").alias("turn", "shard"))
+    taken; rows of an output shard lie together, in shuffled order (a large shard in parts)."""
+    rows, words = _drawn(docs, weights, shards, seed)
+    taken = rows.select("row", "doc_id", F.posexplode("taken_by").alias("turn", "shard"))
+    parts = max(1, -(-words // (shards * PART_WORDS)))
+    # A part is a range of places, so the parts of a shard are its shuffled order cut in pieces.
+    part = F.floor(F.shiftrightunsigned("place", 11) / F.lit(float(1 << 53)) * parts)
     return (
-        taken.withColumn("place", F.xxhash64(F.lit(seed), "doc_id", "turn", "shard"))
-        .repartition(shards, "shard").sortWithinPartitions("shard", "place").select("row.*")
+        taken.withColumn("place", F.xxhash64(F.lit(seed), "doc_id", "turn", "shard")).withColumn("part", part)
+        .repartition(shards * parts, "shard", "part").sortWithinPartitions("shard", "part", "place").select("row.*")
     )
 
 

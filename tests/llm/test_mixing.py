@@ -66,6 +66,16 @@ def test_mix_repeats_rows_and_keeps_columns(spark):
     assert X.mix(empty_docs(spark)).count() == 0
 
 
+def test_large_output_shards_are_written_in_parts(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    whole = X.mix(docs, shards=4)
+    words = sum(len((r.text or "").split()) for r in docs.select("text").collect())
+    monkeypatch.setattr(X, "PART_WORDS", words // 20)
+    parts = X.mix(docs, shards=4)
+    assert whole.rdd.getNumPartitions() <= 4 < parts.rdd.getNumPartitions()
+    assert sorted(r.doc_id for r in whole.collect()) == sorted(r.doc_id for r in parts.collect())
+
+
 def test_too_many_sources_is_an_error(spark, monkeypatch):
     monkeypatch.setattr(X, "MAX_SOURCES", 2)
     with pytest.raises(ValueError):
