@@ -309,3 +309,34 @@ def keep_one_of_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFram
 def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=85)
     return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+# Exact Jaccard of all pairs that share a shingle, then reachability.
+OP1_SQL = r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), placed AS (
+  SELECT doc_id, len(words) AS n, unnest(words) AS w, generate_subscripts(words, 1) AS i FROM docs
+), shingles AS (
+  SELECT DISTINCT doc_id, shingle FROM (
+    SELECT doc_id, n, i, w || coalesce(' ' || lead(w) OVER along, '') || coalesce(' ' || lead(w, 2) OVER along, '') AS shingle
+    FROM placed WINDOW along AS (PARTITION BY doc_id ORDER BY i)
+  ) WHERE i <= greatest(n - 2, 1)
+), sized AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), links AS (
+  SELECT a, b FROM (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k
+    FROM shingles x JOIN shingles y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id GROUP BY ALL
+  ) JOIN sized s ON a = s.doc_id JOIN sized t ON b = t.doc_id
+  WHERE 100 * k >= 85 * (s.n + t.n - k)
+), reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM docs UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON r.other = l.a
+), least AS (
+  SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
+FROM docs d LEFT JOIN sized s USING (doc_id) JOIN least c USING (doc_id)
+"""

@@ -6,9 +6,9 @@ from filingfold.llm.alignment import op13_galloping_alignment
 from filingfold.llm.decontaminate import op2_template_decontamination
 from filingfold.llm.exact_dedup import OP6_SQL, op6_exact_dedup
 from filingfold.llm.language import op3_crf_language
-from filingfold.llm.license_scan import op9_license_scan
+from filingfold.llm.license_scan import OP9_SQL, op9_license_scan
 from filingfold.llm.line_templates import op5_line_templates
-from filingfold.llm.minhash import op1_minhash
+from filingfold.llm.minhash import OP1_SQL, op1_minhash
 from filingfold.llm.mixing import op10_source_mix
 from filingfold.llm.periods import op11_dyadic_runs
 from filingfold.llm.pii import op7_bilstm_pii
@@ -32,4 +32,4 @@ LLM_QUERIES = {
     "op13_galloping_alignment": op13_galloping_alignment,
 }
 
-LLM_ORACLES = {"op6_exact_dedup": OP6_SQL}
+LLM_ORACLES = {"op1_minhash": OP1_SQL, "op6_exact_dedup": OP6_SQL, "op9_license_scan": OP9_SQL}

@@ -167,12 +167,12 @@ def words(text):
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
 
 
-def brute_matches(text):
+def brute_matches(text, base=L.BASE, templates=L.TEMPLATES):
     w, out = words(text), []
-    for phrase, label in L.BASE.items():
+    for phrase, label in base.items():
         p = phrase.split()
         out += [(label, i, i + len(p), 1.0, True) for i in range(len(w)) if w[i : i + len(p)] == p]
-    for phrase, label in L.TEMPLATES.items():
+    for phrase, label in templates.items():
         p = phrase.split()
         for i in range(len(w)):
             share = len(set(w[i : i + len(p)]) & set(p)) / len(set(p))
@@ -215,3 +215,54 @@ def test_op9_columns(spark):
 
 def test_license_empty(spark):
     assert L.scan(empty_docs(spark)).count() == 0
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_random_template_tables_equal_brute_force(spark, seed):
+    """Repeated words in templates and blocks, ties of frequency, blocks at the ends of texts."""
+    rng = random.Random(seed)
+    letters = "abcdefghij"
+    phrase = lambda: " ".join(rng.choice(letters) for _ in range(rng.randrange(1, 9)))
+    base = {phrase(): f"base{i}" for i in range(4)}
+    templates = {p: f"t{i}" for i, p in enumerate({phrase() for _ in range(12)} - set(base))}
+    texts = [" ".join(rng.choice(letters + "XYZ") for _ in range(rng.randrange(40))) for _ in range(60)] + [None, ""]
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in enumerate(texts)], DOCS)
+    table = L.template_table(spark, base, templates)
+    for r in L.scan(docs, table).select("text", "matches").collect():
+        got = sorted((m.label, m.first_word, m.end_word, round(m.containment, 9), m.base) for m in r.matches)
+        assert got == [(a, b, c, round(d, 9), e) for a, b, c, d, e in brute_matches(r.text, base, templates)]
+
+
+def test_each_filter_drops_blocks_and_no_match(spark):
+    """Rows after the prefix, the length, the first-word, the positional filter and the verification."""
+    phrases = [("t", "a b c d e f g h i j", False), ("u", "k l m n o p q r s x", False)]
+    listed = [(label, p.split(), exact) for label, p, exact in phrases]
+    vocabulary = sorted({w for _, ws, _ in listed for w in ws})
+    probes, rows = L.index(listed, {w: i + 1 for i, w in enumerate(vocabulary)}, 0.8)
+    texts = [
+        "a b c d e f g h i j", "z z c d e f g h i j b a", "a z z z z z z z z z", "c a b k l m n o p q r s x z",
+        "d e f a k l m n b g h i c", "c d e f g h i j z z",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "id long, text string").select("id", L.words_of(L.F.col("text")).alias("words"))
+    found = docs.select("id", L.F.explode(L.hits(sorted({w for w, _, _ in probes}), vocabulary, 10, 8)).alias("hit")).select("id", "hit.*")
+    met = L.candidates(found, spark.createDataFrame(probes, L.PROBE_SCHEMA), spark.createDataFrame(rows, L.TEMPLATE_SCHEMA))
+    steps = [L.blocks_at(met, vocabulary)]
+    for step in (L.by_length, L.by_first_word, L.by_position, L.verified):
+        steps.append(step(steps[-1]))
+    counts = [x.count() for x in steps]
+    assert counts == sorted(counts, reverse=True) and counts[0] > counts[1] > counts[2] > counts[3] > counts[4] > 0
+    want = [(i, s) for i, t in enumerate(texts) for _, s, *_ in brute_matches(t, {}, {p: label for label, p, _ in phrases})]
+    assert sorted((r.id, r.s) for r in steps[-1].select("id", "s").collect()) == sorted(want)
+
+
+def test_template_table_bounds_and_odd_templates(spark, monkeypatch):
+    docs = odd_docs(spark)
+    table = spark.createDataFrame(
+        [("none", None, True), ("blank", " -- ", False), ("m", "Under the MIT-License!", None), (None, "river", True)], "label string, phrase string, exact boolean"
+    )
+    labels = {(r.doc_id, m.label, m.base) for r in L.scan(docs, table, keep=["doc_id"]).collect() for m in r.matches}
+    assert (14, "m", False) in labels and (1, None, True) in labels and {x[1] for x in labels} == {"m", None}
+    assert L.scan(docs, table.limit(0)).filter("size(matches) > 0").count() == 0
+    monkeypatch.setattr(L, "MAX_WORDS", 3)
+    with pytest.raises(ValueError):
+        L.scan(docs, table)
