@@ -15,15 +15,16 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage, ensure_checkpoint_dir
-from .register import Register
+from .register import LaidOutRegister, Register
 
 ROWS_PER_BUCKET = 2_000_000
+SLOTS_PER_BUCKET = 64
 
 
 @dataclass(frozen=True)
@@ -68,11 +69,21 @@ def written_in_buckets(df: DataFrame, key: str, buckets: int, dealt: bool = Fals
     return spark.table(name)
 
 
+def hot_ids_of(df: DataFrame, key: str, buckets: int) -> DataFrame:
+    """Ids with more than an even share of a bucket.  Rows are first counted by a hash of
+    the id, in so few slots that the counts combine before the exchange; only the rows of a
+    slot with more than a share, which an id of that size makes it, are counted by id."""
+    slot = F.when(F.col(key).isNotNull(), F.pmod(F.xxhash64(key), F.lit(buckets * SLOTS_PER_BUCKET)))
+    slots = cut_lineage(df.groupBy(slot.alias("slot")).agg(F.count(F.lit(1)).alias("rows")))
+    share = max(1, (slots.agg(F.sum("rows")).first()[0] or 0) // buckets)
+    crowded = slots.filter((F.col("rows") > share) & F.col("slot").isNotNull()).select("slot")
+    counts = df.withColumn("slot", slot).join(F.broadcast(crowded), "slot", "left_semi").groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
+    return cut_lineage(counts.filter(F.col("rows") > share).select(key))
+
+
 def keyed(df: DataFrame, key: str, buckets: int) -> Keyed:
     """``df`` by ``key``, ids with more than an even share of a bucket kept apart."""
-    counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
-    share = max(1, df.count() // buckets)
-    hot_ids = cut_lineage(counts.filter(F.col("rows") > share).select(key))
+    hot_ids = hot_ids_of(df, key, buckets)
     hot = cut_lineage(df.join(F.broadcast(hot_ids), key, "left_semi"))
     cold = written_in_buckets(df.join(F.broadcast(hot_ids), key, "left_anti"), key, buckets)
     return Keyed(key, cold, hot, hot_ids)
@@ -93,8 +104,8 @@ def lay_out(reg: Register, buckets: int | None = None) -> Register:
         rows = table.select(F.col(first).alias("appln_id"), F.col("appln_id").alias("subsequent_id"), seq.alias("seq"))
         by_first[type_] = keyed(rows.select("appln_id", "subsequent_id"), "appln_id", buckets)
         by_later[type_] = keyed(rows.select("subsequent_id", "seq"), "subsequent_id", buckets)
-    return replace(
-        reg,
+    tables = {name: getattr(reg, name) for name in Register.__dataclass_fields__}
+    return LaidOutRegister(**tables | dict(
         appln=written_in_buckets(reg.appln, "appln_id", buckets),
         layout=Layout(buckets, keyed(reg.pers_appln, "appln_id", buckets), by_first, by_later),
-    )
+    ))

@@ -31,7 +31,15 @@ class Register:
     pers_appln: DataFrame  # tls207_pers_appln
     publn: DataFrame  # tls211_pat_publn
     contn: DataFrame  # tls216_appln_contn
-    layout: Layout | None = None  # bucketed copies (sources.layout)
+
+    layout = None  # a table for each field; bucketed copies are those of LaidOutRegister
+
+
+@dataclass(frozen=True)
+class LaidOutRegister(Register):
+    """A register with bucketed copies (``sources.layout``)."""
+
+    layout: Layout | None = None
 
 
 @dataclass(frozen=True)
