@@ -12,6 +12,8 @@ pair may appear under two types).
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,6 +33,15 @@ def _pairs(df: DataFrame, prior: str, member: str) -> DataFrame:
     return df.select(F.col(prior).alias("prior_appln_id"), F.col(member).alias("appln_id"))
 
 
+def _flags(*facts: tuple[DataFrame, str]) -> DataFrame:
+    """One row per application that any of the frames holds, with a boolean column for
+    each: whether the id is in it.  The frames are appended as (id, bit) and reduced with
+    one combinable aggregate, so there is one exchange of two columns for all of them."""
+    parts = [ids.toDF("appln_id").withColumn("bits", F.lit(1 << i)) for i, (ids, _) in enumerate(facts)]
+    bits = reduce(DataFrame.unionByName, parts).filter(F.col("appln_id").isNotNull()).groupBy("appln_id").agg(F.bit_or("bits").alias("bits"))
+    return bits.select("appln_id", *[(F.col("bits").bitwiseAND(F.lit(1 << i)) != 0).alias(name) for i, (_, name) in enumerate(facts)])
+
+
 def _known(flags: DataFrame, *facts: tuple[DataFrame, str]) -> DataFrame:
     """``flags`` (one row per application) with further boolean columns: whether the
     id is in the given frame.  Ids are aggregated first, so a first filing with
@@ -67,13 +78,11 @@ def bridge_pairs(reg: Register) -> DataFrame:
         (F.col("internat_appln_id") == 0) & (F.col("appln_kind") == "W") & (F.col("appln_id") == F.col("earliest_filing_id"))
     )
     claimed = claims.select("prior_appln_id")
-    ids = published.unionByName(claimed.toDF("appln_id")).distinct()
-    flags = _known(
-        ids,
+    flags = _flags(
         (published, "pub"), (claims.select("appln_id"), "member"), (claimed, "first"), (pct.select("appln_id"), "pct"),
         (reg.contn.select("parent_appln_id"), "parent"), (reg.tech_rel.select("tech_rel_appln_id"), "related"),
         (single_family_applications(a).select("appln_id"), "single"),
-    )
+    ).filter(F.col("pub") | F.col("first"))
     # 2. PCT applications that start a family, if not yet a member.
     flags = cut_lineage(flags.withColumn("s2", F.col("pub") & F.col("pct") & ~F.col("member")))
     stage2 = itself(flags.filter(F.col("s2")))
