@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..config import LOCATION_APP, LOCATION_INV, Config
 from ..operators.classify import first_filing_applications, first_filings
 from ..operators.geocode import admin_of_points, attach_admin, with_geometry
-from ..operators.info import address_ids, location_rows, locations, role_rows
+from ..operators.info import AddressIds, address_ids, location_rows, locations, role_rows
 from ..operators.pool import subsequent_pool
 from ..operators.select import (
     POINT,
@@ -35,6 +35,13 @@ def enrich_locations(rows: DataFrame, loc: LocationInputs) -> DataFrame:
     return with_geometry(attach_admin(rows, admin_of_points(loc.addresses, loc.admin_levels)))
 
 
+def with_places(rows: DataFrame, ids: AddressIds, loc: LocationInputs) -> DataFrame:
+    """Rows by ``point_id`` with coordinates, names and geometry: a table of the distinct
+    points, joined last."""
+    places = cut_lineage(attach_admin(ids.points, admin_of_points(ids.points, loc.admin_levels)))
+    return with_geometry(rows.join(places, "point_id"))
+
+
 def location_table(reg: Register, loc: LocationInputs, role: str) -> DataFrame:
     """C4 with names and geometry, as the reference's addresses_coordinates_all_{inv,app}."""
     return enrich_locations(locations(reg, loc, role), loc)
@@ -55,9 +62,7 @@ def impute_location(reg: Register, loc: LocationInputs, cfg: Config) -> DataFram
         other_by_subsequent=locations_by_subsequent(other, POINT),
     )
     filled = fill(cut_lineage(subsequent_pool(reg, still_open(pf_apps, cands.own_direct))), cands, POINT)
-    # Coordinates, names and geometry are a table of the distinct points, joined last.
-    places = cut_lineage(attach_admin(ids.points, admin_of_points(ids.points, loc.admin_levels)))
-    return with_geometry(assemble(filled, pf_apps).join(places, "point_id")).select(*GEOC_OUTPUT)
+    return with_places(assemble(filled, pf_apps), ids, loc).select(*GEOC_OUTPUT)
 
 
 def impute_location_inv(reg: Register, loc: LocationInputs) -> DataFrame:
