@@ -20,11 +20,13 @@ from .functions.labels import country_label
 from .operators.bridge import bridge
 from .operators.classify import excluded_applications, first_filing_applications, first_filings
 from .operators.geocode import admin_of_points, attach_admin, with_geometry
-from .operators.info import country_codes, locations
+from .operators.info import address_ids, country_codes, location_rows, role_rows
 from .operators.pool import person_pool, pool_continual, pool_pct, pool_priority, pool_tech_rel, subsequent_pool
 from .operators.select import (
     EQUIVALENT,
+    LEAN,
     OTHER,
+    POINT,
     copies_of,
     direct_other_codes,
     direct_other_locations,
@@ -37,7 +39,7 @@ from .operators.select import (
     own_code_rows,
 )
 from .plans.country import impute_country, office_fallback
-from .plans.location import GEOC_OUTPUT, enrich_locations, flat_geometry, impute_location, location_table
+from .plans.location import GEOC_OUTPUT, flat_geometry, impute_location, location_table, with_places
 from .plans.refresh import refresh_country, write_country_table
 from .session import cut_lineage, ensure_checkpoint_dir
 from .sources.fixtures import fixture_inputs
@@ -65,14 +67,25 @@ def _exact_as_double(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(c).cast("double").alias(c) if c in ("lat_exact", "lng_exact") else F.col(c) for c in df.columns])
 
 
-def _reg(spark: SparkSession, sf_dir: str):
-    return fixture_inputs(spark, sf_dir)[0]
+# Tables that a query reads more than once are written before it, and so are the two link
+# tables whose targets are long expressions, which a filter pushed into the derivation
+# would compute again and again; what is read once else is derived where it is read.
+_LINKS = ("tech_rel", "contn")
+_FIRST_FILINGS = (*_LINKS, "pers_appln")  # persons: read by the classifier and by one join
+_POOL = ("appln", "prior", *_LINKS, "pers_appln")
+_BRIDGE = ("appln", "prior", *_LINKS, "publn")
+_PLACES = ("addresses", "admin_levels")
+_LOCATIONS = (*_PLACES, "addresses_pct")
 
 
-def _pf_apps(spark, sf_dir, cfg):
+def _reg(spark: SparkSession, sf_dir: str, stored: tuple[str, ...] = ()):
+    return fixture_inputs(spark, sf_dir, stored)[0]
+
+
+def _pf_apps(spark, sf_dir, cfg, stored=_POOL):
     """Register and first-filing applications, written once: the pools read them four
     times (one per pool type)."""
-    reg = _reg(spark, sf_dir)
+    reg = _reg(spark, sf_dir, stored)
     return reg, cut_lineage(first_filing_applications(first_filings(reg, cfg)))
 
 
@@ -99,12 +112,12 @@ def _earliest(kind: str, cfg: Config = COUNTRY_INV) -> Query:
 
 
 def _country(cfg) -> Query:
-    return lambda spark, sf_dir: impute_country(_reg(spark, sf_dir), cfg, with_lastupdate=False)
+    return lambda spark, sf_dir: impute_country(_reg(spark, sf_dir, _POOL), cfg, with_lastupdate=False)
 
 
 def _location(cfg) -> Query:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        reg, loc = fixture_inputs(spark, sf_dir)
+        reg, loc = fixture_inputs(spark, sf_dir, _POOL + _LOCATIONS)
         return _exact_as_double(flat_geometry(impute_location(reg, loc, cfg)).select(*_FLAT_GEOC))
 
     return q
@@ -112,7 +125,7 @@ def _location(cfg) -> Query:
 
 def _location_table(role: str) -> Query:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        reg, loc = fixture_inputs(spark, sf_dir)
+        reg, loc = fixture_inputs(spark, sf_dir, _LOCATIONS)
         return _exact_as_double(flat_geometry(location_table(reg, loc, role)).select(*_LOC_TABLE))
 
     return q
@@ -126,7 +139,7 @@ def _office_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _export_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ordered CSV export, written to the shared folder and read back."""
-    table = impute_country(_reg(spark, sf_dir), COUNTRY_INV, with_lastupdate=False)
+    table = impute_country(_reg(spark, sf_dir, _POOL), COUNTRY_INV, with_lastupdate=False)
     path = f"{ensure_checkpoint_dir(spark)}/export-{uuid.uuid4().hex}"
     export_csv(table, path)
     return read_export(spark, path, table.schema)
@@ -134,19 +147,19 @@ def _export_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _impute_laid_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The inventor country table over the register in buckets."""
-    return impute_country(lay_out(_reg(spark, sf_dir)), COUNTRY_INV, with_lastupdate=False)
+    return impute_country(lay_out(_reg(spark, sf_dir, _POOL)), COUNTRY_INV, with_lastupdate=False)
 
 
 def _country_stamped(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The applicant country table as it is written, stamped with a given time."""
     clock = F.lit("2024-02-29 12:34:56").cast("timestamp_ntz")
-    return impute_country(_reg(spark, sf_dir), COUNTRY_APP, clock=clock)
+    return impute_country(_reg(spark, sf_dir, _POOL), COUNTRY_APP, clock=clock)
 
 
 def _refresh_country(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The inventor country table of an older edition, brought to the present one.  The
     older edition lacks some links and person rows, has other dates and person codes."""
-    new = _reg(spark, sf_dir)
+    new = _reg(spark, sf_dir, _POOL)
     some = lambda df, n: F.pmod(F.xxhash64(*df.columns), F.lit(n)) == 0
     date = F.when(some(new.appln, 200), F.date_sub("appln_filing_date", 30)).otherwise(F.col("appln_filing_date"))
     code = F.when(some(new.person, 100), F.lit("")).otherwise(F.col("person_ctry_code"))
@@ -166,7 +179,7 @@ def _country_label(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _geocode_admin(spark: SparkSession, sf_dir: str) -> DataFrame:
-    loc = fixture_inputs(spark, sf_dir)[1]
+    loc = fixture_inputs(spark, sf_dir, _PLACES)[1]
     return attach_admin(loc.addresses, admin_of_points(loc.addresses, loc.admin_levels)).select(
         "location_id", *ADMIN_NAME_COLUMNS
     )
@@ -174,19 +187,19 @@ def _geocode_admin(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _geocode_from_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``geocode_admin`` with the polygons in a database's geometry column."""
-    loc = fixture_inputs(spark, sf_dir)[1]
+    loc = fixture_inputs(spark, sf_dir, _PLACES)[1]
     stored = cut_lineage(loc.admin_levels.withColumn("geom", wkb_from_rings("rings", 4326)).drop("rings"))
     return attach_admin(loc.addresses, admin_of_points(loc.addresses, with_rings(stored))).select("location_id", *ADMIN_NAME_COLUMNS)
 
 
 def _project_metres(spark: SparkSession, sf_dir: str) -> DataFrame:
-    loc = fixture_inputs(spark, sf_dir)[1]
+    loc = fixture_inputs(spark, sf_dir, _PLACES)[1]
     return flat_geometry(with_geometry(loc.addresses)).select("location_id", "geom_x", "geom_y", "geom_m_x", "geom_m_y")
 
 
 def _direct_own(cfg: Config = COUNTRY_INV) -> Query:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        reg = _reg(spark, sf_dir)
+        reg = _reg(spark, sf_dir, _FIRST_FILINGS)
         return direct_own_codes(first_filings(reg, cfg), reg, cfg)
 
     return q
@@ -194,7 +207,7 @@ def _direct_own(cfg: Config = COUNTRY_INV) -> Query:
 
 def _direct_other(cfg: Config = COUNTRY_INV) -> Query:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        reg, apps = _pf_apps(spark, sf_dir, cfg)
+        reg, apps = _pf_apps(spark, sf_dir, cfg, _FIRST_FILINGS)
         return direct_other_codes(apps, reg, cfg)
 
     return q
@@ -228,12 +241,13 @@ def _earliest_location(kind: str, role: str) -> Query:
     """Location sources 2, 3 (own role) and 5, 6 (other role) candidates."""
 
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        reg, loc = fixture_inputs(spark, sf_dir)
+        reg, loc = fixture_inputs(spark, sf_dir, _POOL + _LOCATIONS)
         apps = cut_lineage(first_filing_applications(first_filings(reg, LOCATION_INV)))
-        rows = cut_lineage(locations_by_subsequent(locations(reg, loc, role)))
+        ids = address_ids(loc)
+        rows = cut_lineage(locations_by_subsequent(role_rows(location_rows(reg, loc, ids, role), role), POINT))
         win = earliest_winner(subsequent_pool(reg, apps), kind, rows)
         out = win.join(rows, "subsequent_id").join(apps.select("appln_id", "type"), "appln_id")
-        flat = _exact_as_double(flat_geometry(enrich_locations(out, loc)))
+        flat = _exact_as_double(flat_geometry(with_places(out, ids, loc)))
         return flat.select(
             "appln_id", "subsequent_id", *ADMIN_NAME_COLUMNS, "lat", "lng", "lat_exact", "lng_exact",
             "geom_x", "geom_y", "geom_m_x", "geom_m_y", "coord_source", "type", "min_date",
@@ -247,20 +261,22 @@ def _direct_locations(own: bool) -> Query:
     as lean rows: (appln_id, lat, lng, lat_exact, lng_exact, coord_source)."""
 
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        reg, loc = fixture_inputs(spark, sf_dir)
+        reg, loc = fixture_inputs(spark, sf_dir, ("appln", *_FIRST_FILINGS, *_LOCATIONS))
         pf = cut_lineage(first_filings(reg, LOCATION_INV))
-        if own:
-            return _exact_as_double(direct_own_locations(pf, locations(reg, loc, "inv")))
-        return _exact_as_double(direct_other_locations(first_filing_applications(pf), locations(reg, loc, "app")))
+        ids = address_ids(loc)
+        role = "inv" if own else "app"
+        locs = cut_lineage(role_rows(location_rows(reg, loc, ids, role), role))
+        rows = direct_own_locations(pf, locs, POINT) if own else direct_other_locations(first_filing_applications(pf), locs, POINT)
+        return _exact_as_double(rows.join(ids.points, "point_id").select("appln_id", *LEAN))
 
     return q
 
 
 QUERIES: dict[str, Query] = {
     "excluded_applications": lambda spark, sf_dir: excluded_applications(_reg(spark, sf_dir)),
-    "first_filings_loc": lambda spark, sf_dir: first_filings(_reg(spark, sf_dir), LOCATION_INV),
-    "first_filings_app": lambda spark, sf_dir: first_filings(_reg(spark, sf_dir), COUNTRY_APP),
-    "first_filings_inv": lambda spark, sf_dir: first_filings(_reg(spark, sf_dir), COUNTRY_INV),
+    "first_filings_loc": lambda spark, sf_dir: first_filings(_reg(spark, sf_dir, _LINKS), LOCATION_INV),
+    "first_filings_app": lambda spark, sf_dir: first_filings(_reg(spark, sf_dir, _LINKS), COUNTRY_APP),
+    "first_filings_inv": lambda spark, sf_dir: first_filings(_reg(spark, sf_dir, _LINKS), COUNTRY_INV),
     "country_codes_inv": lambda spark, sf_dir: country_codes(_reg(spark, sf_dir), "inv"),
     "country_codes_app": lambda spark, sf_dir: country_codes(_reg(spark, sf_dir), "app"),
     "pool_priority": _person_pool(pool_priority),
@@ -281,7 +297,7 @@ QUERIES: dict[str, Query] = {
     "project_metres": _project_metres,
     "impute_location_inv": _location(LOCATION_INV),
     "impute_location_app": _location(LOCATION_APP),
-    "bridge": lambda spark, sf_dir: bridge(_reg(spark, sf_dir)),
+    "bridge": lambda spark, sf_dir: bridge(_reg(spark, sf_dir, _BRIDGE)),
     "pool_location": _pool_location,
     "earliest_equivalent_other_role": _earliest_other_role(EQUIVALENT),
     "earliest_other_other_role": _earliest_other_role(OTHER),

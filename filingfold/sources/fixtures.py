@@ -9,6 +9,8 @@ with the star tables.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -35,6 +37,25 @@ def _star(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _publications(appln: DataFrame) -> DataFrame:
+    """tls211, derived from tls201."""
+    pk = F.col("appln_id")
+    both = F.when(pk % 4 == 2, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    publn = appln.filter(pk % 31 != 0).select("appln_id", "appln_auth", F.explode(both).alias("n")).select(
+        (pk * 10 + F.col("n")).alias("pat_publn_id"),
+        F.col("appln_auth").alias("publn_auth"),
+        F.when(pk % 29 == 0, F.lit(None).cast("string")).otherwise(pk.cast("string")).alias("publn_nr"),
+        F.when(F.col("n") == 2, F.lit("B1"))
+        .when(pk % 19 == 0, F.lit("D2"))
+        .when((F.col("appln_auth") == "US") & (pk % 3 == 0), F.lit("P1"))
+        .when(F.col("appln_auth").isin("AU", "FR") & (pk % 3 == 0), F.lit("A3"))
+        .otherwise(F.lit("A1"))
+        .alias("publn_kind"),
+        pk.alias("appln_id"),
+    )
+    return _cast_to(publn, S.TLS211_PAT_PUBLN)
+
+
 def register_from_star(spark: SparkSession, sf_dir: str) -> Register:
     orders = _star(spark, sf_dir, "orders")
     customer = _star(spark, sf_dir, "customer")
@@ -144,26 +165,9 @@ def register_from_star(spark: SparkSession, sf_dir: str) -> Register:
     )
     person = _cast_to(person, S.TLS206_PERSON)
 
-    pk = F.col("appln_id")
-    publ = appln.filter(pk % 31 != 0).select("appln_id", "appln_auth")
-    publn = publ.withColumn("n", F.lit(1)).unionByName(publ.filter(pk % 4 == 2).withColumn("n", F.lit(2)))
-    publn = publn.select(
-        (pk * 10 + F.col("n")).alias("pat_publn_id"),
-        F.col("appln_auth").alias("publn_auth"),
-        F.when(pk % 29 == 0, F.lit(None).cast("string")).otherwise(pk.cast("string")).alias("publn_nr"),
-        F.when(F.col("n") == 2, F.lit("B1"))
-        .when(pk % 19 == 0, F.lit("D2"))
-        .when((F.col("appln_auth") == "US") & (pk % 3 == 0), F.lit("P1"))
-        .when(F.col("appln_auth").isin("AU", "FR") & (pk % 3 == 0), F.lit("A3"))
-        .otherwise(F.lit("A1"))
-        .alias("publn_kind"),
-        pk.alias("appln_id"),
-    )
-    publn = _cast_to(publn, S.TLS211_PAT_PUBLN)
-
     return Register(
         appln=appln, prior=prior, tech_rel=tech_rel, person=person,
-        pers_appln=pers_appln, publn=publn, contn=contn,
+        pers_appln=pers_appln, publn=_publications(appln), contn=contn,
     )
 
 
@@ -292,7 +296,7 @@ def _cast_to(df: DataFrame, schema) -> DataFrame:
 
 
 # Bump when any expression above changes, so stale materialised fixtures are not reused.
-FIXTURE_VERSION = "3"
+FIXTURE_VERSION = "4"
 STAR_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
 
@@ -328,64 +332,70 @@ def fixture_root(spark: SparkSession, sf_dir: str, state: str) -> str:
     return f"{base.rstrip('/')}/filingfold-fixtures/{key}"
 
 
-FIXTURE_TABLES = (
-    "tls201_appln", "tls204_appln_prior", "tls205_tech_rel", "tls206_person", "tls207_pers_appln",
-    "tls211_pat_publn", "tls216_appln_contn", "addresses_coordinates_all", "admin_levels",
-    "person_location_id", "addresses_pct", "inventor_applicant_location_id",
-    "inventor_applicant_location_id_jp", "inventor_applicant_location_id_kr", "inventor_applicant_location_id_cn",
-)
+#: Folder of each table, by its field in ``Register`` or ``LocationInputs``, in the order of writing.
+FIXTURE_TABLES = {
+    "appln": "tls201_appln",
+    "prior": "tls204_appln_prior",
+    "tech_rel": "tls205_tech_rel",
+    "person": "tls206_person",
+    "pers_appln": "tls207_pers_appln",
+    "publn": "tls211_pat_publn",
+    "contn": "tls216_appln_contn",
+    "addresses": "addresses_coordinates_all",
+    "admin_levels": "admin_levels",
+    "person_location": "person_location_id",
+    "addresses_pct": "addresses_pct",
+    "appln_location_eu": "inventor_applicant_location_id",
+    "appln_location_jp": "inventor_applicant_location_id_jp",
+    "appln_location_kr": "inventor_applicant_location_id_kr",
+    "appln_location_cn": "inventor_applicant_location_id_cn",
+}
+_SCHEMAS = S.REGISTER_TABLES | S.LOCATION_TABLES
+
+
+def _written(spark: SparkSession, root: str, name: str, table: DataFrame) -> DataFrame:
+    """Write a derived table as parquet below ``root`` once per state of the inputs; later
+    calls reuse it.  It is written to a folder of this call and renamed as a whole, so
+    sessions never share a half-written one."""
+    import uuid
 
+    path = f"{root}/{name}"
+    if not _fs_exists(spark, path):
+        own = f"{root}-{uuid.uuid4().hex}/_{name}"  # hidden, should it land inside another session's
+        table.write.parquet(own)
+        fs, target = _file_system(spark, path)
+        fs.mkdirs(target.getParent())
+        if not fs.exists(target):  # else another session was first
+            fs.rename(_file_system(spark, own)[1], target)
+    return spark.read.schema(_SCHEMAS[name]).parquet(path)
 
-def materialize_fixtures(spark: SparkSession, sf_dir: str, state: str) -> str:
-    """Write the derived register and location tables as parquet once per state of the
-    inputs; later calls reuse them.  They are written to a folder of this call and
-    renamed as a whole, so sessions never share a half-written one.  Returns the
-    folder, readable with ``read_register``/``read_locations``."""
-    import uuid
 
-    root = fixture_root(spark, sf_dir, state)
-    if _fs_exists(spark, root):
-        return root
-    own = f"{root}-{uuid.uuid4().hex}"
-    reg = register_from_star(spark, sf_dir)
-    loc = locations_from_star(spark, sf_dir)
-    tables = {
-        "tls201_appln": reg.appln,
-        "tls204_appln_prior": reg.prior,
-        "tls205_tech_rel": reg.tech_rel,
-        "tls206_person": reg.person,
-        "tls207_pers_appln": reg.pers_appln,
-        "tls211_pat_publn": reg.publn,
-        "tls216_appln_contn": reg.contn,
-        "addresses_coordinates_all": loc.addresses,
-        "admin_levels": loc.admin_levels,
-        "person_location_id": loc.person_location,
-        "addresses_pct": loc.addresses_pct,
-        "inventor_applicant_location_id": loc.appln_location_eu,
-        "inventor_applicant_location_id_jp": loc.appln_location_jp,
-        "inventor_applicant_location_id_kr": loc.appln_location_kr,
-        "inventor_applicant_location_id_cn": loc.appln_location_cn,
-    }
-    for name in FIXTURE_TABLES:
-        tables[name].write.parquet(f"{own}/{name}")
-    fs, target = _file_system(spark, root)
-    if not fs.exists(target) and fs.rename(_file_system(spark, own)[1], target):
-        return root
-    return own  # another session was first; this call's folder is as good
-
-
-# Scans of the materialised tables, per (Spark application, state of the inputs).
+# Inputs and the tables written so far, per (Spark application, folder, state of the inputs).
 # DataFrames are immutable plans, so sharing them between queries of one session is safe.
-_INPUTS: dict[tuple[str, str, str], tuple[Register, LocationInputs]] = {}
+_INPUTS: dict[tuple[str, str, str], tuple[Register, LocationInputs, frozenset[str]]] = {}
 
 
-def fixture_inputs(spark: SparkSession, sf_dir: str) -> tuple[Register, LocationInputs]:
-    """Register and location inputs derived from the star schema at ``sf_dir``."""
-    from .register import read_locations, read_register
+def fixture_inputs(spark: SparkSession, sf_dir: str, stored: tuple[str, ...] = tuple(FIXTURE_TABLES)) -> tuple[Register, LocationInputs]:
+    """Register and location inputs derived from the star schema at ``sf_dir``.
 
+    ``stored``: the tables (fields of either class) that the caller reads more than once;
+    these are written first and are scans of stored files.  Every other table is its
+    derivation, computed where it is read, unless it has been written before."""
     state = star_state(spark, sf_dir)
     key = (spark.sparkContext.applicationId, sf_dir, state)
-    if key not in _INPUTS:
-        root = materialize_fixtures(spark, sf_dir, state)
-        _INPUTS[key] = (read_register(spark, root, exact=True), read_locations(spark, root, exact=True))
-    return _INPUTS[key]
+    reg, loc, done = _INPUTS.get(key) or (register_from_star(spark, sf_dir), locations_from_star(spark, sf_dir), frozenset())
+    root = fixture_root(spark, sf_dir, state)
+    for field, name in FIXTURE_TABLES.items():
+        if field not in stored or field in done:
+            continue
+        owner = reg if hasattr(reg, field) else loc
+        table = _written(spark, root, name, getattr(owner, field))
+        if owner is loc:
+            loc = replace(loc, **{field: table})
+        else:
+            reg = replace(reg, **{field: table})
+        done |= {field}
+        if field == "appln" and "publn" not in done:
+            reg = replace(reg, publn=_publications(reg.appln))
+    _INPUTS[key] = (reg, loc, done)
+    return reg, loc
