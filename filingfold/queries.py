@@ -100,7 +100,7 @@ def _person_pool(build, cfg: Config = COUNTRY_INV) -> Query:
 def _earliest(kind: str, cfg: Config = COUNTRY_INV) -> Query:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         reg, apps = _pf_apps(spark, sf_dir, cfg)
-        rows = own_code_rows(reg, cfg)
+        rows = cut_lineage(own_code_rows(reg, cfg))
         win = earliest_winner(subsequent_pool(reg, apps), kind, rows)
         return (
             win.join(rows, "subsequent_id")
@@ -219,7 +219,7 @@ def _earliest_other_role(kind: str, cfg: Config = COUNTRY_INV) -> Query:
 
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         reg, apps = _pf_apps(spark, sf_dir, cfg)
-        rows = other_code_rows(reg, cfg)
+        rows = cut_lineage(other_code_rows(reg, cfg))
         win = earliest_winner(subsequent_pool(reg, apps), kind, rows)
         met = win.join(rows, "subsequent_id").join(copies_of(reg, cfg), "subsequent_id")
         return expand_copies(met).join(apps.select("appln_id", "type"), "appln_id").select(
